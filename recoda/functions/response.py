@@ -1,8 +1,14 @@
-"""Model answers: parsing / validation (X15) and log-prob confidence."""
+"""Model answers: parsing / validation (X15) and log-prob confidence.
+
+Parsing is done in stages (``parse_answers`` then ``post_process``), each a
+projection over the previous one, so the JSON is parsed once per row and the
+code's tokens are computed once -- never inside a lambda evaluated per
+candidate position.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoda.functions.codes import undot
@@ -17,26 +23,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def parsed_answer(text) -> dict[str, Column]:
-    """Raw fields and validity of one JSON answer.
-
-    An answer is valid when it is a JSON object, ``codable`` reads as a
-    boolean, ``nace08_valid`` (if present) reads as a boolean, and a codable
-    answer carries a non-empty code.
-    """
-    j = F.from_json(_c(text), RESPONSE_SCHEMA)
-    codable = j["codable"].try_cast("boolean")
-    nace08 = j["nace08_valid"].try_cast("boolean")
-    code = j["nace2025"]
-    valid = (
-        j.isNotNull()
-        & codable.isNotNull()
-        & (j["nace08_valid"].isNull() | nace08.isNotNull())
-        & ~(codable & (F.coalesce(code, F.lit("")) == F.lit("")))
-    )
-    return {"codable": codable, "code": code, "nace08_valid": nace08, "valid": valid}
-
-
 def text_tokens(text) -> Column:
     """Test tokenizer: one token per character, the token id being its code point."""
     return F.transform(F.split(_c(text), ""), lambda ch: F.ascii(ch))
@@ -45,36 +31,89 @@ def text_tokens(text) -> Column:
 def sequence_confidence(ids, logprobs, target) -> Column:
     """Mean exp(logprob) over the first exact run of ``target`` in ``ids``.
 
-    0.0 when the target is empty, longer than the output, or absent.
+    0.0 when the target is empty, longer than the output, or absent.  The run
+    is found with one native string search over the comma-joined ids (the
+    delimiters on both sides make it match whole tokens only); the index of
+    the run is the number of delimiters before the match.  As a single Column
+    it repeats the joined string; ``with_sequence_confidence`` stages it.
     """
     ids, lps, t = _c(ids), _c(logprobs), _c(target)
-    n, m = F.size(ids), F.size(t)
-    starts = F.sequence(F.lit(0), F.greatest(n - m, F.lit(0)))
-    hits = F.filter(starts, lambda i: F.slice(ids, i + 1, m) == t)
-    means = F.transform(hits, lambda i: F.aggregate(F.slice(lps, i + 1, m), F.lit(0.0), lambda s, x: s + F.exp(x)) / m)
-    return (
-        F.when((m == 0) | (n < m), F.lit(0.0))
-        .otherwise(F.coalesce(F.get(means, 0), F.lit(0.0)))
-        .cast("double")
+    hay = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
+    needle = F.concat(F.lit(","), F.array_join(t, ","), F.lit(","))
+    return _confidence_from(hay, F.position(needle, hay), lps, F.size(ids), F.size(t))
+
+
+def _confidence_from(hay: Column, at: Column, lps: Column, n: Column, m: Column) -> Column:
+    before = F.substring(hay, 1, at)
+    start = F.length(before) - F.length(F.replace(before, F.lit(","), F.lit(""))) - 1
+    mean = F.aggregate(F.slice(lps, start + 1, m), F.lit(0.0), lambda s, x: s + F.exp(x)) / m
+    return F.when((m == 0) | (n < m) | (at == 0), F.lit(0.0)).otherwise(mean).cast("double")
+
+
+def with_sequence_confidence(df: DataFrame, ids: str, logprobs: str, target: str, out: str = "confidence") -> DataFrame:
+    """X16 as staged projections: the joined ids and the match position are computed once per row."""
+    staged = df.withColumn("__hay", F.concat(F.lit(","), F.array_join(F.col(ids), ","), F.lit(","))).withColumn(
+        "__at", F.position(F.concat(F.lit(","), F.array_join(F.col(target), ","), F.lit(",")), F.col("__hay"))
     )
+    conf = _confidence_from(F.col("__hay"), F.col("__at"), F.col(logprobs), F.size(ids), F.size(target))
+    return staged.withColumn(out, conf).drop("__hay", "__at")
 
 
-def post_processed(text, ids=None, logprobs=None, tokenize=text_tokens, with_nace08: bool = True) -> dict[str, Column]:
-    """X15 + X16 + X1 + X9: the stored fields of one answer.
+def parse_answers(df: DataFrame, text_col: str = "output_text") -> DataFrame:
+    """X15 first stage: the JSON fields and the validity of each answer.
+
+    An answer is valid when it is a JSON object, ``codable`` reads as a
+    boolean, ``nace08_valid`` (if present) reads as a boolean, and a codable
+    answer carries a non-empty code.  Adds ``__codable, __code, __nace08,
+    __keep`` (keep = valid and a code is present).
+    """
+    j = df.withColumn("__j", F.from_json(F.col(text_col), RESPONSE_SCHEMA))
+    f = j.select(
+        "*",
+        F.col("__j.codable").try_cast("boolean").alias("__codable"),
+        F.col("__j.nace2025").alias("__code"),
+        F.col("__j.nace08_valid").alias("__nv_raw"),
+        F.col("__j.nace08_valid").try_cast("boolean").alias("__nace08"),
+    )
+    valid = (
+        F.col("__j").isNotNull()
+        & F.col("__codable").isNotNull()
+        & (F.col("__nv_raw").isNull() | F.col("__nace08").isNotNull())
+        & ~(F.col("__codable") & (F.coalesce(F.col("__code"), F.lit("")) == F.lit("")))
+    )
+    return f.withColumn("__keep", valid & F.col("__code").isNotNull()).drop("__j", "__nv_raw")
+
+
+def post_process(df: DataFrame, text_col: str = "output_text", ids_col: str | None = "token_ids",
+                 lps_col: str | None = "logprobs", keep: tuple[str, ...] = (), tokenize=text_tokens,
+                 with_nace08: bool = True) -> DataFrame:
+    """X15 + X16 + X1 + X9: the stored fields of every answer.
 
     Invalid answers and answers without a code fall back to
-    ``codable=false, nace2025=null, confidence=0.0``; a stated confidence is
-    always replaced by the log-prob confidence of the code's tokens.
+    ``codable=false, nace2025=null, confidence=0.0`` (and ``nace08_valid`` reads
+    ``undefined``); a stated confidence is always replaced by the log-prob
+    confidence of the code's tokens.
     """
-    a = parsed_answer(text)
-    keep = a["valid"] & a["code"].isNotNull()
-    out = {
-        "codable": F.when(keep, a["codable"]).otherwise(F.lit(False)),
-        "nace2025": F.when(keep, undot(a["code"])),
-    }
-    if ids is not None:
-        conf = sequence_confidence(ids, logprobs, tokenize(a["code"]))
-        out["confidence"] = F.when(keep, conf).otherwise(F.lit(0.0))
+    p = parse_answers(df, text_col)
+    if ids_col is not None:
+        p = p.withColumn("__t", F.when(F.col("__keep"), tokenize(F.col("__code"))))
+        p = with_sequence_confidence(p, ids_col, lps_col, "__t", "__conf")
+    cols = [F.col(c) for c in keep]
+    cols.append(F.when(F.col("__keep"), F.col("__codable")).otherwise(F.lit(False)).alias("codable"))
+    cols.append(F.when(F.col("__keep"), undot(F.col("__code"))).alias("nace2025"))
     if with_nace08:
-        out["nace08_valid"] = tri_state(F.when(keep, a["nace08_valid"]))
-    return out
+        cols.append(tri_state(F.when(F.col("__keep"), F.col("__nace08"))).alias("nace08_valid"))
+    if ids_col is not None:
+        cols.append(F.when(F.col("__keep"), F.col("__conf")).otherwise(F.lit(0.0)).alias("confidence"))
+    return p.select(*cols)
+
+
+def answer_status(df: DataFrame, text_col: str = "output_text") -> DataFrame:
+    """Counts of answers by outcome: codable, declined with a code, fallback."""
+    p = parse_answers(df, text_col)
+    status = (
+        F.when(F.col("__keep") & F.col("__codable"), F.lit("codable"))
+        .when(F.col("__keep"), F.lit("declined_with_code"))
+        .otherwise(F.lit("fallback"))
+    )
+    return p.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recoda.functions import constants as K
 from recoda.functions.codes import dot
 from recoda.functions.ensemble import cascade, majority_vote, weighted_vote
-from recoda.functions.response import parsed_answer, post_processed, sequence_confidence, text_tokens
+from recoda.functions.response import answer_status, post_process, text_tokens, with_sequence_confidence
 from recoda.functions.text import activity_description, lower_if_all_upper, nfkc
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import anti_join_ids, assemble, enrich
@@ -41,7 +41,8 @@ SCORE_DIGITS = 6
 # ---------------------------------------------------------------- building blocks
 
 def mapping(spark: SparkSession, sf: str) -> DataFrame:
-    return nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf))
+    """The nested mapping, cached: a nomenclature-sized table every job reads several times."""
+    return nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf)).cache()
 
 
 def workset(spark: SparkSession, sf: str, annotated: bool = False) -> DataFrame:
@@ -105,15 +106,8 @@ def evaluation_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parsed_responses(spark: SparkSession, sf: str) -> DataFrame:
-    r = X.responses(spark, sf)
-    out = post_processed("output_text", "token_ids", "logprobs")
-    return r.select(
-        ID,
-        out["codable"].alias("codable"),
-        out["nace2025"].alias("nace2025"),
-        out["nace08_valid"].alias("nace08_valid"),
-        F.round(out["confidence"], SCORE_DIGITS).alias("confidence"),
-    )
+    out = post_process(X.responses(spark, sf), keep=(ID,))
+    return out.withColumn("confidence", F.round("confidence", SCORE_DIGITS))
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,33 +312,21 @@ def q_responses_parsed(spark, sf):
 
 
 def q_responses_status(spark, sf):
-    r = X.responses(spark, sf)
-    a = parsed_answer("output_text")
-    keep = a["valid"] & a["code"].isNotNull()
-    status = (F.when(keep & a["codable"], F.lit("codable"))
-              .when(keep, F.lit("declined_with_code"))
-              .otherwise(F.lit("fallback")))
-    return r.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return answer_status(X.responses(spark, sf))
 
 
 def q_confidence_scores(spark, sf):
     r = X.responses(spark, sf)
     code = F.get_json_object("output_text", "$.nace2025")
-    conf = sequence_confidence("token_ids", "logprobs", text_tokens(F.coalesce(code, F.lit(""))))
-    return r.select(ID, F.round(conf, SCORE_DIGITS).alias("confidence"))
+    r = with_sequence_confidence(r.withColumn("__t", text_tokens(F.coalesce(code, F.lit("")))), "token_ids", "logprobs", "__t")
+    return r.select(ID, F.round("confidence", SCORE_DIGITS).alias("confidence"))
 
 
 def q_infer_batch(spark, sf):
     prompts = prompts_for(spark, sf, False)
     answers = run_predictor(prompts, first_candidate_predictor)
-    out = post_processed("output_text", "token_ids", "logprobs")
-    return answers.select(
-        ID,
-        out["codable"].alias("codable"),
-        out["nace2025"].alias("nace2025"),
-        out["nace08_valid"].alias("nace08_valid"),
-        F.round(out["confidence"], SCORE_DIGITS).alias("confidence"),
-    )
+    out = post_process(answers, keep=(ID,))
+    return out.withColumn("confidence", F.round("confidence", SCORE_DIGITS))
 
 
 def _write_two_runs(spark, sf) -> str:

@@ -160,10 +160,6 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 4, F.concat(F.lit('{"codable": false, "nace2025": '), cj, F.lit("}")))
         .otherwise(F.concat(F.lit('{"codable": "true", "nace2025": '), cj, F.lit(', "confidence": 0.9}')))
     )
-    tokens = F.transform(F.split(text, ""), lambda ch: F.ascii(ch))
-    return p.select(
-        "liasse_numero",
-        text.alias("output_text"),
-        tokens.alias("token_ids"),
-        F.transform(tokens, lambda t, i: -(i % 10) / F.lit(10.0)).alias("logprobs"),
-    )
+    texts = p.select("liasse_numero", text.alias("output_text"))
+    tokens = texts.withColumn("token_ids", F.transform(F.split("output_text", ""), lambda ch: F.ascii(ch)))
+    return tokens.withColumn("logprobs", F.transform("token_ids", lambda t, i: -(i % 10) / F.lit(10.0)))
