@@ -13,20 +13,20 @@ def write_table(df: DataFrame, path: str) -> str:
 
 
 def write_results(df: DataFrame, root: str, model: str, run_id: str) -> str:
-    """K2: results partitioned by ``model/run_id/codable``.
+    """K2: results of one run under ``root/model=<model>/run_id=<run_id>/codable=<bool>``.
 
-    Dynamic partition overwrite replaces only the partitions this run writes;
-    other runs and models stay.  ``run_id`` is a column, not part of a file
-    name, and should avoid ``:`` (e.g. ``2024-11-13--00-39``).
+    Writing a run replaces that run's directory only (re-running a run is
+    idempotent; other runs and models stay), and the layout is Hive-style, so
+    reading ``root`` exposes ``model``, ``run_id`` and ``codable`` as partition
+    columns for pruning.  ``run_id`` should avoid ``:`` and ``/``
+    (e.g. ``2024-11-13--00-39``); a model name containing ``/`` is rejected.
     """
-    out = df.withColumn("model", F.lit(model)).withColumn("run_id", F.lit(run_id))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("model", "run_id", "codable")
-        .parquet(root)
-    )
-    return root
+    for name, value in (("model", model), ("run_id", run_id)):
+        if "/" in value or ":" in value or "=" in value:
+            raise ValueError(f"{name} {value!r} cannot be a path segment")
+    path = f"{root.rstrip('/')}/model={model}/run_id={run_id}"
+    df.drop("model", "run_id").write.mode("overwrite").partitionBy("codable").parquet(path)
+    return path
 
 
 def write_collection(vectors: DataFrame, path: str, model: str) -> str:
