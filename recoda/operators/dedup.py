@@ -1,16 +1,17 @@
 """Deterministic "one row per key" (D1, D2, D3).
 
-``first_per_key`` is an aggregate, not a window: ``min(struct(order..., rest...))``
-is combined map-side (partial aggregation) before the shuffle, so a key that
-holds a third of all rows is reduced to one row per input partition before
-anything moves, instead of being sorted inside one task.
+``first_per_key`` is ``row_number() over (partition by key order by ...) = 1``.
+Catalyst plans it with a *partial* ``WindowGroupLimit`` before the shuffle and
+a final one after it: every map task keeps only its best row per key, so a
+key holding a third of all rows is cut down to one row per input partition
+before anything moves, instead of being sorted whole inside one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,9 +27,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     if missing:
         raise ValueError(f"unknown columns {missing}")
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    best = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return best.select(*[F.col(c) if c in keys else F.col("__first")[c].alias(c) for c in df.columns])
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order + rest])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from recoda.functions import constants as K
 from recoda.functions.codes import undot
 from recoda.operators.dedup import first_per_key
 from recoda.operators.mapping import ambiguous
-from recoda.session import sized_broadcast
+from recoda.session import scratch_path, sized_broadcast
 
 
 def ambiguous_workset(
@@ -53,7 +53,8 @@ def split_shards(df: DataFrame, key: str = K.ID, shards: int = K.SHARDS, partiti
     partitioned and sorted by ``key``; the index inside a partition comes from
     ``monotonically_increasing_id`` (partition id in the upper bits), and a
     tiny table of per-partition counts (one row per partition) supplies the
-    offsets.  ``key`` should be unique (the work set's id is).
+    offsets.  ``key`` should be unique (the work set's id is).  The tagged rows
+    are written once to the session's checkpoint folder and read back.
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -62,6 +63,13 @@ def split_shards(df: DataFrame, key: str = K.ID, shards: int = K.SHARDS, partiti
     tagged = ranged.withColumn("__pid", F.shiftright(mid, 33)).withColumn(
         "__idx", mid - F.shiftleft(F.shiftright(mid, 33), 33)
     )
+    # The range bounds come from a sample; a second evaluation could draw other
+    # bounds.  Writing the tagged rows once to the shared checkpoint folder
+    # freezes them, so the counts and the rows below see the same layout, and
+    # the lineage is cut (an executor loss re-reads the table, not the sample).
+    frozen = scratch_path(spark, "shards")
+    tagged.write.parquet(frozen)
+    tagged = spark.read.parquet(frozen)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
