@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from recoda.functions import constants as K
 from recoda.functions.codes import undot
 from recoda.functions.text import nfkc, note_of_kind
-from recoda.operators.dedup import first_per_key
+from recoda.operators.dedup import first_per_key, require_empty
 from recoda.session import ship_package, sized_broadcast
 
 
@@ -68,13 +68,16 @@ def missing_notes(correspondence: DataFrame, notes: DataFrame) -> DataFrame:
     return codes.join(notes.select(undot("code25").alias("code25")), "code25", "left_anti")
 
 
-def nested_mapping(correspondence: DataFrame, notes: DataFrame) -> DataFrame:
+def nested_mapping(correspondence: DataFrame, notes: DataFrame, strict: bool = False) -> DataFrame:
     """M1: group the flat correspondence into one row per old code.
 
     The old label is the one of the first sheet row; targets keep sheet order
     and repeated (old, new) pairs are kept, so they count towards ambiguity.
     Rows with a null old code are dropped, as a grouping by code drops them.
+    With ``strict``, a new code without explanatory notes is an error (J10).
     """
+    if strict:
+        require_empty(missing_notes(correspondence, notes), "new codes without explanatory notes")
     corr = correspondence
     if "pos" not in corr.columns:
         corr = corr.withColumn("pos", F.monotonically_increasing_id())

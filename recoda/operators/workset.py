@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.functions.codes import undot
-from recoda.operators.dedup import first_per_key
+from recoda.operators.dedup import first_per_key, require_nonempty
 from recoda.operators.mapping import ambiguous
 from recoda.session import scratch_path, sized_broadcast
 
@@ -23,6 +23,7 @@ def ambiguous_workset(
     id_col: str = K.ID,
     code_col: str = K.OLD_CODE,
     attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
+    check: bool = True,
 ) -> DataFrame:
     """Rows to send to a model.
 
@@ -30,9 +31,13 @@ def ambiguous_workset(
     table); F5/J2: optionally only ids present in ``annotated``; D1: one row
     per id (first by ``order`` then every column); D2: one row per combination
     of the nine attributes (first by id).  The order of the two dedups matters
-    and the old code is not part of the D2 key.
+    and the old code is not part of the D2 key.  With ``check``, a mapping
+    without any ambiguous code is an error (one-row probe).
     """
-    codes = sized_broadcast(ambiguous(mapping).select("code08"))
+    amb = ambiguous(mapping).select("code08")
+    if check:
+        require_nonempty(amb, "no ambiguous code in the mapping")
+    codes = sized_broadcast(amb)
     rows = extraction.join(codes, undot(F.col(code_col)) == codes["code08"], "left_semi")
     if annotated is not None:
         rows = rows.join(annotated.select(id_col), id_col, "left_semi")

@@ -117,7 +117,7 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- one query per item
 
 def q_mapping_nested_size(spark, sf):
-    m = mapping(spark, sf)
+    m = nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf), strict=True)
     return m.select(
         "code08", "label08", "n_targets",
         F.array_join(F.col("targets.code"), ",").alias("target_codes"),

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# fixed value: run stamp layout (minutes), with "-" instead of ":" so it can be a path segment
+RUN_STAMP_FORMAT = "%Y-%m-%d--%H-%M"
+
+
+def run_stamp(at: datetime | None = None) -> str:
+    """The identifier of a run, e.g. ``2024-11-13--00-39``."""
+    return (at or datetime.now()).strftime(RUN_STAMP_FORMAT)
+
 
 def write_table(df: DataFrame, path: str) -> str:
     """K1: replace a Parquet table."""

@@ -52,6 +52,36 @@ def test_results_partitioned_roundtrip_prunes(spark):
     assert "PartitionFilters" in plan or "partitionFilters" in plan.lower()
 
 
+def test_run_stamp_and_sql_over(spark):
+    from datetime import datetime
+
+    from recoda.sources.sinks import run_stamp
+    from recoda.sources.tables import sql_over
+
+    assert run_stamp(datetime(2024, 11, 13, 0, 39)) == "2024-11-13--00-39"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert sql_over(spark, "SELECT count(*) AS n FROM {t} WHERE k > 1", {"t": df}).first()["n"] == 1
+
+
+def test_strict_mapping_and_empty_ambiguity(spark):
+    import pytest
+
+    from recoda.operators.mapping import nested_mapping
+    from recoda.operators.workset import ambiguous_workset
+
+    corr = spark.createDataFrame([("01.11A", "o", "02.22B", "n", 0)],
+                                 "naf08_niv5 string, lib_naf08_niv5 string, naf25_niv5 string, lib_naf25_niv5 string, pos long")
+    notes = spark.createDataFrame([("09.99Z", "t", None, None, None, None, 0)],
+                                  "code25 string, title string, note_generale string, comprend string, "
+                                  "comprend_aussi string, ne_comprend_pas string, pos long")
+    with pytest.raises(AssertionError):
+        nested_mapping(corr, notes, strict=True)
+    m = nested_mapping(corr, notes)
+    ex = spark.createDataFrame([("1", "0111A")], "liasse_numero string, apet_finale string")
+    with pytest.raises(ValueError):
+        ambiguous_workset(ex, m, columns=["liasse_numero"], attributes=[])
+
+
 def test_metrics_append(spark):
     path = scratch_path(spark, "test-metrics")
     m = spark.createDataFrame([("accuracy_overall_lvl_5", 12.5)], "metric string, value double")
