@@ -331,9 +331,10 @@ def q_infer_batch(spark, sf):
 
 def _write_two_runs(spark, sf) -> str:
     root = scratch_path(spark, "results")
-    parsed = parsed_responses(spark, sf)
+    parsed = parsed_responses(spark, sf).cache()  # written as two runs: parse once
     write_results(parsed, root, "a", "r1")
     write_results(parsed, root, "a", "r2")
+    parsed.unpersist()
     return root
 
 

@@ -70,10 +70,16 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
 
     The check reads at most ``max_rows + 1`` rows of the (small) reference side.
     Beyond the bound the frame is returned unhinted, so Catalyst/AQE plan a
-    shuffle join instead of shipping a growing table to every executor.
+    shuffle join instead of shipping a growing table to every executor.  A
+    frame proven small stays cached, so the probe's work is reused by the join.
     """
+    df = df.cache()
     small, _ = row_count_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
+    if not small:
+        df.unpersist()
+        return df
+    # proven small: keep the materialised rows, so the join does not recompute them
+    return F.broadcast(df)
 
 
 _SHIPPED: set[str] = set()
