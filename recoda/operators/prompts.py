@@ -7,7 +7,7 @@ code on the (small) mapping and joined to the work set, not rebuilt per row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,8 @@ def chat(system: F.Column, user: F.Column) -> F.Column:
 
 
 def mapping_prompts(workset: DataFrame, mapping: DataFrame, template: Mapping[str, str],
-                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = True) -> DataFrame:
+                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = True,
+                    carry: Sequence[str] = ()) -> DataFrame:
     """Q5: prompt each declaration with the targets of its old code.
 
     J9: a declaration whose old code is missing from the mapping is an error
@@ -72,6 +73,7 @@ def mapping_prompts(workset: DataFrame, mapping: DataFrame, template: Mapping[st
     system = F.lit(template["system"])
     return rows.select(
         F.col(id_col),
+        *[F.col(c) for c in carry if c != id_col],
         F.col("list_proposed_codes").alias("proposed_codes"),
         system.alias("system_prompt"),
         user.alias("user_prompt"),
@@ -104,6 +106,7 @@ def retrieval_prompts(
     fetch_k: int = K.RERANK_FETCH_K,
     id_col: str = K.ID,
     doc_vectors: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Q6: retrieve the ``k`` closest label documents for each activity and prompt with them.
 
@@ -111,8 +114,10 @@ def retrieval_prompts(
     same embedder unless ``doc_vectors`` ``(code, vector)`` is given.
     """
     activity = activity_description()
+    carried = [c for c in carry if c != id_col]
     queries = workset.select(
         F.col(id_col),
+        *[F.col(c) for c in carried],
         activity.alias("__activity"),
         render(retriever_template["user"], {"activity_description": activity}, ("activity_description",)).alias("__q"),
     )
@@ -128,7 +133,7 @@ def retrieval_prompts(
     per_id = top.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("rank", dot(F.col("code")).alias("code"), "content"))).alias("__docs")
     )
-    rows = queries.select(id_col, "__activity").join(per_id, id_col, "left")
+    rows = queries.select(id_col, *carried, "__activity").join(per_id, id_col, "left")
     docs = F.coalesce(F.col("__docs"), F.array().cast("array<struct<rank:int,code:string,content:string>>"))
     user = render(
         template["user"],
@@ -142,6 +147,7 @@ def retrieval_prompts(
     system = F.lit(template["system"])
     return rows.select(
         F.col(id_col),
+        *[F.col(c) for c in carried],
         quoted_list(F.transform(docs, lambda d: d["code"])).alias("proposed_codes"),
         system.alias("system_prompt"),
         user.alias("user_prompt"),

@@ -363,6 +363,17 @@ def q_metrics_long(spark, sf):
     return acc.unionByName(coded)
 
 
+def q_encode_ambiguous_metrics(spark, sf):
+    """Entry A end to end with the test-double predictor: metrics of the run."""
+    from recoda.plans.entrypoints import encode_ambiguous
+
+    return encode_ambiguous(
+        X.extraction(spark, sf), mapping(spark, sf), X.ground_truth(spark, sf), first_candidate_predictor,
+        mapping_template(spark), model="first-candidate", run_id="r1", results_root=scratch_path(spark, "runs"),
+        order=["row_seq"], gt_order=["g_seq", "apet_manual", "NAF2008_code"],
+    )
+
+
 def q_recode_streaming(spark, sf):
     from recoda.streaming.recode_stream import recode_files_once
 

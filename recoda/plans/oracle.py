@@ -294,6 +294,24 @@ def _accuracy_long(ev: str) -> str:
     return f"SELECT metric, value FROM (UNPIVOT (SELECT {', '.join(cols)} FROM {ev}) ON COLUMNS(*) INTO NAME metric VALUE value)"
 
 
+def eval_ctes(res_sql: str) -> list[str]:
+    return [
+        f"res AS ({res_sql})",
+        "gt AS (SELECT * FROM human WHERE liasse_numero IN (SELECT liasse_numero FROM res))",
+        "cov AS (SELECT ws.liasse_numero, list_contains(cand.codes, gt.apet_manual) AS mapping_ok "
+        "FROM ws JOIN cand ON ws.apet_finale = cand.code08 JOIN gt ON ws.liasse_numero = gt.liasse_numero)",
+        "ev AS (SELECT gt.liasse_numero, gt.apet_manual, cov.mapping_ok, res.nace2025, res.codable "
+        "FROM gt JOIN cov ON gt.liasse_numero = cov.liasse_numero JOIN res ON gt.liasse_numero = res.liasse_numero)",
+    ]
+
+
+def coded_long(src: str) -> str:
+    return ("SELECT metric, value FROM (UNPIVOT (SELECT cast(count_if(codable) as double) AS num_coded, "
+            "cast(count(*) - count_if(codable) as double) AS num_not_coded, "
+            f"round_even((count(*) - count_if(codable)) * cast(100 as double) / count(*), 2) AS pct_not_coded FROM {src}) "
+            "ON COLUMNS(*) INTO NAME metric VALUE value)")
+
+
 EVAL_ANNOTATED = [
     *workset_ctes(True),
     "res AS (SELECT * FROM pred_a WHERE liasse_numero IN (SELECT liasse_numero FROM ws))",
@@ -535,6 +553,13 @@ ORACLE_SQL: dict[str, str] = {
         RESPONSES, parsed_cte(),
         "SELECT liasse_numero, codable, nace2025, 'a' AS model, r.run_id FROM parsed, "
         "(SELECT unnest(['r1', 'r2']) AS run_id) r"),
+    "encode_ambiguous_metrics": q(
+        CAND, *workset_ctes(True),
+        *eval_ctes("SELECT ws.liasse_numero, cand.codes[1] AS nace2025, true AS codable "
+                   "FROM ws JOIN cand ON ws.apet_finale = cand.code08"),
+        f"acc AS ({_accuracy_long('ev')})",
+        f"coded AS ({coded_long('res')})",
+        "SELECT * FROM acc UNION ALL SELECT * FROM coded"),
     "metrics_long": q(
         CAND, *EVAL_ANNOTATED,
         f"acc AS ({_accuracy_long('ev')})",
