@@ -47,18 +47,21 @@ def chat(system: F.Column, user: F.Column) -> F.Column:
 
 
 def mapping_prompts(workset: DataFrame, mapping: DataFrame, template: Mapping[str, str],
-                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = True,
+                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = False,
                     carry: Sequence[str] = ()) -> DataFrame:
     """Q5: prompt each declaration with the targets of its old code.
 
-    J9: a declaration whose old code is missing from the mapping is an error
-    (checked with a one-row probe when ``check``).  The old code reaches the
-    prompt dotted; its label is available as ``label08``.
+    J9: an old code missing from the mapping is an error.  Rows of
+    ``ambiguous_workset`` are restricted to mapped codes by construction, so
+    the check is off by default; with ``check`` the distinct old codes (not
+    the rows) are compared with the mapping before anything else runs.  The
+    old code reaches the prompt dotted.
     """
     cands = sized_broadcast(candidates_by_code(mapping))
-    rows = workset.join(cands, undot(F.col(code_col)) == cands["code08"], "left")
     if check:
-        require_empty(rows.filter(F.col("code08").isNull()).select(id_col), "old codes missing from the mapping")
+        codes = workset.select(undot(F.col(code_col)).alias("code08")).distinct()
+        require_empty(codes.join(cands.select("code08"), "code08", "left_anti"), "old codes missing from the mapping")
+    rows = workset.join(cands, undot(F.col(code_col)) == cands["code08"], "left")
     activity = activity_description()
     user = render(
         template["user"],

@@ -83,7 +83,7 @@ def with_ensembles(w: DataFrame) -> DataFrame:
 
 
 def mapping_template(spark: SparkSession) -> dict[str, str]:
-    return load_template(prompt_templates(spark), "mapping-classifier")
+    return load_template(None, "mapping-classifier")
 
 
 def prompts_for(spark: SparkSession, sf: str, annotated: bool) -> DataFrame:
@@ -270,7 +270,7 @@ def q_prompts_mapping(spark, sf):
 
 
 def q_prompts_retrieval(spark, sf):
-    tpl = prompt_templates(spark)
+    tpl = None  # the built-in template table
     docs = label_documents(mapping(spark, sf))
     return retrieval_prompts(
         workset(spark, sf), docs, load_template(tpl, "retrieval-classifier"), load_template(tpl, "retriever"),

@@ -45,8 +45,15 @@ def target_of(n: Column, k: Column) -> Column:
     return F.floor((F.lit(2) * n + k) / F.lit(3)).cast("long")
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    """A base table, read once per application (the file listing is not repeated)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = read_table(spark, sf_dir, name)
+    return _TABLES[key]
 
 
 def correspondence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,14 +48,21 @@ def prompt_templates(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(DEFAULT_TEMPLATES, TEMPLATE_SCHEMA)
 
 
-def load_template(templates: DataFrame, name: str, label: str = "production") -> dict[str, str]:
-    """The newest version of one template as ``{role: text}`` (a handful of rows)."""
-    rows = (
-        templates.filter((F.col("name") == name) & (F.col("label") == label))
-        .groupBy("role")
-        .agg(F.max_by("text", "version").alias("text"))
-        .collect()
-    )
+def load_template(templates: DataFrame | None, name: str, label: str = "production") -> dict[str, str]:
+    """The newest version of one template as ``{role: text}`` (a handful of rows).
+
+    ``templates=None`` uses the built-in defaults without running a Spark job.
+    """
+    if templates is None:
+        rows = [dict(zip(("name", "label", "version", "role", "seq", "text"), t)) for t in DEFAULT_TEMPLATES]
+        rows = [r for r in rows if r["name"] == name and r["label"] == label]
+    else:
+        # a handful of configuration rows: filtered in Spark, the newest version picked here
+        rows = templates.filter((F.col("name") == name) & (F.col("label") == label)).select("role", "version", "text").collect()
     if not rows:
         raise KeyError(f"no template {name!r} with label {label!r}")
-    return {r["role"]: r["text"] for r in rows}
+    newest: dict[str, tuple[int, str]] = {}
+    for r in rows:
+        if r["role"] not in newest or r["version"] > newest[r["role"]][0]:
+            newest[r["role"]] = (r["version"], r["text"])
+    return {role: text for role, (_, text) in newest.items()}

@@ -93,6 +93,22 @@ def test_metrics_append(spark):
 def test_templates(spark):
     t = load_template(prompt_templates(spark), "mapping-classifier")
     assert set(t) == {"system", "user"} and "{{activity}}" in t["user"]
+    newer = prompt_templates(spark).unionByName(
+        spark.createDataFrame([("mapping-classifier", "production", 2, "user", 1, "v2 {{activity}}")],
+                              "name string, label string, version int, role string, seq int, text string"))
+    assert load_template(newer, "mapping-classifier")["user"] == "v2 {{activity}}"
+
+
+def test_missing_old_code_is_an_error(spark):
+    import pytest
+
+    from recoda.operators.prompts import mapping_prompts
+
+    m = jobs.mapping(spark, SF_SMALL)
+    rows = spark.createDataFrame([("1", "9999Z", "x", None, None)],
+                                 "liasse_numero string, apet_finale string, libelle string, activ_sec_agri_et string, activ_nat_lib_et string")
+    with pytest.raises(AssertionError):
+        mapping_prompts(rows, m, {"system": "s", "user": "{{activity}}"}, check=True)
 
 
 def test_streaming_recode_matches_batch(spark):
