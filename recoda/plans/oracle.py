@@ -560,6 +560,10 @@ ORACLE_SQL: dict[str, str] = {
         f"acc AS ({_accuracy_long('ev')})",
         f"coded AS ({coded_long('res')})",
         "SELECT * FROM acc UNION ALL SELECT * FROM coded"),
+    "embeddings_roundtrip": q(
+        "u AS (SELECT code25 AS code FROM corr GROUP BY code25)",
+        "SELECT code, 'hashed-trigram-64' AS model, cast(64 as integer) AS dims, "
+        "'hashed-trigram-64' AS collection_model FROM u"),
     "metrics_long": q(
         CAND, *EVAL_ANNOTATED,
         f"acc AS ({_accuracy_long('ev')})",
