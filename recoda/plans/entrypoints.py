@@ -33,7 +33,7 @@ from recoda.operators.prompts import label_documents, mapping_prompts, retrieval
 from recoda.operators.recode import recode_unambiguous
 from recoda.operators.workset import ambiguous_workset, split_shards
 from recoda.session import scratch_path
-from recoda.sources.sinks import append_metrics, write_collection, write_results, write_table
+from recoda.sources.sinks import append_metrics, append_params, write_collection, write_results, write_table
 
 ID = K.ID
 
@@ -97,6 +97,10 @@ def encode_ambiguous(
     )
     if metrics_path:
         append_metrics(metrics.withColumn("model", F.lit(model)), metrics_path, run_id)
+        append_params(spark, {
+            "model": model, "strategy": strategy, "shard": shard, "temperature": K.TEMPERATURE,
+            "max_new_tokens": K.MAX_NEW_TOKENS, "seed": K.SEED, "output_path": path, "prompts_path": ds_path,
+        }, metrics_path + "_params", run_id)
     return metrics
 
 

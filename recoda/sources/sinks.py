@@ -49,3 +49,11 @@ def append_metrics(metrics: DataFrame, path: str, run_id: str) -> str:
     """K4: append a long ``(metric, value)`` table under a run id."""
     metrics.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
     return path
+
+
+def append_params(spark, params: dict, path: str, run_id: str) -> str:
+    """K4: append the run's parameters ``(param, value)`` (a handful of driver-side settings)."""
+    rows = [(str(k), str(v)) for k, v in params.items()]
+    df = spark.createDataFrame(rows, "param string, value string")
+    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+    return path

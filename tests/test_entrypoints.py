@@ -32,6 +32,8 @@ def test_encode_ambiguous_by_shards_covers_the_work_set(spark):
     assert runs.count() == ws.count()
     assert runs.select("liasse_numero").distinct().count() == ws.count()
     assert spark.read.parquet(metrics_path).select("run_id").distinct().count() == 3
+    params = {r["param"]: r["value"] for r in spark.read.parquet(metrics_path + "_params").filter("run_id = 'shard2'").collect()}
+    assert params["model"] == "m1" and params["shard"] == "2" and float(params["temperature"]) == 0.01
 
 
 def test_choose_labels_and_build_final(spark):
@@ -70,3 +72,28 @@ def test_retrieval_strategy_runs(spark):
                    "embedder": hashed_char_embedder(32)},
     )
     assert m.filter(F.col("metric") == "eval_size").first()["value"] > 0
+
+
+def test_jobs_do_not_depend_on_input_order_or_partitioning(spark):
+    from pyspark.sql import functions as F2
+
+    from recoda.operators.workset import ambiguous_workset
+    from recoda.operators.assemble import assemble
+    from recoda.operators.recode import recode_unambiguous
+
+    ex = X.extraction(spark, SF_SMALL)
+    shuffled = ex.repartition(7).orderBy(F2.rand(11))
+    mp = jobs.mapping(spark, SF_SMALL)
+    a = ambiguous_workset(ex, mp, order=["row_seq"]).collect()
+    b = ambiguous_workset(shuffled, mp, order=["row_seq"]).collect()
+    assert sorted(a) == sorted(b)
+    labels = X.predictions(spark, SF_SMALL).filter("model = 'a'").select("liasse_numero", "nace2025")
+    human = X.ground_truth(spark, SF_SMALL).select("liasse_numero", F2.col("apet_manual").alias("nace2025"), "g_seq")
+    f1 = assemble(ex, recode_unambiguous(ex, mp), labels, human, order=["row_seq"], human_order=["g_seq"])["final"]
+    f2 = assemble(shuffled, recode_unambiguous(shuffled, mp), labels.repartition(5), human.repartition(3),
+                  order=["row_seq"], human_order=["g_seq"])["final"]
+    assert sorted(f1.collect()) == sorted(f2.collect())
+    # every declaration with a single-target code is in the final table
+    univ_ids = {r[0] for r in recode_unambiguous(ex, mp).select("liasse_numero").distinct().collect()}
+    final_ids = {r[0] for r in f1.select("liasse_numero").distinct().collect()}
+    assert univ_ids <= final_ids
