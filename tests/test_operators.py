@@ -191,3 +191,34 @@ def test_similar_topk_paths_agree_with_brute_force(spark):
     r1 = sorted(tuple(r) for r in similar_topk(q, d, k=3, fetch_k=10, scorer=dot_product_scorer).select("query_id", "doc_id", "rank").collect())
     r2 = sorted(tuple(r) for r in similar_topk(q, d, k=3, fetch_k=10, scorer=dot_product_scorer, block_rows=16).select("query_id", "doc_id", "rank").collect())
     assert r1 == r2
+
+
+def test_propagate_hot_attribute_key_is_split_by_aqe(spark):
+    """A third of the targets share one attribute combination: AQE splits that partition."""
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60000
+        key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 2000).cast("string"))
+        others = [F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("x")).alias(a) for a in ATTRS[1:]]
+        targets = spark.range(n).select(F.col("id").cast("string").alias("liasse_numero"), key.alias(ATTRS[0]), *others)
+        labels = targets.dropDuplicates(ATTRS).select(F.lit("L").alias("nace2025"), *ATTRS)
+        out = propagate(labels, targets)
+        assert len(out.collect()) == n
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
