@@ -33,9 +33,10 @@ SCORE_CELLS = 4_000_000  # query rows x documents scored at once inside a task
 
 
 def _matrix(values) -> np.ndarray:
+    """Stack a column of equal-length vectors (numpy arrays from Arrow) into a float64 matrix."""
     if len(values) == 0:
         return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in values])
+    return np.vstack(values).astype(np.float64, copy=False)
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -148,12 +149,12 @@ def similar_topk(
     if small:
         # proven bound: at most max_rows documents of dim doubles each
         pdf = d.toPandas().sort_values("did", kind="stable")
-        shipped = spark.sparkContext.broadcast((pdf["did"].to_numpy(), _matrix(pdf["dvec"].tolist())))
+        shipped = spark.sparkContext.broadcast((pdf["did"].to_numpy(), _matrix(pdf["dvec"].to_numpy())))
 
         def score_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             dids, dmat = shipped.value
             for b in batches:
-                yield _block_topk(b["qid"].to_numpy(), _matrix(b["qvec"].tolist()), dids, dmat,
+                yield _block_topk(b["qid"].to_numpy(), _matrix(b["qvec"].to_numpy()), dids, dmat,
                                   k, fetch_k, scorer, final=True)
 
         ranked = q.mapInPandas(score_partition, cand_schema + ", rank int")
@@ -171,8 +172,8 @@ def similar_topk(
         def score_pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             right = right.sort_values("did", kind="stable")
             return _block_topk(
-                left["qid"].to_numpy(), _matrix(left["qvec"].tolist()),
-                right["did"].to_numpy(), _matrix(right["dvec"].tolist()), k, fetch_k, scorer, final=False,
+                left["qid"].to_numpy(), _matrix(left["qvec"].to_numpy()),
+                right["did"].to_numpy(), _matrix(right["dvec"].to_numpy()), k, fetch_k, scorer, final=False,
             )
 
         cands = qx.groupBy("__q", "__b").cogroup(dx.groupBy("__q", "__b")).applyInPandas(score_pair, cand_schema)

@@ -184,9 +184,10 @@ def test_similar_topk_paths_agree_with_brute_force(spark):
         for r in res.orderBy("query_id", "rank").collect():
             got.setdefault(r["query_id"], []).append(r["doc_id"])
         assert got == want
-    # broadcast path: no shuffle at all
+    # broadcast path: no shuffle at all; blocked path: per-query limit planned as WindowGroupLimit
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+    assert "WindowGroupLimit" in blocked._jdf.queryExecution().executedPlan().toString()
     # re-ranking: both paths equal too
     r1 = sorted(tuple(r) for r in similar_topk(q, d, k=3, fetch_k=10, scorer=dot_product_scorer).select("query_id", "doc_id", "rank").collect())
     r2 = sorted(tuple(r) for r in similar_topk(q, d, k=3, fetch_k=10, scorer=dot_product_scorer, block_rows=16).select("query_id", "doc_id", "rank").collect())

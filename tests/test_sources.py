@@ -1,9 +1,5 @@
 """Sources, sinks, templates, streaming and the plan shapes of the main jobs."""
 
-import os
-
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
 from recoda.functions import constants as K
 from recoda.operators.mapping import normalise_correspondence, normalise_notes
