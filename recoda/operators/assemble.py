@@ -11,22 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.operators.dedup import duplicate_keys, first_per_key
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Equality on several columns where null matches null (pandas ``merge`` semantics).
-
-    Catalyst rewrites ``<=>`` into plain equi-join keys (value, is-null), so
-    this still plans as a hash/sort-merge equi join, never a nested loop.
-    """
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def anti_join_ids(df: DataFrame, ids: DataFrame, id_col: str = K.ID) -> DataFrame:
     """Rows whose id is not among ``ids`` (a null id is removed by a null id)."""
     other = ids.select(F.col(id_col).alias("__id"))
@@ -70,12 +61,16 @@ def assemble(
     human_order: Sequence[str] = (),
     id_col: str = K.ID,
     attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
+    prefer_human: bool = False,
 ) -> dict[str, DataFrame]:
     """The final labelled table and its parts.
 
     ``univocal`` and ``model_labels`` are ``(id, nace2025)``; ``human_labels``
     is ``(id, nace2025)`` plus optional order columns.  Returns the parts and
     ``final`` (Z1, union by name) and ``violations`` (C1, ids seen twice).
+    Model and human labels are made disjoint by id *before* propagation, so a
+    declaration can still be reached from both; by default that shows up in
+    ``violations``.  With ``prefer_human`` the propagated human label wins.
     """
     keep = [id_col, *attributes]
     d1_order = list(order) + [c for c in attributes if c not in order]
@@ -93,6 +88,8 @@ def assemble(
     targets = anti_join_ids(declarations, univ, id_col)
     model_spread = propagate(model_full, targets, attributes, id_col)
     human_spread = propagate(human_full, targets, attributes, id_col)
+    if prefer_human:
+        model_spread = anti_join_ids(model_spread, human_spread.select(id_col), id_col)
 
     cols = [id_col, "nace2025", *attributes]
     final = (
@@ -110,4 +107,7 @@ def assemble(
         "human_propagated": human_spread,
         "final": final,
         "violations": duplicate_keys(final, [id_col]),
+        # Label rows that reached no declaration (dropped by F4), reported per source
+        "model_unmatched": unmatched_labels(model_full, targets, attributes),
+        "human_unmatched": unmatched_labels(human_full, targets, attributes),
     }

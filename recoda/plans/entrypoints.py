@@ -145,9 +145,11 @@ def build_final(
     order: Sequence[str] = (),
     human_order: Sequence[str] = (),
     fail_on_duplicates: bool = True,
+    prefer_human: bool = False,
 ) -> dict[str, DataFrame]:
     """Entry D: the final table; duplicate ids fail the job before anything is written."""
-    parts = assemble(extraction, univocal, model_labels, human_labels, order=order, human_order=human_order)
+    parts = assemble(extraction, univocal, model_labels, human_labels, order=order, human_order=human_order,
+                     prefer_human=prefer_human)
     if fail_on_duplicates:
         require_empty(parts["violations"], "the final table would hold duplicate ids")
     if output:

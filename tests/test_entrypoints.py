@@ -52,6 +52,17 @@ def test_choose_labels_and_build_final(spark):
     parts = EP.build_final(ex, recode_unambiguous(ex, mp), model_labels, human, order=["row_seq"],
                            human_order=["g_seq"], fail_on_duplicates=False)
     assert parts["final"].count() > 0
+    strict = EP.build_final(ex, recode_unambiguous(ex, mp), model_labels, human, order=["row_seq"],
+                            human_order=["g_seq"], fail_on_duplicates=False, prefer_human=True)
+    # human precedence removes the model/human overlaps; what remains is duplicates inside one source
+    assert strict["violations"].count() <= parts["violations"].count()
+    human_ids = {r[0] for r in strict["human_propagated"].select("liasse_numero").collect()}
+    model_ids = {r[0] for r in strict["model_propagated"].select("liasse_numero").collect()}
+    assert not (human_ids & model_ids)
+    # every model label row either reached a declaration or is reported as unmatched
+    n_model = parts["model"].count()
+    reached = parts["model"].join(parts["model_unmatched"].select("liasse_numero"), "liasse_numero", "left_anti").count()
+    assert reached + parts["model_unmatched"].count() == n_model
 
 
 def test_build_label_collection(spark):
