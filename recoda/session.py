@@ -82,24 +82,18 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df)
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``recoda`` importable by the Python workers of this application.
-
-    Operators that run Python (Pandas UDFs, ``mapInPandas``, cogroups) pickle
-    functions defined in this package by reference; the package is zipped once
-    per application and distributed with ``addPyFile``.
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make the functions of this package runnable by the Python workers.
+
+    Operators that run Python (Pandas UDFs, ``mapInPandas``, cogroups) would
+    pickle functions of ``recoda`` by reference, which needs the package
+    installed on every executor.  Registering the package with cloudpickle
+    sends those functions by value with the task instead: nothing to install,
+    no files to stage.  Idempotent.
     """
-    import shutil
+    import sys
 
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    staging = tempfile.mkdtemp(prefix="recoda-pkg-")
-    archive = shutil.make_archive(os.path.join(staging, "recoda"), "zip", os.path.dirname(pkg_dir), "recoda")
-    sc.addPyFile(archive)
-    _SHIPPED.add(app)
+    from pyspark import cloudpickle
+
+    pkg = sys.modules[__name__.split(".")[0]]
+    cloudpickle.register_pickle_by_value(pkg)
