@@ -223,3 +223,26 @@ def test_propagate_hot_attribute_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sized_broadcast_only_below_the_bound(spark):
+    from recoda.session import sized_broadcast
+
+    big = spark.range(50_000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(sized_broadcast(small, max_rows=100), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        unhinted = small.join(sized_broadcast(big, max_rows=100), "k")
+        assert "BroadcastHashJoin" not in unhinted._jdf.queryExecution().executedPlan().toString()
+        assert unhinted.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shards_do_not_depend_on_partition_count(spark):
+    df = spark.createDataFrame([(f"k{(i * 7919) % 1009:05d}",) for i in range(1009)], "liasse_numero string")
+    a = sorted(tuple(r) for r in split_shards(df, partitions=3).collect())
+    b = sorted(tuple(r) for r in split_shards(df.repartition(11), partitions=17).collect())
+    assert a == b
