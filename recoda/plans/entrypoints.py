@@ -84,13 +84,13 @@ def encode_ambiguous(
     # Q11: the prompt dataset is written once; inference, results and evaluation
     # all read it, and the lineage before the (expensive) model call is cut.
     spark = extraction.sparkSession
-    ds_path = prompts_path or scratch_path(spark, f"prompts-{model}-{run_id}")
+    ds_path = prompts_path or scratch_path(spark, f"prompts-{model}-{run_id}-{shard or 'all'}")
     write_table(prompts, ds_path)
     dataset = spark.read.parquet(ds_path)
     answers = run_predictor(dataset, predictor)
     processed = post_process(answers, keep=(ID,))
     results = dataset.select(*data.columns).join(processed, ID, "inner")  # on the key, never by position
-    path = write_results(results, results_root, model, run_id)
+    path = write_results(results, results_root, model, run_id, shard)
     stored = spark.read.parquet(path)
     metrics = E.evaluate_results(stored, ground_truth, dataset, gt_order=gt_order).unionByName(
         E.to_long(E.coded_stats(stored))

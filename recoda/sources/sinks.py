@@ -22,20 +22,22 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_results(df: DataFrame, root: str, model: str, run_id: str) -> str:
-    """K2: results of one run under ``root/model=<model>/run_id=<run_id>/codable=<bool>``.
-
-    Writing a run replaces that run's directory only (re-running a run is
-    idempotent; other runs and models stay), and the layout is Hive-style, so
-    reading ``root`` exposes ``model``, ``run_id`` and ``codable`` as partition
-    columns for pruning.  ``run_id`` should avoid ``:`` and ``/``
-    (e.g. ``2024-11-13--00-39``); a model name containing ``/`` is rejected.
+def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int | str | None = None) -> str:
+    """K2: results of one run under ``root/model=<m>/run_id=<r>/shard=<s>/codable=<bool>``.
+
+    Writing replaces that shard of that run only: re-running it is idempotent,
+    and the three shard jobs of one run can write concurrently without
+    touching each other (``shard=all`` when the run is not sharded).  The
+    layout is Hive-style, so reading ``root`` exposes ``model``, ``run_id``,
+    ``shard`` and ``codable`` as partition columns for pruning.  Identifiers
+    must be usable as path segments (e.g. run ``2024-11-13--00-39``).
     """
-    for name, value in (("model", model), ("run_id", run_id)):
+    shard_value = "all" if shard is None else str(shard)
+    for name, value in (("model", model), ("run_id", run_id), ("shard", shard_value)):
         if "/" in value or ":" in value or "=" in value:
             raise ValueError(f"{name} {value!r} cannot be a path segment")
-    path = f"{root.rstrip('/')}/model={model}/run_id={run_id}"
-    df.drop("model", "run_id").write.mode("overwrite").partitionBy("codable").parquet(path)
+    path = f"{root.rstrip('/')}/model={model}/run_id={run_id}/shard={shard_value}"
+    df.drop("model", "run_id", "shard").write.mode("overwrite").partitionBy("codable").parquet(path)
     return path
 
 

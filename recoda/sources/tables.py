@@ -37,7 +37,7 @@ def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], fmt: str
 
 RESULT_SCHEMA = (
     "liasse_numero string, nace2025 string, nace08_valid string, confidence double, "
-    "model string, run_id string, codable boolean"
+    "model string, run_id string, shard string, codable boolean"
 )
 
 

@@ -23,17 +23,22 @@ def test_encode_ambiguous_by_shards_covers_the_work_set(spark):
     metrics_path = scratch_path(spark, "t-metrics")
     tpl = jobs.mapping_template(spark)
     ex, mp, gt = X.extraction(spark, SF_SMALL), jobs.mapping(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL)
-    for third in (1, 2, 3):
-        m = EP.encode_ambiguous(ex, mp, gt, first_candidate_predictor, tpl, "m1", f"shard{third}", root,
+    for third in (1, 2, 3):  # three shard jobs of the same run share one directory tree
+        m = EP.encode_ambiguous(ex, mp, gt, first_candidate_predictor, tpl, "m1", "run-a", root,
                                 metrics_path=metrics_path, shard=third, order=["row_seq"])
         assert {r["metric"] for r in m.collect()} >= {"accuracy_overall_lvl_5", "eval_size", "num_coded"}
-    runs = read_runs(spark, root, {"m1": ["shard1", "shard2", "shard3"]})
+    runs = read_runs(spark, root, {"m1": ["run-a"]})
     ws = jobs.workset(spark, SF_SMALL, annotated=True)
     assert runs.count() == ws.count()
     assert runs.select("liasse_numero").distinct().count() == ws.count()
-    assert spark.read.parquet(metrics_path).select("run_id").distinct().count() == 3
-    params = {r["param"]: r["value"] for r in spark.read.parquet(metrics_path + "_params").filter("run_id = 'shard2'").collect()}
-    assert params["model"] == "m1" and params["shard"] == "2" and float(params["temperature"]) == 0.01
+    assert sorted(r[0] for r in runs.select("shard").distinct().collect()) == ["1", "2", "3"]
+    assert spark.read.parquet(metrics_path).filter("run_id = 'run-a'").select("metric").count() == 3 * 20
+    params = spark.read.parquet(metrics_path + "_params").filter("run_id = 'run-a'").collect()
+    by_name = {}
+    for r in params:
+        by_name.setdefault(r["param"], set()).add(r["value"])
+    assert by_name["shard"] == {"1", "2", "3"} and by_name["model"] == {"m1"}
+    assert {float(v) for v in by_name["temperature"]} == {0.01}
 
 
 def test_choose_labels_and_build_final(spark):
