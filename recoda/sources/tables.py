@@ -53,6 +53,21 @@ def read_runs(spark: SparkSession, root: str, runs: Mapping[str, Sequence[str]],
     return df.filter(reduce(lambda a, b: a | b, conds)) if conds else df.limit(0)
 
 
+def read_files_matching(spark: SparkSession, root: str, stamps: Sequence[str], schema: str | None = None) -> DataFrame:
+    """S4 (existing datasets): rows of the files under ``root`` whose path contains one of ``stamps``.
+
+    For result folders written with the run stamp in the file name rather than
+    as a partition column.  The filter is on the file-metadata column, so no
+    file listing happens on the driver beyond Spark's own.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.option("recursiveFileLookup", "false").parquet(root)
+    if not stamps:
+        return df.limit(0)
+    path = F.col("_metadata.file_path")
+    return df.filter(reduce(lambda a, b: a | b, [path.contains(s) for s in stamps]))
+
+
 def attach_collection(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
     """An embeddings collection ``(code, model, vector, ...)`` and its single model name.
 

@@ -130,3 +130,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_read_files_matching_stamps(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from recoda.sources.tables import read_files_matching
+
+    for stamp, n in (("2024-11-13--00-39", 2), ("2024-11-15--01-13", 3), ("2024-11-09--21-05", 4)):
+        d = tmp_path / "codable=true"
+        d.mkdir(exist_ok=True)
+        pq.write_table(pa.table({"liasse_numero": [f"{stamp}-{i}" for i in range(n)]}), d / f"part-0-1--{stamp}.parquet")
+    got = read_files_matching(spark, str(tmp_path), ["2024-11-13--00-39", "2024-11-09--21-05"])
+    assert got.count() == 6
+    assert dict(got.dtypes)["codable"] == "string"  # inferred partition value, as the original reader saw it
+    typed = read_files_matching(spark, str(tmp_path), ["2024-11-15--01-13"], schema="liasse_numero string, codable boolean")
+    assert typed.count() == 3 and dict(typed.dtypes)["codable"] == "boolean"
