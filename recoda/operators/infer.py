@@ -110,6 +110,29 @@ def hashed_char_embedder(dim: int = 64) -> Embedder:
     return embed
 
 
+def letter_count_embedder() -> Embedder:
+    """Test double for U3: L2-normalised counts of the letters a-z in the lower-cased text.
+
+    Simple enough to be recomputed in SQL (``length(t) - length(replace(t, c, ''))``
+    per letter), which lets the retrieval prompts be checked against an oracle.
+    """
+
+    def embed(texts: Sequence[str]) -> np.ndarray:
+        n = len(texts)
+        if n == 0:
+            return np.zeros((0, 26))
+        enc = [(t or "").lower().encode("utf-8") for t in texts]
+        lens = np.fromiter((len(b) for b in enc), dtype=np.int64, count=n)
+        letter = np.frombuffer(b"".join(enc), dtype=np.uint8).astype(np.int64) - ord("a")
+        row = np.repeat(np.arange(n), lens)
+        ok = (letter >= 0) & (letter < 26)
+        m = np.bincount(row[ok] * 26 + letter[ok], minlength=n * 26).astype(np.float64).reshape(n, 26)
+        norms = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        return m / np.where(norms > 0, norms, 1.0)
+
+    return embed
+
+
 def embed(df: DataFrame, text_col: str, embedder: Embedder, out_col: str = "vector") -> DataFrame:
     """Add an ``array<float>`` embedding column, computed batch by batch."""
 

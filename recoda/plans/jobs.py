@@ -18,7 +18,13 @@ from recoda.functions.text import activity_description, lower_if_all_upper, nfkc
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import anti_join_ids, assemble, enrich
 from recoda.operators.dedup import first_per_key
-from recoda.operators.infer import embed, first_candidate_predictor, hashed_char_embedder, run_predictor
+from recoda.operators.infer import (
+    embed,
+    first_candidate_predictor,
+    hashed_char_embedder,
+    letter_count_embedder,
+    run_predictor,
+)
 from recoda.operators.mapping import nested_mapping, notes_by_code, unique_targets, with_mapping_ok
 from recoda.operators.models import common_ids, models_wide
 from recoda.operators.prompts import label_documents, mapping_prompts, retrieval_prompts
@@ -273,7 +279,7 @@ def q_prompts_retrieval(spark, sf):
     docs = label_documents(mapping(spark, sf))
     return retrieval_prompts(
         workset(spark, sf), docs, load_template(tpl, "retrieval-classifier"), load_template(tpl, "retriever"),
-        hashed_char_embedder(64),
+        letter_count_embedder(),
     ).select(ID, "proposed_codes", "user_prompt")
 
 

@@ -393,7 +393,49 @@ PROMPT_USER = render_sql(MAPPING_TEMPLATE, {
 
 INFER_TEXT = f"'{{\"codable\": true, \"nace2025\": \"' || {dot('cand.codes[1]')} || '\", \"nace08_valid\": true}}'"
 
+def letter_vector(text: str) -> str:
+    """L2-normalised a-z counts of the lower-cased text, rounded to FLOAT like the embedder's output."""
+    counts = "[" + ", ".join(f"length(lower({text})) - length(replace(lower({text}), '{c}', ''))"
+                             for c in "abcdefghijklmnopqrstuvwxyz") + "]"
+    return (f"cast(list_transform({counts}, lambda x: x / greatest(sqrt(list_sum(list_transform({counts}, "
+            f"lambda y: y * y))), 1)) AS FLOAT[])")
+
+
+LABEL_DOCS = (
+    "ld_u AS (SELECT code, label, include, not_include, notes FROM ("
+    "SELECT c.code25 AS code, c.label25 AS label, n.include, n.not_include, n.notes, "
+    "row_number() OVER (PARTITION BY c.code25 ORDER BY c.code08, c.pos) AS rn "
+    "FROM corr c LEFT JOIN notes1 n ON c.code25 = n.code25) WHERE rn = 1),\n"
+    f"ld AS (SELECT code, concat_ws({NL} || {NL}, '# ' || {dot('code')} || {lit(K.DOC_TITLE_SEPARATOR)} || label, "
+    f"CASE WHEN {nn('notes')} THEN {lit(K.DOC_NOTES_HEADER)} || notes END, "
+    f"CASE WHEN {nn('include')} THEN {lit(K.DOC_INCLUDE_HEADER)} || include END, "
+    f"CASE WHEN {nn('not_include')} THEN {lit(K.DOC_NOT_INCLUDE_HEADER)} || not_include END) AS content FROM ld_u)"
+)
+
+QUOTE = "''''"
+RETRIEVAL = [
+    *workset_ctes(False),
+    LABEL_DOCS,
+    f"ract AS (SELECT liasse_numero, {activity_sql()} AS activity FROM ws)",
+    f"rq AS (SELECT liasse_numero, activity, "
+    f"{letter_vector(render_sql(T.RETRIEVER_USER, {'activity_description': 'activity'}))} AS v FROM ract)",
+    f"rd AS (SELECT code, content, {letter_vector('content')} AS v FROM ld)",
+    "rtop AS (SELECT q.liasse_numero, d.code, d.content, "
+    "list_cosine_similarity(cast(q.v AS DOUBLE[]), cast(d.v AS DOUBLE[])) AS cosine FROM rq q, rd d "
+    "QUALIFY row_number() OVER (PARTITION BY q.liasse_numero ORDER BY cosine DESC, d.code ASC) <= 5)",
+    f"ragg AS (SELECT liasse_numero, string_agg({lit(K.RETRIEVED_DOC_PREFIX)} || content, {NL} || {NL} "
+    f"ORDER BY cosine DESC, code ASC) AS block, string_agg({QUOTE} || {dot('code')} || {QUOTE}, ', ' "
+    f"ORDER BY cosine DESC, code ASC) AS listed FROM rtop GROUP BY liasse_numero)",
+]
+RETRIEVAL_SELECT = (
+    "SELECT a.liasse_numero, g.listed AS proposed_codes, "
+    + render_sql(T.RETRIEVAL_USER, {"proposed_codes": "g.block", "list_proposed_codes": "g.listed",
+                                    "activity": "a.activity"})
+    + " AS user_prompt FROM ract a JOIN ragg g ON a.liasse_numero = g.liasse_numero"
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "prompts_retrieval": q(*RETRIEVAL, RETRIEVAL_SELECT),
     "mapping_nested_size": q(
         "SELECT code08, arg_min(label08, pos) AS label08, cast(count(*) as integer) AS n_targets, "
         "string_agg(code25, ',' ORDER BY pos) AS target_codes, count(*) > 1 AS is_ambiguous FROM corr GROUP BY code08"),

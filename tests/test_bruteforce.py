@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from recoda.functions import constants as K
-from recoda.operators.infer import hashed_char_embedder
+from recoda.operators.infer import letter_count_embedder
 from recoda.plans import jobs
 from recoda.sources.templates import load_template
 
@@ -37,7 +37,7 @@ def test_prompts_retrieval_matches_brute_force(spark):
     ws = [r.asDict() for r in jobs.workset(spark, SF_SMALL).collect()]
     docs = [r.asDict() for r in jobs.q_label_documents(spark, SF_SMALL).collect()]
     docs.sort(key=lambda d: d["code"])
-    emb = hashed_char_embedder(64)
+    emb = letter_count_embedder()
     dmat = np.asarray(emb([d["content"] for d in docs]), dtype=np.float32).astype(np.float64)
     dmat = dmat / np.linalg.norm(dmat, axis=1, keepdims=True)
     tpl = load_template(None, "retrieval-classifier")
