@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.operators.dedup import duplicate_keys, first_per_key
+from recoda.session import sized_broadcast
 
 
 def anti_join_ids(df: DataFrame, ids: DataFrame, id_col: str = K.ID) -> DataFrame:
@@ -30,17 +31,36 @@ def enrich(df: DataFrame, declarations: DataFrame, id_col: str = K.ID) -> DataFr
 
 
 def propagate(labels: DataFrame, targets: DataFrame, attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
-              id_col: str = K.ID, label_col: str = "nace2025") -> DataFrame:
+              id_col: str = K.ID, label_col: str = "nace2025", salts: int = 0,
+              hot_rows: int = 1_000_000) -> DataFrame:
     """J5 + F4: give each label to every target declaration with the same attributes.
 
     The target's id replaces the label row's id; label rows that reach no
     target would get a null id and are dropped (F4), so this is an inner join
     on the nine attributes with nulls matching.  A hot attribute combination
-    only grows the target side of one key; AQE's skew-join handling splits it.
+    only grows the target side of one key.  By default AQE's skew-join
+    handling splits it; with ``salts > 1`` the split is explicit: attribute
+    keys with more than ``hot_rows`` targets (found by a partially aggregated
+    count, a bounded list broadcast behind a size check) spread their targets
+    over ``salts`` buckets by id, and only their label rows are replicated.
     """
     l = labels.select(F.col(label_col), *[F.col(c) for c in attributes])
     t = targets.select(F.col(id_col), *[F.col(c).alias(f"__t_{c}") for c in attributes])
     cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(t[f"__t_{c}"]) for c in attributes])
+    if salts > 1:
+        t = t.withColumn("__h", F.xxhash64(*[F.col(f"__t_{c}") for c in attributes]))
+        # hash collisions only salt a cold key as well: harmless
+        hot = (t.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+               .select("__h", F.lit(True).alias("__hot")))
+        hot = sized_broadcast(hot)
+        t = t.join(hot, "__h", "left").withColumn(
+            "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts))).otherwise(F.lit(0))
+        ).drop("__hot")
+        l = l.withColumn("__h", F.xxhash64(*[F.col(c) for c in attributes])).join(hot, "__h", "left")
+        l = l.withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                             .otherwise(F.array(F.lit(0))))).drop("__hot", "__h")
+        cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(t[f"__t_{c}"]) for c in attributes]) & (
+            l["__salt"] == t["__salt"])
     joined = l.join(t, cond, "inner")
     return joined.filter(F.col(id_col).isNotNull()).select(F.col(id_col), F.col(label_col), *[F.col(c) for c in attributes])
 
@@ -62,6 +82,8 @@ def assemble(
     id_col: str = K.ID,
     attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
     prefer_human: bool = False,
+    salts: int = 0,
+    hot_rows: int = 1_000_000,
 ) -> dict[str, DataFrame]:
     """The final labelled table and its parts.
 
@@ -71,6 +93,8 @@ def assemble(
     Model and human labels are made disjoint by id *before* propagation, so a
     declaration can still be reached from both; by default that shows up in
     ``violations``.  With ``prefer_human`` the propagated human label wins.
+    ``salts``/``hot_rows`` switch on explicit salting of hot attribute keys in
+    the propagation joins (see ``propagate``).
     """
     keep = [id_col, *attributes]
     d1_order = list(order) + [c for c in attributes if c not in order]
@@ -86,8 +110,8 @@ def assemble(
     human_full = first_per_key(enrich(human, declarations, id_col), list(attributes), [id_col, "nace2025"])
 
     targets = anti_join_ids(declarations, univ, id_col)
-    model_spread = propagate(model_full, targets, attributes, id_col)
-    human_spread = propagate(human_full, targets, attributes, id_col)
+    model_spread = propagate(model_full, targets, attributes, id_col, salts=salts, hot_rows=hot_rows)
+    human_spread = propagate(human_full, targets, attributes, id_col, salts=salts, hot_rows=hot_rows)
     if prefer_human:
         model_spread = anti_join_ids(model_spread, human_spread.select(id_col), id_col)
 

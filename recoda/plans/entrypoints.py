@@ -146,10 +146,12 @@ def build_final(
     human_order: Sequence[str] = (),
     fail_on_duplicates: bool = True,
     prefer_human: bool = False,
+    salts: int = 0,
+    hot_rows: int = 1_000_000,
 ) -> dict[str, DataFrame]:
     """Entry D: the final table; duplicate ids fail the job before anything is written."""
     parts = assemble(extraction, univocal, model_labels, human_labels, order=order, human_order=human_order,
-                     prefer_human=prefer_human)
+                     prefer_human=prefer_human, salts=salts, hot_rows=hot_rows)
     if fail_on_duplicates:
         require_empty(parts["violations"], "the final table would hold duplicate ids")
     if output:

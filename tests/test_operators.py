@@ -246,3 +246,17 @@ def test_shards_do_not_depend_on_partition_count(spark):
     a = sorted(tuple(r) for r in split_shards(df, partitions=3).collect())
     b = sorted(tuple(r) for r in split_shards(df.repartition(11), partitions=17).collect())
     assert a == b
+
+
+def test_propagate_salted_equals_plain(spark):
+    n = 20000
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string"))
+    others = [F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("x")).alias(a) for a in ATTRS[1:]]
+    targets = spark.range(n).select(F.col("id").cast("string").alias("liasse_numero"), key.alias(ATTRS[0]), *others)
+    targets = targets.unionByName(spark.createDataFrame([(None,)], "liasse_numero string"), allowMissingColumns=True)
+    labels = targets.dropDuplicates(ATTRS).select(F.concat(F.lit("L"), F.col(ATTRS[0])).alias("nace2025"), *ATTRS)
+    plain = sorted(tuple(r) for r in propagate(labels, targets).collect())
+    salted_df = propagate(labels, targets, salts=8, hot_rows=1000)
+    salted = sorted(tuple(r) for r in salted_df.collect())
+    assert plain == salted and len(plain) == n
+    assert "__salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
