@@ -147,3 +147,22 @@ def test_read_files_matching_stamps(spark, tmp_path):
     assert dict(got.dtypes)["codable"] == "string"  # inferred partition value, as the original reader saw it
     typed = read_files_matching(spark, str(tmp_path), ["2024-11-15--01-13"], schema="liasse_numero string, codable boolean")
     assert typed.count() == 3 and dict(typed.dtypes)["codable"] == "boolean"
+
+
+def test_streaming_recode_resumes_from_its_checkpoint(spark):
+    from recoda.streaming.recode_stream import recode_stream
+    from recoda.sources import fixtures as X
+
+    ex = X.extraction(spark, SF_SMALL)
+    mp = jobs.mapping(spark, SF_SMALL)
+    landing, output, ckpt = (scratch_path(spark, n) for n in ("t-landing", "t-out", "t-ckpt"))
+    first, second = ex.filter("row_seq % 2 = 0"), ex.filter("row_seq % 2 = 1")
+    first.write.parquet(landing + "/batch=1")
+    recode_stream(landing, spark, ex.schema, mp, output, ckpt, available_now=True).awaitTermination()
+    n1 = spark.read.parquet(output).count()
+    second.write.parquet(landing + "/batch=2")
+    recode_stream(landing, spark, ex.schema, mp, output, ckpt, available_now=True).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(output).collect())
+    want = sorted(tuple(r) for r in jobs.q_recode_unambiguous(spark, SF_SMALL).collect())
+    assert 0 < n1 < len(got)
+    assert got == want  # every declaration exactly once across the two runs
