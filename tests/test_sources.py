@@ -166,3 +166,12 @@ def test_streaming_recode_resumes_from_its_checkpoint(spark):
     want = sorted(tuple(r) for r in jobs.q_recode_unambiguous(spark, SF_SMALL).collect())
     assert 0 < n1 < len(got)
     assert got == want  # every declaration exactly once across the two runs
+
+
+def test_sheet_read_fails_fast_on_malformed_rows(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "bad.csv"
+    path.write_text("a,b\n1,2\n3,4,5,6\n")
+    with pytest.raises(Exception):
+        read_sheet(spark, str(path), ["a", "b"]).collect()
