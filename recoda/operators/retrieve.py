@@ -141,6 +141,7 @@ def similar_topk(
     did_type = d.schema["did"].dataType.simpleString()
     cand_schema = f"qid {qid_type}, did {did_type}, cosine double" + (", pair_score double" if reranked else "")
 
+    d = d.cache()  # probed three times below (dimension, size, contents); computed once
     first = d.take(1)
     dim = len(first[0]["dvec"]) if first else 0
     max_rows = max(1, min(block_rows, broadcast_max_bytes // max(8 * dim, 1)))
@@ -149,6 +150,7 @@ def similar_topk(
     if small:
         # proven bound: at most max_rows documents of dim doubles each
         pdf = d.toPandas().sort_values("did", kind="stable")
+        d.unpersist()
         shipped = spark.sparkContext.broadcast((pdf["did"].to_numpy(), _matrix(pdf["dvec"].to_numpy())))
 
         def score_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,6 +161,7 @@ def similar_topk(
 
         ranked = q.mapInPandas(score_partition, cand_schema + ", rank int")
     else:
+        d.unpersist()  # past the bound the document side is large: do not hold it in memory
         blocks = max(1, math.ceil(n_docs / max_rows))
         n_queries = q.count()
         chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_queries / block_rows))
