@@ -5,7 +5,8 @@ A chunk ends where the rolling hash is a local minimum, or around a line of over
 ``long_words`` words, which is a chunk of its own: it is a paragraph set on one
 line.  Boundaries so depend on the few lines around them only, and a passage
 copied into another document is cut alike there, whatever precedes it.  A local
-minimum is never next to another, so other chunks have two lines or more.
+minimum is never next to another, nor beside a text's first or last line, so other
+chunks have two lines or more (but for lines caught between long ones).
 
 Chunks are compared by hash first (thin rows, aggregated before they move), then
 the texts of chunks with a repeated hash are grouped by their bytes.  Of equal
@@ -71,14 +72,15 @@ def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFra
         ).alias("__roll"),
     )
 
+    n = F.size("__roll")
+
     def starts_here(i: Column) -> Column:
         """Whether line i (1 .. n-1) starts a chunk: what ends before it, or long lines on either side."""
         before, at, after = (F.get("__roll", i - k) for k in (2, 1, 0))
-        minimum = (i >= 2) & (at < before) & (at <= after)
+        minimum = (i >= 2) & (i < n - 1) & (at < before) & (at <= after)
         long_line = (F.get("__marks", i - 1)["w"] > long_words) | (F.get("__marks", i)["w"] > long_words)
         return minimum | long_line
 
-    n = F.size("__roll")
     cuts = F.filter(F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>")), starts_here)
     bounded = rolled.select("*", F.concat(F.array(F.lit(0)), cuts, F.array(n)).alias("__cuts"))
 

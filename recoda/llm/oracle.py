@@ -1,2 +1,165 @@
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+Written from the operators' definitions, with their fixed values as literals.
+No SQL: token counts, packing and token files (a tokenizer's ids), sharding
+(CRC32), toxicity (a fitted model), SimHash and the pipeline that uses it (XXH64);
+tests hold these against brute-force versions.
+"""
+
+from __future__ import annotations
+
+OP1_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS n FROM d),
+m AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
+         len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM l
+),
+r AS (SELECT *, (coalesce(lag(h) OVER p, 0) * 1000003 + h) % 2147483647 AS r FROM m WINDOW p AS (PARTITION BY rid ORDER BY i)),
+s AS (
+  SELECT *, CASE
+    WHEN i = 1 THEN 1
+    WHEN w > 50 OR lag(w) OVER p > 50 THEN 1
+    WHEN i >= 3 AND i < n AND lag(r, 1) OVER p < lag(r, 2) OVER p AND lag(r, 1) OVER p <= r THEN 1
+    ELSE 0 END AS starts
+  FROM r WINDOW p AS (PARTITION BY rid ORDER BY i)
+),
+c AS (SELECT *, sum(starts) OVER (PARTITION BY rid ORDER BY i) AS chunk FROM s),
+t AS (
+  SELECT rid, doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body,
+         count(*) FILTER (w > 0) >= 2 OR max(w) > 50 AS eligible
+  FROM c GROUP BY ALL
+),
+g AS (
+  SELECT *, eligible AND row_number() OVER (PARTITION BY eligible, body ORDER BY doc_id NULLS LAST, rid, chunk) > 1 AS gone
+  FROM t
+),
+o AS (
+  SELECT rid, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, (count(*) FILTER (gone))::BIGINT AS n_removed_chunks,
+         coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS clean
+  FROM g GROUP BY rid
+)
+SELECT d.doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines,
+       CASE WHEN d.text IS NOT NULL THEN clean END AS text
+FROM d JOIN o USING (rid)
+"""
+
+OP6_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+g AS (
+  SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS k
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+),
+rep AS (
+  SELECT rid, count(DISTINCT p) AS n
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p
+        FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS c FROM g) WHERE c > 1)
+  GROUP BY rid
+),
+l AS (
+  SELECT rid, source, t, regexp_replace(lower(trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ')), '[0-9]+', '0', 'g') AS x,
+         len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n
+  FROM (SELECT rid, source, t, unnest(ls) AS x FROM w)
+),
+short AS (SELECT * FROM l WHERE n <= 25),
+hosts AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
+boiler AS (
+  SELECT s.source, x FROM short s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
+  GROUP BY s.source, x, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > 0.005 * docs
+),
+lost AS (
+  SELECT rid, sum(n) AS n FROM short s JOIN boiler b ON s.source IS NOT DISTINCT FROM b.source AND s.x = b.x GROUP BY rid
+),
+o AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_boilerplate_words
+  FROM w LEFT JOIN rep USING (rid) LEFT JOIN lost USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_boilerplate_words <= 0.5 * n_words AS kept,
+       n_boilerplate_words
+FROM o
+"""
+
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS ws FROM benchmark WHERE text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i : i + n - 1], ' ') AS k
+  FROM (SELECT item, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+        FROM b WHERE len(ws) > 0)
+),
+grams AS (
+  SELECT rid, n, i, array_to_string(ws[i : i + n - 1], ' ') AS k
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))
+),
+hits AS (SELECT rid, i, g.n, item FROM grams g JOIN win USING (n, k)),
+places AS (
+  SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid
+),
+items AS (
+  SELECT rid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid)
+"""
+
+OP10_SQL = """
+WITH u AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+p AS (
+  SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+),
+terms(term, weight) AS (VALUES
+  ('porn', 2), ('porno', 2), ('xxx', 2), ('hentai', 2), ('milf', 2), ('camgirls', 2), ('cheap-pills', 2), ('spam-farm', 2),
+  ('warez', 2), ('phishing', 2), ('casino', 1), ('poker', 1), ('betting', 1), ('slots', 1), ('viagra', 1), ('pills', 1),
+  ('spam', 1), ('adult', 1), ('sex', 1), ('nude', 1), ('escort', 1), ('dating', 1), ('torrent', 1), ('crack', 1),
+  ('keygen', 1), ('replica', 1), ('loan', 1), ('cheap', 1), ('free', 1), ('win', 1)),
+hits AS (
+  SELECT rid, (count(*) FILTER (weight = 2))::INTEGER AS strict_hits, (count(*) FILTER (weight = 1))::INTEGER AS soft_hits
+  FROM p JOIN terms ON regexp_matches(low, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY rid
+),
+j AS (
+  SELECT page_id, host, path, coalesce(strict_hits, 0)::INTEGER AS strict_hits, coalesce(soft_hits, 0)::INTEGER AS soft_hits, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM p LEFT JOIN hits USING (rid)
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN strict_hits > 0 OR soft_hits >= 2 THEN 'block' ELSE 'allow' END AS verdict,
+  strict_hits, soft_hits
+FROM j
+"""
+
+ORACLE_SQL = {
+    "op1_line_dedup": OP1_SQL,
+    "op6_quality": OP6_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op10_url_filter": OP10_SQL,
+}
+
 PIPELINE_SQL = None
-ORACLE_SQL = {}
