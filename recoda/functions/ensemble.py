@@ -11,14 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recoda.functions.names import column
+
 
 def _valid(cols: Sequence[str]) -> Column:
-    return F.filter(F.array(*[F.col(c) for c in cols]), lambda x: x.isNotNull())
+    return F.filter(F.array(*[column(c) for c in cols]), lambda x: x.isNotNull())
 
 
 def cascade(cols: Sequence[str], default: str | None = None) -> Column:
     """The first non-null label in model order, else ``default``."""
-    return F.coalesce(*[F.col(c) for c in cols], F.lit(default).cast("string"))
+    return F.coalesce(*[column(c) for c in cols], F.lit(default).cast("string"))
 
 
 def majority_vote(cols: Sequence[str], default: str | None = None) -> Column:
@@ -57,7 +59,7 @@ def weighted_vote(
     if len(weights) != len(cols):
         raise ValueError("one weight per model column")
     pairs = F.filter(
-        F.array(*[F.struct(F.col(c).alias("v"), F.lit(float(w)).alias("w")) for c, w in zip(cols, weights)]),
+        F.array(*[F.struct(column(c).alias("v"), F.lit(float(w)).alias("w")) for c, w in zip(cols, weights)]),
         lambda p: p["v"].isNotNull(),
     )
     labels = F.array_distinct(F.transform(pairs, lambda p: p["v"]))
@@ -74,7 +76,7 @@ def weighted_vote(
     return (
         F.when(F.size(pairs) == 0, F.lit(default).cast("string"))
         .when(F.size(winners) == 1, F.get(winners, 0)["v"])
-        .otherwise(F.col(cols[0]))
+        .otherwise(column(cols[0]))
     )
 
 

@@ -8,15 +8,20 @@ candidate position.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from recoda.functions.codes import undot
 from recoda.functions.text import tri_state
 
-# every field read as text first: ill-typed values become nulls after try_cast
-# instead of failing the whole batch, and a quoted "true" is accepted.
-RESPONSE_SCHEMA = "codable string, nace2025 string, nace08_valid string, confidence string"
+# fixed values: what a lenient JSON validator reads as a boolean
+TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
+FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
+NUMBER_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "FLOAT", "DOUBLE")
 
 
 def _c(x) -> Column:
@@ -59,29 +64,76 @@ def with_sequence_confidence(df: DataFrame, ids: str, logprobs: str, target: str
     return staged.withColumn(out, conf).drop("__hay", "__at")
 
 
-def parse_answers(df: DataFrame, text_col: str = "output_text") -> DataFrame:
-    """X15 first stage: the JSON fields and the validity of each answer.
+def _field(name: str) -> tuple[Column, Column]:
+    """Kind and text of a field of the parsed answer; a missing field and a JSON null are both ``VOID``."""
+    raw = F.try_variant_get("__v", f"$.{name}", "variant")
+    kind = F.regexp_extract(F.coalesce(F.schema_of_variant(raw), F.lit("VOID")), "^([A-Z]+)", 1)
+    return kind, F.try_variant_get("__v", f"$.{name}", "string")
+
+
+def _lax_boolean(kind: Column, text: Column) -> Column:
+    """What a lenient validator reads as a boolean: JSON booleans, 0 and 1, a few words; else null."""
+    number = text.try_cast("double")
+    word = F.lower(text)
+    return (
+        F.when(kind == "BOOLEAN", text == "true")
+        .when(kind.isin(*NUMBER_KINDS), F.when(number == 1, F.lit(True)).when(number == 0, F.lit(False)))
+        .when(kind == "STRING", F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False)))
+    )
+
+
+def parse_answers(df: DataFrame, text_col: str = "output_text", with_nace08: bool = True) -> DataFrame:
+    """X15 first stage: the typed fields and the validity of each answer.
 
-    An answer is valid when it is a JSON object, ``codable`` reads as a
-    boolean, ``nace08_valid`` (if present) reads as a boolean, and a codable
-    answer carries a non-empty code.  Adds ``__codable, __code, __nace08,
-    __keep`` (keep = valid and a code is present).
+    An answer is valid when its whole text is one JSON object in which
+    ``codable`` is a boolean, ``nace2025`` a string or absent, ``nace08_valid``
+    (mapping answers only) a boolean or absent, ``confidence`` a number or
+    absent, and a codable answer carries a non-empty code.  Null counts as
+    absent; booleans and numbers may also be written as strings.  Adds
+    ``__codable, __code, __nace08, __keep`` (keep = valid and a code is present).
     """
-    j = df.withColumn("__j", F.from_json(F.col(text_col), RESPONSE_SCHEMA))
+    # one pass for the syntax (from_json alone would take single quotes and text after the object)
+    whole = F.when(F.col(text_col).rlike(r"^\s*\{(?s:.*)\}\s*$"), F.col(text_col))
+    j = df.withColumn("__v", F.try_parse_json(whole))
+    kinds = {n: _field(n) for n in ("codable", "nace2025", "nace08_valid", "confidence")}
     f = j.select(
         "*",
-        F.col("__j.codable").try_cast("boolean").alias("__codable"),
-        F.col("__j.nace2025").alias("__code"),
-        F.col("__j.nace08_valid").alias("__nv_raw"),
-        F.col("__j.nace08_valid").try_cast("boolean").alias("__nace08"),
+        *[k.alias(f"__k_{n}") for n, (k, _) in kinds.items()],
+        *[t.alias(f"__t_{n}") for n, (_, t) in kinds.items()],
+    )
+    f = f.withColumns({
+        "__codable": _lax_boolean(F.col("__k_codable"), F.col("__t_codable")),
+        "__nace08": _lax_boolean(F.col("__k_nace08_valid"), F.col("__t_nace08_valid")) if with_nace08
+        else F.lit(None).cast("boolean"),
+        "__code": F.when(F.col("__k_nace2025") == "STRING", F.col("__t_nace2025")),
+    })
+    absent = {n: F.col(f"__k_{n}") == "VOID" for n in kinds}
+    number = F.col("__k_confidence").isin(*NUMBER_KINDS, "BOOLEAN") | (
+        (F.col("__k_confidence") == "STRING") & F.col("__t_confidence").try_cast("double").isNotNull()
     )
     valid = (
-        F.col("__j").isNotNull()
+        F.col("__v").isNotNull()
         & F.col("__codable").isNotNull()
-        & (F.col("__nv_raw").isNull() | F.col("__nace08").isNotNull())
-        & ~(F.col("__codable") & (F.coalesce(F.col("__code"), F.lit("")) == F.lit("")))
+        & (absent["nace2025"] | F.col("__code").isNotNull())
+        & (F.lit(not with_nace08) | absent["nace08_valid"] | F.col("__nace08").isNotNull())
+        & (absent["confidence"] | number)
+        & ~(F.col("__codable") & (F.coalesce(F.col("__code"), F.lit("")) == ""))
     )
-    return f.withColumn("__keep", valid & F.col("__code").isNotNull()).drop("__j", "__nv_raw")
+    keep = F.coalesce(valid, F.lit(False)) & F.col("__code").isNotNull()
+    return f.withColumn("__keep", keep).drop("__v", *[f"__{p}_{n}" for n in kinds for p in "kt"])
+
+
+def python_tokenizer(tokenizer: Callable[[Sequence[str]], Sequence[Sequence[int]]]) -> Callable[[Column], Column]:
+    """A ``tokenize`` for ``post_process`` from a user's tokenizer (a batch of texts -> their token ids)."""
+
+    @pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        present = texts.notna()
+        out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+        out[present] = pd.Series([list(t) for t in tokenizer(texts[present].tolist())], index=texts.index[present], dtype=object)
+        return out
+
+    return ids
 
 
 def post_process(df: DataFrame, text_col: str = "output_text", ids_col: str | None = "token_ids",
@@ -94,7 +146,7 @@ def post_process(df: DataFrame, text_col: str = "output_text", ids_col: str | No
     ``undefined``); a stated confidence is always replaced by the log-prob
     confidence of the code's tokens.
     """
-    p = parse_answers(df, text_col)
+    p = parse_answers(df, text_col, with_nace08)
     if ids_col is not None:
         p = p.withColumn("__t", F.when(F.col("__keep"), tokenize(F.col("__code"))))
         p = with_sequence_confidence(p, ids_col, lps_col, "__t", "__conf")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Mapping
 
 import pandas as pd
@@ -46,7 +45,7 @@ def activity_description(text=K.TEXT, agri=K.AGRI_COLUMN, nature=K.NATURE_COLUMN
 @pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode NFKC normalisation (no JVM built-in exists), Arrow-batched."""
-    return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else v)
+    return s.str.normalize("NFKC")
 
 
 def note_of_kind(kind: str, columns: Mapping[str, str] | None = None) -> Column:

@@ -92,7 +92,9 @@ def assemble(
     ``final`` (Z1, union by name) and ``violations`` (C1, ids seen twice).
     Model and human labels are made disjoint by id *before* propagation, so a
     declaration can still be reached from both; by default that shows up in
-    ``violations``.  With ``prefer_human`` the propagated human label wins.
+    ``violations``.  ``prefer_human`` makes the final ids unique: the propagated
+    human label wins, and a combination of attributes with several model labels
+    gives the one of the smallest id; ``conflicts`` lists such combinations.
     ``salts``/``hot_rows`` switch on explicit salting of hot attribute keys in
     the propagation joins (see ``propagate``).
     """
@@ -107,6 +109,10 @@ def assemble(
 
     univ_full = enrich(univ, declarations, id_col)
     model_full = enrich(model, declarations, id_col)
+    per_activity = model_full.groupBy(*attributes).agg(F.collect_set("nace2025").alias("labels"), F.count(F.lit(1)).alias("n"))
+    conflicts = per_activity.filter(F.size("labels") > 1)
+    if prefer_human:
+        model_full = first_per_key(model_full, list(attributes), [id_col, "nace2025"])
     human_full = first_per_key(enrich(human, declarations, id_col), list(attributes), [id_col, "nace2025"])
 
     targets = anti_join_ids(declarations, univ, id_col)
@@ -131,6 +137,7 @@ def assemble(
         "human_propagated": human_spread,
         "final": final,
         "violations": duplicate_keys(final, [id_col]),
+        "conflicts": conflicts,
         # Label rows that reached no declaration (dropped by F4), reported per source
         "model_unmatched": unmatched_labels(model_full, targets, attributes),
         "human_unmatched": unmatched_labels(human_full, targets, attributes),

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from recoda.functions import constants as K
 from recoda.functions.codes import label_covered, label_position, prefix, quoted_codes_in
 from recoda.functions.ensemble import agreement_flags
+from recoda.functions.names import column
 from recoda.operators.dedup import first_per_key
 
 
 def level_match(truth, pred, level: int) -> Column:
     """A1 row flag: do the first ``level`` characters agree?  A null never agrees."""
-    t = F.col(truth) if isinstance(truth, str) else truth
-    p = F.col(pred) if isinstance(pred, str) else pred
+    t = column(truth) if isinstance(truth, str) else truth
+    p = column(pred) if isinstance(pred, str) else pred
     return F.coalesce(prefix(t, level) == prefix(p, level), F.lit(False))
 
 
@@ -41,8 +42,8 @@ def pct(flag: Column, where: Column | None = None, digits: int | None = 2) -> Co
 def to_long(one_row: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:
     """Unpivot a one-row metrics frame into ``(name, value double)``."""
     cols = one_row.columns
-    casted = one_row.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return casted.unpivot([], cols, name, value)
+    casted = one_row.select(*[column(c).cast("double").alias(c) for c in cols])
+    return casted.unpivot([], [column(c) for c in cols], name, value)
 
 
 def prompt_coverage(prompts: DataFrame, labels: DataFrame, id_col: str = K.ID, text_col: str = "user_prompt",
@@ -85,9 +86,11 @@ def evaluate_results(results: DataFrame, ground_truth: DataFrame, prompts: DataF
     metrics table ``(metric, value)``.
     """
     gt = ground_truth_first(ground_truth, gt_order, id_col).select(id_col, "apet_manual")
-    gt = gt.join(results.select(id_col), id_col, "left_semi")
-    coverage = prompt_coverage(prompts, gt, id_col)
-    ev = gt.join(coverage, id_col, "inner").join(results.select(id_col, "nace2025", "codable"), id_col, "inner")
+    labelled = gt.join(results.select(id_col, "nace2025", "codable"), id_col)
+    codes = prompts.select(id_col, quoted_codes_in(F.col("user_prompt")).alias("__codes"))
+    ev = labelled.join(codes, id_col).select(
+        "apet_manual", "nace2025", "codable", label_covered("__codes", "apet_manual").alias("mapping_ok")
+    )
     metrics = accuracy_metrics(ev)
     metrics["eval_size"] = F.count(F.lit(1))
     metrics["mapping_ok"] = F.count_if(F.col("mapping_ok"))
@@ -112,7 +115,7 @@ def agreement_stats(wide: DataFrame, cols: Sequence[str]) -> DataFrame:
     for k in ("full_agreement", "partial_agreement", "all_different", "all_none"):
         aggs.append(F.try_divide(F.count_if(flags[k]) * F.lit(100.0), total).alias(f"{k}_pct"))
     for a, b in combinations(cols, 2):
-        aggs.append(pct(F.coalesce(F.col(a) == F.col(b), F.lit(False)), digits=None).alias(f"agreement_{a}_vs_{b}"))
+        aggs.append(pct(F.coalesce(column(a) == column(b), F.lit(False)), digits=None).alias(f"agreement_{a}_vs_{b}"))
     return wide.agg(*aggs)
 
 
@@ -123,24 +126,32 @@ def accuracy_matrix(ev: DataFrame, models: Sequence[str], ensembles: Sequence[st
     ``ev`` is wide: ``nace2025_{s}`` per strategy, ``codable_{m}`` per base
     model, ``mapping_ok``.  One aggregation computes every cell.
     """
-    cells = {}
     strategies = list(models) + list(ensembles)
-    for i in K.ACCURACY_LEVELS:
-        for s in strategies:
-            cells[f"all|{s}|{i}"] = pct(level_match(truth, f"nace2025_{s}", i))
-        for m in models:
-            cells[f"codable|{m}|{i}"] = pct(level_match(truth, f"nace2025_{m}", i), F.col(f"codable_{m}"))
-        for s in strategies:
-            cells[f"mapping_ok|{s}|{i}"] = pct(level_match(truth, f"nace2025_{s}", i), F.col("mapping_ok"))
-    one = ev.agg(*[v.alias(k) for k, v in cells.items()])
-    long = to_long(one, "cell", "accuracy")
-    parts = F.split("cell", r"\|")
-    return long.select(
-        parts[1].alias("strategy"),
-        parts[0].alias("subset"),
-        parts[2].cast("int").alias("level"),
-        F.col("accuracy"),
+    # agreeing on i characters means agreeing on fewer, so one depth per strategy and row answers every level
+    depth = {
+        s: sum((level_match(truth, f"nace2025_{s}", i).cast("int") for i in K.ACCURACY_LEVELS), F.lit(0))
+        for s in strategies
+    }
+    rows = ev.select(
+        *[d.alias(f"__d{k}") for k, d in enumerate(depth.values())],
+        *[column(f"codable_{m}").alias(f"__c{k}") for k, m in enumerate(models)],
+        F.col("mapping_ok"),
     )
+    cells = {}
+    for n, i in enumerate(sorted(K.ACCURACY_LEVELS), 1):
+        for k, s in enumerate(strategies):
+            reached = F.col(f"__d{k}") >= n
+            cells["all", s, i] = pct(reached)
+            cells["mapping_ok", s, i] = pct(reached, F.col("mapping_ok"))
+            if k < len(models):
+                cells["codable", s, i] = pct(reached, F.col(f"__c{k}"))
+    one = rows.agg(*[v.cast("double").alias(f"c{k}") for k, v in enumerate(cells.values())])
+    named = F.array(*[
+        F.struct(F.lit(s).alias("strategy"), F.lit(subset).alias("subset"), F.lit(i).cast("int").alias("level"),
+                 F.col(f"c{k}").alias("accuracy"))
+        for k, (subset, s, i) in enumerate(cells)
+    ])
+    return one.select(F.inline(named))
 
 
 def best_strategy(matrix: DataFrame, order: Sequence[str]) -> DataFrame:

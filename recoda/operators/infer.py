@@ -1,7 +1,7 @@
 """Plug-in surface for user-supplied models.
 
 The models themselves are not part of this library.  A predictor maps a list
-of prompts to a list of answers; an embedder maps a batch of texts to a
+of chats to a list of answers; an embedder maps a batch of texts to a
 matrix.  Both run inside Arrow-batched Python tasks; the row key always
 travels with its prompt, so outputs are joined back by key, never by position.
 
@@ -12,46 +12,65 @@ test doubles, not models.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from recoda.functions import constants as K
 from recoda.session import ship_package
 
-# a predictor answers a batch of prompts: text, token ids and one log-prob per token
+# a predictor answers a batch of chats (lists of {"role", "content"}): text, token ids and one log-prob per token
+Chat = list[dict[str, str]]
 Answer = tuple[str, list[int], list[float]]
-Predictor = Callable[[Sequence[str]], Sequence[Answer]]
+Predictor = Callable[..., Sequence[Answer]]
 Embedder = Callable[[Sequence[str]], np.ndarray]
 
 ANSWER_SCHEMA = "output_text string, token_ids array<int>, logprobs array<double>"
 
 
-def run_predictor(df: DataFrame, predictor: Predictor, id_col: str = K.ID, prompt_col: str = "user_prompt") -> DataFrame:
-    """One answer per prompt, in Arrow batches (``spark.sql.execution.arrow.maxRecordsPerBatch``)."""
+def run_predictor(
+    df: DataFrame,
+    predictor: Predictor | Callable[[], Predictor],
+    carry: Sequence[str] | None = None,
+    settings: Mapping[str, object] | None = None,
+    per_worker: bool = False,
+) -> DataFrame:
+    """One answer per row, in Arrow batches; the carried columns travel with their prompt.
+
+    ``df`` holds ``system_prompt`` and ``user_prompt``; the predictor is called
+    with the chats (system, then user message) and the generation ``settings``
+    as keywords.  With ``per_worker``, ``predictor`` is a factory: each task
+    calls it once and loads its model there, instead of receiving it with the
+    task.  ``carry``: columns kept beside the answer (default: all but the prompts).
+    """
     ship_package(df.sparkSession)
-    id_type = df.schema[id_col].dataType.simpleString()
+    kept = list(carry) if carry is not None else [c for c in df.columns if c not in ("system_prompt", "user_prompt", "prompt")]
+    options = dict(settings or {})
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = predictor() if per_worker else predictor
         for b in batches:
-            outs = list(predictor(b[prompt_col].tolist()))
-            if len(outs) != len(b):
+            texts = zip(b.column("__system").to_pylist(), b.column("__user").to_pylist(), strict=True)
+            chats = [[{"role": "system", "content": s}, {"role": "user", "content": u}] for s, u in texts]
+            outs = list(model(chats, **options))
+            if len(outs) != len(chats):
                 raise ValueError("the predictor must return one answer per prompt")
-            yield pd.DataFrame(
-                {
-                    id_col: b[id_col].to_numpy(),
-                    "output_text": [o[0] for o in outs],
-                    "token_ids": [list(o[1]) for o in outs],
-                    "logprobs": [list(o[2]) for o in outs],
-                }
-            )
+            columns = [b.column(c) for c in kept] + [
+                pa.array([o[0] for o in outs], pa.string()),
+                pa.array([list(o[1]) for o in outs], pa.list_(pa.int32())),
+                pa.array([list(o[2]) for o in outs], pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "output_text", "token_ids", "logprobs"])
 
-    return df.select(id_col, prompt_col).mapInPandas(answer, f"{id_col} {id_type}, {ANSWER_SCHEMA}")
+    rows = df.select(*kept, F.col("system_prompt").alias("__system"), F.col("user_prompt").alias("__user"))
+    schema = StructType(df.select(*kept).schema.fields + StructType.fromDDL(ANSWER_SCHEMA).fields)
+    return rows.mapInArrow(answer, schema)
 
 
 def char_tokens(text: str) -> list[int]:
@@ -67,12 +86,15 @@ def position_logprobs(n: int) -> list[float]:
 _FIRST_CODE = re.compile(K.QUOTED_CODE_PATTERN)
 
 
-def first_candidate_predictor(prompts: Sequence[str]) -> list[Answer]:
-    """Test double for U2: answer the first quoted candidate code of each prompt."""
+def first_candidate_predictor(chats: Sequence[Chat], **settings) -> list[Answer]:
+    """Test double for U2: answer the first quoted candidate code of each user message.
+
+    It declines when a chat lacks its system message.
+    """
     out = []
-    for p in prompts:
-        m = _FIRST_CODE.search(p or "")
-        if m:
+    for system, user in chats:
+        m = _FIRST_CODE.search(user["content"] or "")
+        if m and system["role"] == "system" and system["content"]:
             text = '{"codable": true, "nace2025": "' + m.group(1) + '", "nace08_valid": true}'
         else:
             text = '{"codable": false}'

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from recoda.functions import constants as K
 from recoda.functions.codes import undot
 from recoda.functions.text import nfkc, note_of_kind
-from recoda.operators.dedup import first_per_key, require_empty
+from recoda.operators.dedup import duplicate_keys, first_per_key, require_empty
 from recoda.session import ship_package, sized_broadcast
 
 
@@ -46,12 +46,14 @@ def normalise_notes(sheet: DataFrame, pos_col: str | None = None) -> DataFrame:
 def notes_by_code(notes: DataFrame) -> DataFrame:
     """J10 + X6 + X7: one row per new code with its include / not_include / notes texts.
 
-    The first sheet row wins for a repeated code.  NFKC normalisation runs on
+    The first sheet row wins for a repeated code, so ``notes`` needs ``pos``, its
+    row number, whenever a code is repeated (else such a code is an error).  NFKC normalisation runs on
     this small, deduplicated table only.
     """
     ship_package(notes.sparkSession)
-    order = ["pos"] if "pos" in notes.columns else []
-    first = first_per_key(notes, ["code25"], order)
+    if "pos" not in notes.columns:
+        require_empty(duplicate_keys(notes, ["code25"]), "repeated note codes, and no row number to choose the first")
+    first = first_per_key(notes, ["code25"], ["pos"] if "pos" in notes.columns else [])
     kinds = {kind: nfkc(note_of_kind(kind)) for kind in K.NOTE_KINDS}
     return first.select(
         undot("code25").alias("code25"),
@@ -68,13 +70,13 @@ def missing_notes(correspondence: DataFrame, notes: DataFrame) -> DataFrame:
     return codes.join(notes.select(undot("code25").alias("code25")), "code25", "left_anti")
 
 
-def nested_mapping(correspondence: DataFrame, notes: DataFrame, strict: bool = False) -> DataFrame:
+def nested_mapping(correspondence: DataFrame, notes: DataFrame, strict: bool = True) -> DataFrame:
     """M1: group the flat correspondence into one row per old code.
 
     The old label is the one of the first sheet row; targets keep sheet order
     and repeated (old, new) pairs are kept, so they count towards ambiguity.
     Rows with a null old code are dropped, as a grouping by code drops them.
-    With ``strict``, a new code without explanatory notes is an error (J10).
+    A new code without explanatory notes is an error (J10) unless ``strict`` is off.
     """
     if strict:
         require_empty(missing_notes(correspondence, notes), "new codes without explanatory notes")

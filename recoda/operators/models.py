@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
+from recoda.functions.names import column
 
 JOIN_TYPES = {"inner": "inner", "left": "left", "right": "right", "outer": "full"}
 
@@ -42,7 +43,7 @@ def merge_frames(
     for name, df in frames.items():
         cols = list(columns) if columns is not None else df.columns
         sel = [
-            F.col(c).alias(rename[c].format(key=name)) if rename and c in rename and c not in on_list else F.col(c)
+            column(c).alias(rename[c].format(key=name)) if rename and c in rename and c not in on_list else column(c)
             for c in cols
         ]
         prepared.append(df.select(*sel))
@@ -66,27 +67,30 @@ def models_wide(
     values: Sequence[str] = ("nace2025", "codable"),
     id_col: str = K.ID,
     how: str = "inner",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per id, columns ``{value}_{model}``.
+    """One row per id, columns ``{value}_{model}``; model names may hold any character.
 
-    Per model, the first row of an id (by the value columns, nulls first) is
-    kept.  ``how="inner"`` keeps ids every model predicted (Z2), ``"left"``
+    Per model one row of an id is kept: the first by ``order`` (such as the run),
+    then one with a first value before one without, then by the value columns.  ``how="inner"`` keeps ids every model predicted (Z2), ``"left"``
     ids of the first model, ``"outer"`` every id.
     """
     if how not in ("inner", "left", "outer"):
         raise ValueError("how must be inner, left or outer")
     vals = list(values)
     aggs = []
-    for m in models:
-        packed = F.when(F.col("model") == F.lit(m), F.struct(F.lit(True).alias("present"), *[F.col(v) for v in vals]))
-        aggs.append(F.min(packed).alias(f"__{m}"))
+    kept = [column(v).alias(f"v{i}") for i, v in enumerate(vals)]
+    first = [column(c).alias(f"o{i}") for i, c in enumerate(order)]
+    for i, m in enumerate(models):
+        packed = F.when(F.col("model") == F.lit(m), F.struct(*first, column(vals[0]).isNull().alias("absent"), *kept))
+        aggs.append(F.min(packed).alias(f"__{i}"))
     wide = long.filter(F.col("model").isin(list(models))).groupBy(id_col).agg(*aggs)
-    present = [F.col(f"__{m}").isNotNull() for m in models]
+    present = [F.col(f"__{i}").isNotNull() for i in range(len(models))]
     if how == "inner":
         wide = wide.filter(reduce(lambda a, b: a & b, present))
     elif how == "left":
         wide = wide.filter(present[0])
     out = [F.col(id_col)]
-    for m in models:
-        out += [F.col(f"__{m}")[v].alias(f"{v}_{m}") for v in vals]
+    for i, m in enumerate(models):
+        out += [F.col(f"__{i}")[f"v{k}"].alias(f"{v}_{m}") for k, v in enumerate(vals)]
     return wide.select(*out)

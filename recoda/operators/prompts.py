@@ -47,15 +47,14 @@ def chat(system: F.Column, user: F.Column) -> F.Column:
 
 
 def mapping_prompts(workset: DataFrame, mapping: DataFrame, template: Mapping[str, str],
-                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = False,
+                    id_col: str = K.ID, code_col: str = K.OLD_CODE, check: bool = True,
                     carry: Sequence[str] = ()) -> DataFrame:
     """Q5: prompt each declaration with the targets of its old code.
 
-    J9: an old code missing from the mapping is an error.  Rows of
-    ``ambiguous_workset`` are restricted to mapped codes by construction, so
-    the check is off by default; with ``check`` the distinct old codes (not
-    the rows) are compared with the mapping before anything else runs.  The
-    old code reaches the prompt dotted.
+    J9: an old code missing from the mapping is an error: the distinct old codes
+    (not the rows) are compared with the mapping before anything else runs.
+    ``check=False`` skips that for rows restricted to mapped codes already, as
+    those of ``ambiguous_workset``.  The old code reaches the prompt dotted.
     """
     cands = sized_broadcast(candidates_by_code(mapping))
     if check:

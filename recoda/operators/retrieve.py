@@ -12,7 +12,8 @@ matrix product inside Arrow-batched Python tasks and only the best ``k`` (or
   a per-query window with ``row_number() <= k`` (planned as a
   ``WindowGroupLimit``) merges the per-block winners.
 
-Ties are broken by the smaller document id.  Vectors are compared in double.
+Scores are rounded to twelve digits, ties go to the smaller document id; so the
+result is the same for every block size.  Vectors are compared in double.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from recoda.session import row_count_at_most, ship_package
 
 PairScorer = Callable[[np.ndarray, np.ndarray], np.ndarray]
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+SCORE_DIGITS = 12  # a matrix product adds in an order that depends on the block; ranks must not
 SCORE_CELLS = 4_000_000  # query rows x documents scored at once inside a task
 
 
@@ -82,12 +84,13 @@ def _block_topk(qids, qmat, dids, dmat, k: int, fetch_k: int | None, scorer: Pai
     frames = []
     for lo in range(0, len(qids), step):
         hi = min(len(qids), lo + step)
-        cos = qu[lo:hi] @ du.T
+        # equal vectors must get equal scores wherever they lie in a block: rank on the rounded score
+        cos = np.round(qu[lo:hi] @ du.T, SCORE_DIGITS)
         idx = _take_top(cos, first)  # (rows, f): best cosine first, then smaller id
         rows = np.arange(lo, hi)[:, None].repeat(idx.shape[1], axis=1)
         out = {"qid": qids[rows], "did": dids[idx], "cosine": np.take_along_axis(cos, idx, axis=1)}
         if scorer is not None:
-            p = np.asarray(scorer(qmat[rows.reshape(-1)], dmat[idx.reshape(-1)]), dtype=np.float64)
+            p = np.round(np.asarray(scorer(qmat[rows.reshape(-1)], dmat[idx.reshape(-1)]), dtype=np.float64), SCORE_DIGITS)
             out["pair_score"] = p.reshape(idx.shape)
             if final:
                 by_id = np.argsort(idx, axis=1, kind="stable")

@@ -15,17 +15,19 @@ caller chooses (the shared storage of the cluster).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.functions.ensemble import cascade, majority_vote, weighted_vote
-from recoda.functions.response import post_process
+from recoda.functions.names import column
+from recoda.functions.response import post_process, python_tokenizer, text_tokens
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import assemble
-from recoda.operators.dedup import require_empty
+from recoda.operators.dedup import duplicate_keys, require_empty
 from recoda.operators.infer import Embedder, Predictor, embed, run_predictor
 from recoda.operators.mapping import with_mapping_ok
 from recoda.operators.models import models_wide
@@ -33,7 +35,8 @@ from recoda.operators.prompts import label_documents, mapping_prompts, retrieval
 from recoda.operators.recode import recode_unambiguous
 from recoda.operators.workset import ambiguous_workset, split_shards
 from recoda.session import scratch_path
-from recoda.sources.sinks import append_metrics, append_params, write_collection, write_results, write_table
+from recoda.sources.sinks import write_collection, write_metrics, write_params, write_results, write_table
+from recoda.sources.tables import attach_collection
 
 ID = K.ID
 
@@ -60,13 +63,23 @@ def encode_ambiguous(
     gt_order: Sequence[str] = (),
     retrieval: Mapping | None = None,
     prompts_path: str | None = None,
+    per_worker: bool = False,
+    settings: Mapping | None = None,
+    tokenizer: Callable[[Sequence[str]], Sequence[Sequence[int]]] | None = None,
 ) -> DataFrame:
     """Entry A: encode the ambiguous work set with one model and evaluate it.
 
     ``shard`` (1..3) keeps one third of the ordered work set, as the original
     one-job-per-third fan-out; ``None`` keeps all.  ``strategy`` is ``mapping``
     (candidates from the correspondence) or ``retrieval`` (``retrieval`` then
-    holds ``documents, retriever_template, embedder`` and optional ``scorer``).
+    holds ``documents, retriever_template, embedder`` and optional ``scorer``,
+    ``k``, ``fetch_k`` and ``collection``, the path of a stored collection whose
+    vectors are used instead of embedding the documents again, with ``model``,
+    the name its vectors must come from).
+    ``predictor`` gets whole chats and the generation ``settings`` (default: the
+    fixed temperature, length and seed); with ``per_worker`` it is a factory that
+    each task calls once.  ``tokenizer`` maps codes to the model's token ids, which
+    the confidence needs (default: the test tokenizer).
     The prompt dataset goes to ``prompts_path`` (default: the shared checkpoint
     folder).  Returns the long metrics table (accuracy, sizes, coded counts).
     """
@@ -74,34 +87,69 @@ def encode_ambiguous(
     if shard is not None:
         data = split_shards(data).filter(F.col("shard") == shard).drop("position", "shard")
     if strategy == "mapping":
-        prompts = mapping_prompts(data, mapping, template, carry=data.columns)
+        prompts = mapping_prompts(data, mapping, template, carry=data.columns, check=False)
     elif strategy == "retrieval":
         r = dict(retrieval or {})
+        vectors = None
+        if r.get("collection"):
+            vectors, made_by = attach_collection(extraction.sparkSession, r["collection"])
+            if r.get("model") and r["model"] != made_by:
+                raise ValueError(f"the collection's vectors come from {made_by!r}, the queries from {r['model']!r}")
+            vectors = vectors.select("code", "vector")
         prompts = retrieval_prompts(data, r["documents"], template, r["retriever_template"], r["embedder"],
-                                    scorer=r.get("scorer"), carry=data.columns)
+                                    scorer=r.get("scorer"), carry=data.columns, doc_vectors=vectors,
+                                    k=r.get("k", K.TOP_K), fetch_k=r.get("fetch_k", K.RERANK_FETCH_K))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     # Q11: the prompt dataset is written once; inference, results and evaluation
     # all read it, and the lineage before the (expensive) model call is cut.
     spark = extraction.sparkSession
     ds_path = prompts_path or scratch_path(spark, f"prompts-{model}-{run_id}-{shard or 'all'}")
-    write_table(prompts, ds_path)
+    write_table(prompts.drop("prompt"), ds_path)  # the chat is rebuilt from its two texts
     dataset = spark.read.parquet(ds_path)
-    answers = run_predictor(dataset, predictor)
-    processed = post_process(answers, keep=(ID,))
-    results = dataset.select(*data.columns).join(processed, ID, "inner")  # on the key, never by position
+    settings = {"temperature": K.TEMPERATURE, "max_new_tokens": K.MAX_NEW_TOKENS, "seed": K.SEED, **(settings or {})}
+    # the row's columns travel with its prompt: no join back
+    answers = run_predictor(dataset, predictor, data.columns, settings, per_worker)
+    results = post_process(answers, keep=tuple(data.columns), with_nace08=strategy == "mapping",
+                           tokenize=python_tokenizer(tokenizer) if tokenizer else text_tokens)
     path = write_results(results, results_root, model, run_id, shard)
     stored = spark.read.parquet(path)
     metrics = E.evaluate_results(stored, ground_truth, dataset, gt_order=gt_order).unionByName(
         E.to_long(E.coded_stats(stored))
     )
-    if metrics_path:
-        append_metrics(metrics.withColumn("model", F.lit(model)), metrics_path, run_id)
-        append_params(spark, {
-            "model": model, "strategy": strategy, "shard": shard, "temperature": K.TEMPERATURE,
-            "max_new_tokens": K.MAX_NEW_TOKENS, "seed": K.SEED, "output_path": path, "prompts_path": ds_path,
-        }, metrics_path + "_params", run_id)
-    return metrics
+    if not metrics_path:
+        return metrics
+    written = write_metrics(metrics, metrics_path, run_id, model, shard)
+    write_params(spark, {"strategy": strategy, **settings, "output_path": path, "prompts_path": ds_path},
+                 metrics_path + "_params", run_id, model, shard)
+    return spark.read.schema("metric string, value double").parquet(written)  # computed once
+
+
+def write_prompts(
+    extraction: DataFrame,
+    mapping: DataFrame,
+    ground_truth: DataFrame,
+    template: Mapping[str, str],
+    output: str,
+    order: Sequence[str] = (),
+    gt_order: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Q11: write the prompt dataset of the annotated work set; its rows' coverage and the covered share.
+
+    Returns ``(coverage per row, one-row percentage)``, both read from the written dataset.
+    """
+    data = ambiguous_workset(extraction, mapping, ground_truth, order=order)
+    write_table(mapping_prompts(data, mapping, template, carry=data.columns, check=False).drop("prompt"), output)
+    dataset = extraction.sparkSession.read.parquet(output)
+    coverage = E.prompt_coverage(dataset, E.ground_truth_first(ground_truth, gt_order))
+    return coverage, E.coverage_pct(coverage)
+
+
+class Choice(NamedTuple):
+    labels: DataFrame
+    matrix: DataFrame
+    best: str
+    agreement: DataFrame
 
 
 def choose_labels(
@@ -112,11 +160,11 @@ def choose_labels(
     weights: Sequence[float],
     output: str | None = None,
     gt_order: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame, str]:
-    """Entry C: ensembles of several models, accuracy matrix, the best strategy's labels.
+) -> Choice:
+    """Entry C: ensembles of several models, accuracy matrix, agreement, the best strategy's labels.
 
     ``predictions`` is the long ``(model, id, nace2025, codable)`` table (read
-    with ``read_runs``).  Returns ``(labels, matrix, best strategy)``.
+    with ``read_runs``).  The agreement statistics are those of the evaluated (labelled) rows.
     """
     cols = [f"nace2025_{m}" for m in models]
     wide = models_wide(predictions, models).select(
@@ -125,15 +173,18 @@ def choose_labels(
         majority_vote(cols).alias("nace2025_vote"),
         weighted_vote(cols, weights, mode="last").alias("nace2025_weighted"),
     )
+    # the matrix, the agreement and the labels all read it
+    spark = predictions.sparkSession
+    wide = spark.read.parquet(write_table(wide, scratch_path(spark, "wide")))
     gt = with_mapping_ok(E.ground_truth_first(ground_truth, gt_order), mapping, "NAF2008_code", "apet_manual")
     ev = wide.join(gt.select(ID, "apet_manual", "mapping_ok"), ID, "inner")
     ensembles = ("cascade", "vote", "weighted")
     matrix = E.accuracy_matrix(ev, models, ensembles)
     best = E.best_strategy(matrix, list(models) + list(ensembles)).first()["strategy"]
-    labels = wide.select(ID, F.col(f"nace2025_{best}").alias("nace2025"))
+    labels = wide.select(ID, column(f"nace2025_{best}").alias("nace2025"))
     if output:
         write_table(labels, output)
-    return labels, matrix, best
+    return Choice(labels, matrix, best, E.agreement_stats(ev, cols))
 
 
 def build_final(
@@ -149,9 +200,17 @@ def build_final(
     salts: int = 0,
     hot_rows: int = 1_000_000,
 ) -> dict[str, DataFrame]:
-    """Entry D: the final table; duplicate ids fail the job before anything is written."""
+    """Entry D: the final table; duplicate ids fail the job before the output is written.
+
+    The table is computed once, into the shared scratch folder; the check and
+    the output read it there.  ``prefer_human`` makes ids unique by rule (see
+    ``assemble``) instead of failing.
+    """
     parts = assemble(extraction, univocal, model_labels, human_labels, order=order, human_order=human_order,
                      prefer_human=prefer_human, salts=salts, hot_rows=hot_rows)
+    spark = extraction.sparkSession
+    parts["final"] = spark.read.parquet(write_table(parts["final"], scratch_path(spark, "final")))
+    parts["violations"] = duplicate_keys(parts["final"], [ID])
     if fail_on_duplicates:
         require_empty(parts["violations"], "the final table would hold duplicate ids")
     if output:

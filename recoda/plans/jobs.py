@@ -13,19 +13,31 @@ from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.functions.ensemble import cascade, majority_vote, weighted_vote
-from recoda.functions.response import answer_status, post_process, text_tokens, with_sequence_confidence
+from recoda.functions.response import (
+    answer_status,
+    parse_answers,
+    post_process,
+    text_tokens,
+    with_sequence_confidence,
+)
 from recoda.functions.text import activity_description, lower_if_all_upper, nfkc
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import anti_join_ids, assemble, enrich
-from recoda.operators.dedup import first_per_key
+from recoda.operators.dedup import duplicate_keys, first_per_key, require_empty
 from recoda.operators.infer import (
     embed,
     first_candidate_predictor,
-    hashed_char_embedder,
     letter_count_embedder,
     run_predictor,
 )
-from recoda.operators.mapping import nested_mapping, notes_by_code, unique_targets, with_mapping_ok
+from recoda.operators.mapping import (
+    nested_mapping,
+    normalise_correspondence,
+    normalise_notes,
+    notes_by_code,
+    unique_targets,
+    with_mapping_ok,
+)
 from recoda.operators.models import common_ids, models_wide
 from recoda.operators.prompts import label_documents, mapping_prompts, retrieval_prompts
 from recoda.operators.recode import recode_unambiguous
@@ -33,8 +45,8 @@ from recoda.operators.retrieve import dot_product_scorer, similar_topk
 from recoda.operators.workset import ambiguous_workset, split_shards
 from recoda.session import scratch_path, ship_package
 from recoda.sources import fixtures as X
-from recoda.sources.sinks import write_collection, write_results
-from recoda.sources.tables import attach_collection, read_runs, read_table
+from recoda.sources.sinks import write_collection, write_metrics, write_results, write_table
+from recoda.sources.tables import attach_collection, read_runs, read_sheet, read_table, sql_over
 from recoda.sources.templates import load_template
 
 ID = K.ID
@@ -47,7 +59,7 @@ SCORE_DIGITS = 6
 
 def mapping(spark: SparkSession, sf: str) -> DataFrame:
     """The nested mapping, cached: a nomenclature-sized table every job reads several times."""
-    return nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf)).cache()
+    return nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf), strict=False).cache()
 
 
 def workset(spark: SparkSession, sf: str, annotated: bool = False) -> DataFrame:
@@ -92,16 +104,17 @@ def mapping_template(spark: SparkSession) -> dict[str, str]:
 
 
 def prompts_for(spark: SparkSession, sf: str, annotated: bool) -> DataFrame:
-    return mapping_prompts(workset(spark, sf, annotated), mapping(spark, sf), mapping_template(spark))
+    ws = workset(spark, sf, annotated)
+    return mapping_prompts(ws, mapping(spark, sf), mapping_template(spark), check=False)  # its codes are the mapping's
 
 
-def assembled(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def assembled(spark: SparkSession, sf: str, **options) -> dict[str, DataFrame]:
     ex = X.extraction(spark, sf)
     mp = mapping(spark, sf)
     ws_ids = workset(spark, sf).select(ID)
     labels = model_results(spark, sf).join(ws_ids, ID, "left_semi").select(ID, "nace2025")
     human = X.ground_truth(spark, sf).select(ID, F.col("apet_manual").alias("nace2025"), "g_seq")
-    return assemble(ex, recode_unambiguous(ex, mp), labels, human, order=["row_seq"], human_order=["g_seq"])
+    return assemble(ex, recode_unambiguous(ex, mp), labels, human, order=["row_seq"], human_order=["g_seq"], **options)
 
 
 def evaluation_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +135,7 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- one query per item
 
 def q_mapping_nested_size(spark, sf):
-    m = nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf), strict=True)
+    m = nested_mapping(X.correspondence(spark, sf), X.notes(spark, sf))
     return m.select(
         "code08", "label08", "n_targets",
         F.array_join(F.col("targets.code"), ",").alias("target_codes"),
@@ -178,6 +191,14 @@ def q_assemble_final(spark, sf):
     return assembled(spark, sf)["final"]
 
 
+def q_assemble_unique(spark, sf):
+    """The final table by rule: human labels first, one model label per activity; repeated ids are an error."""
+    final = assembled(spark, sf, prefer_human=True)["final"]
+    final = spark.read.parquet(write_table(final, scratch_path(spark, "final")))
+    require_empty(duplicate_keys(final, [ID]), "the final table holds repeated ids")
+    return final
+
+
 def q_assemble_violations(spark, sf):
     return assembled(spark, sf)["violations"]
 
@@ -202,6 +223,16 @@ q_ensemble_weighted_last = _ensemble(lambda c: weighted_vote(c, X.MODEL_WEIGHTS,
 q_ensemble_weighted_sum = _ensemble(lambda c: weighted_vote(c, X.MODEL_WEIGHTS, mode="sum"))
 
 
+def q_ensemble_named_models(spark, sf):
+    """The vote over models with real names (dots, slashes, dashes), each with a second, empty answer per id."""
+    preds = X.predictions(spark, sf)
+    named = F.create_map(*[F.lit(x) for pair in X.MODEL_NAMES.items() for x in pair])
+    preds = preds.withColumn("model", named[F.col("model")])
+    empty = preds.withColumn("nace2025", F.lit(None).cast("string")).withColumn("codable", F.lit(True))
+    w = models_wide(preds.unionByName(empty), list(X.MODEL_NAMES.values()))
+    return w.select(ID, majority_vote([f"nace2025_{m}" for m in X.MODEL_NAMES.values()]).alias("label"))
+
+
 def q_agreement_rows(spark, sf):
     return E.agreement_rows(wide(spark, sf), model_cols())
 
@@ -222,10 +253,10 @@ def q_mapping_ok(spark, sf):
 
 
 def q_accuracy_levels(spark, sf):
-    ws = workset(spark, sf, annotated=True)
-    prompts = mapping_prompts(ws, mapping(spark, sf), mapping_template(spark))
-    results = model_results(spark, sf).join(ws.select(ID), ID, "left_semi")
-    return E.evaluate_results(results, X.ground_truth(spark, sf), prompts, gt_order=["g_seq", "apet_manual", "NAF2008_code"])
+    # the prompts hold exactly the work set's ids, so joining them restricts the results to it
+    prompts = prompts_for(spark, sf, True)
+    return E.evaluate_results(model_results(spark, sf), X.ground_truth(spark, sf), prompts,
+                              gt_order=["g_seq", "apet_manual", "NAF2008_code"])
 
 
 def q_accuracy_matrix(spark, sf):
@@ -300,7 +331,7 @@ def q_similar_topk(spark, sf):
     e = embeddings(spark, sf)
     q = e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
     d = e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("doc_vec"))
-    top = similar_topk(q, d, k=K.TOP_K)
+    top = similar_topk(q, d, k=K.TOP_K)  # exact; the document side is a nomenclature in real use
     return top.select("query_id", "doc_id", F.round("cosine", SCORE_DIGITS).alias("score"), "rank")
 
 
@@ -321,15 +352,15 @@ def q_responses_status(spark, sf):
 
 
 def q_confidence_scores(spark, sf):
-    r = X.responses(spark, sf)
-    code = F.get_json_object("output_text", "$.nace2025")
-    r = with_sequence_confidence(r.withColumn("__t", text_tokens(F.coalesce(code, F.lit("")))), "token_ids", "logprobs", "__t")
+    r = parse_answers(X.responses(spark, sf))
+    code = F.coalesce(F.col("__code"), F.lit(""))
+    r = with_sequence_confidence(r.withColumn("__t", text_tokens(code)), "token_ids", "logprobs", "__t")
     return r.select(ID, F.round("confidence", SCORE_DIGITS).alias("confidence"))
 
 
 def q_infer_batch(spark, sf):
     prompts = prompts_for(spark, sf, False)
-    answers = run_predictor(prompts, first_candidate_predictor)
+    answers = run_predictor(prompts, first_candidate_predictor, carry=[ID])
     out = post_process(answers, keep=(ID,))
     return out.withColumn("confidence", F.round("confidence", SCORE_DIGITS))
 
@@ -355,11 +386,14 @@ def q_runs_by_path(spark, sf):
 
 def q_embeddings_roundtrip(spark, sf):
     docs = label_documents(mapping(spark, sf))
-    vecs = embed(docs.select("code", "content"), "content", hashed_char_embedder(64), "vector")
+    vecs = embed(docs.select("code", "content"), "content", letter_count_embedder(), "vector")
     path = scratch_path(spark, "collection")
-    write_collection(vecs.select("code", "vector"), path, "hashed-trigram-64")
+    write_collection(vecs.select("code", "vector"), path, "letter-count-26")
     coll, model = attach_collection(spark, path)
-    return coll.select("code", "model", F.size("vector").alias("dims"), F.lit(model).alias("collection_model"))
+    # letter counts can be recomputed in SQL, so the values are compared too
+    first = F.transform("vector", lambda x: F.round(x.cast("double"), SCORE_DIGITS))
+    return coll.select("code", "model", F.size("vector").alias("dims"), F.lit(model).alias("collection_model"),
+                       F.array_join(F.transform(first, lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",").alias("values"))
 
 
 def q_metrics_long(spark, sf):
@@ -368,6 +402,43 @@ def q_metrics_long(spark, sf):
     return acc.unionByName(coded)
 
 
+def q_sheets_by_position(spark, sf):
+    """Both sheets written as CSV, read back as text with row numbers, normalised, nested."""
+    root = scratch_path(spark, "sheets")
+    corr = X.correspondence(spark, sf).orderBy("pos").drop("pos").coalesce(1)
+    names = [f"col {i}" for i in range(max(K.CORRESPONDENCE_POSITIONS.values()) + 1)]
+    at = {i: name for name, i in K.CORRESPONDENCE_POSITIONS.items()}
+    corr = corr.select(*[(F.col(at[i]) if i in at else F.lit("-")).alias(n) for i, n in enumerate(names)])
+    notes = X.notes(spark, sf).orderBy("pos").coalesce(1)
+    notes = notes.select(*[F.col(short).alias(long) for long, short in K.NOTES_SHEET_COLUMNS.items()])
+    for name, sheet in (("corr", corr), ("notes", notes)):
+        sheet.write.option("header", "true").option("escape", '"').csv(f"{root}/{name}")
+    read_corr = normalise_correspondence(read_sheet(spark, f"{root}/corr", names, row_col="row"), "row")
+    read_notes = normalise_notes(read_sheet(spark, f"{root}/notes", list(K.NOTES_SHEET_COLUMNS), row_col="row"), "row")
+    m = nested_mapping(read_corr, read_notes)
+    return m.select(
+        "code08", "label08", "n_targets",
+        F.array_join(F.col("targets.code"), ",").alias("target_codes"),
+        (F.col("n_targets") > 1).alias("is_ambiguous"),
+    )
+
+
+def q_sql_over_frames(spark, sf):
+    """SQL over two frames."""
+    frames = {"ex": X.extraction(spark, sf), "gt": X.ground_truth(spark, sf)}
+    return sql_over(spark, "SELECT ex.apet_finale AS code08, count(*) AS n_rows FROM {ex} ex "
+                           "WHERE ex.liasse_numero IN (SELECT liasse_numero FROM {gt}) GROUP BY ex.apet_finale", frames)
+
+
+def q_metrics_written(spark, sf):
+    """K4: the metrics of a run, written twice under their shard and read back once."""
+    root = scratch_path(spark, "metrics")
+    coded = E.to_long(E.coded_stats(model_results(spark, sf)))
+    for _ in range(2):
+        path = write_metrics(coded, root, "r1", "org/model-1.5", 2)
+    return spark.read.option("basePath", root).parquet(path).select("metric", "value", "run_id", "model", F.col("shard").cast("int").alias("shard"))
+
+
 def q_encode_ambiguous_metrics(spark, sf):
     """Entry A end to end with the test-double predictor: metrics of the run."""
     from recoda.plans.entrypoints import encode_ambiguous

@@ -67,12 +67,13 @@ CORR = f"""corr AS (
   SELECT {c08('p_partkey')} AS code08, 'old ' || p_name AS label08,
          {c25(tgt('p_partkey', 'k'))} AS code25, 'new ' || p_type || ' ' || p_brand AS label25,
          p_partkey * 3 + k AS pos
-  FROM (SELECT p_partkey, p_name, p_type, p_brand, unnest(range(0, p_partkey % 3 + 1)) AS k FROM part) t)"""
+  FROM (SELECT p_partkey, p_name, p_type, p_brand, unnest(range(0, p_partkey % 3 + 1)) AS k FROM part) t
+  QUALIFY row_number() OVER (PARTITION BY code08, code25, k ORDER BY p_partkey) = 1)"""
 
 NOTES = f"""notes_raw AS (
   SELECT {c25('p_partkey')} AS code25, 'title ' || p_name AS title,
          CASE WHEN p_partkey % 5 <> 0 THEN 'general ' || p_type END AS note_generale,
-         CASE WHEN p_partkey % 2 = 0 THEN 'includes ' || p_name END AS comprend,
+         CASE WHEN p_partkey % 2 = 0 THEN 'includes ' || p_name || ' fin2' END AS comprend,
          CASE WHEN p_partkey % 3 = 0 THEN 'also ' || p_brand END AS comprend_aussi,
          CASE WHEN p_partkey % 4 = 0 THEN 'excludes ' || p_type END AS ne_comprend_pas,
          p_partkey AS npos
@@ -242,14 +243,21 @@ def _json_code(code: str) -> str:
 
 
 RESPONSES = f"""responses0 AS (
-  SELECT liasse_numero, CASE cast(liasse_numero as bigint) % 6
+  SELECT liasse_numero, CASE cast(liasse_numero as bigint) % 12
     WHEN 0 THEN '{{"codable": true, "nace2025": ' || {_json_code('nace2025')} || ', "nace08_valid": '
                 || CASE WHEN cast(liasse_numero as bigint) % 4 = 0 THEN 'false' ELSE 'true' END || '}}'
     WHEN 1 THEN 'codable: yes, code ' || coalesce({dot('nace2025')}, 'none')
     WHEN 2 THEN '{{"nace2025": ' || {_json_code('nace2025')} || '}}'
     WHEN 3 THEN '{{"codable": true}}'
     WHEN 4 THEN '{{"codable": false, "nace2025": ' || {_json_code('nace2025')} || '}}'
-    ELSE '{{"codable": "true", "nace2025": ' || {_json_code('nace2025')} || ', "confidence": 0.9}}' END AS output_text
+    WHEN 5 THEN '{{"codable": "true", "nace2025": ' || {_json_code('nace2025')} || ', "confidence": 0.9}}'
+    WHEN 6 THEN '{{"codable": true, "nace2025": ' || {_json_code('nace2025')} || '}} as asked'
+    WHEN 7 THEN '{{''codable'': true, ''nace2025'': ' || {_json_code('nace2025')} || '}}'
+    WHEN 8 THEN '{{"codable": true, "nace2025": 111}}'
+    WHEN 9 THEN '{{"codable": true, "nace2025": {{"a": ' || {_json_code('nace2025')} || '}}}}'
+    WHEN 10 THEN '{{"codable": true, "nace2025": ' || {_json_code('nace2025')} || ', "confidence": "high"}}'
+    ELSE '{{"codable": ' || CASE WHEN cast(liasse_numero as bigint) % 4 = 3 THEN '"On"' ELSE '1.0' END
+         || ', "nace2025": ' || {_json_code('nace2025')} || ', "nace08_valid": "no"}}' END AS output_text
   FROM pred_a),
 responses AS (
   SELECT liasse_numero, output_text,
@@ -258,21 +266,38 @@ responses AS (
   FROM responses0)"""
 
 
+def _lax_boolean(field: str) -> str:
+    """true / false of a JSON value a lenient validator takes as a boolean, else null."""
+    text, kind = f"json_extract_string(js, '$.{field}')", f"json_type(js, '$.{field}')"
+    return (f"CASE WHEN {kind} = 'BOOLEAN' THEN {text} = 'true' "
+            f"WHEN {kind} IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN "
+            f"CASE cast({text} AS DOUBLE) WHEN 1 THEN true WHEN 0 THEN false END "
+            f"WHEN {kind} = 'VARCHAR' THEN CASE WHEN lower({text}) IN ('1', 'on', 't', 'true', 'y', 'yes') THEN true "
+            f"WHEN lower({text}) IN ('0', 'off', 'f', 'false', 'n', 'no') THEN false END END")
+
+
 def parsed_cte(src: str = "responses", name: str = "parsed") -> str:
+    absent = lambda f: f"coalesce(json_type(js, '$.{f}'), 'NULL') = 'NULL'"
     return f"""{name}_raw AS (
-  SELECT *, CASE WHEN json_valid(output_text) THEN json_type(output_text) = 'OBJECT' ELSE false END AS is_obj FROM {src}),
+  SELECT *, json_type(js) = 'OBJECT' AS is_obj
+  FROM (SELECT *, CASE WHEN json_valid(output_text) THEN output_text ELSE 'null' END AS js FROM {src})),
 {name}_f AS (
   SELECT *,
-    CASE WHEN is_obj THEN json_extract_string(output_text, '$.codable') END AS c_raw,
-    CASE WHEN is_obj THEN json_extract_string(output_text, '$.nace2025') END AS code_raw,
-    CASE WHEN is_obj THEN json_extract_string(output_text, '$.nace08_valid') END AS nv_raw
+    CASE WHEN is_obj THEN {_lax_boolean('codable')} END AS c_b,
+    CASE WHEN is_obj AND json_type(js, '$.nace2025') = 'VARCHAR'
+         THEN json_extract_string(js, '$.nace2025') END AS code_raw,
+    CASE WHEN is_obj THEN {_lax_boolean('nace08_valid')} END AS nv_b,
+    CASE WHEN is_obj THEN ({absent('nace2025')} OR json_type(js, '$.nace2025') = 'VARCHAR')
+      AND ({absent('nace08_valid')} OR {_lax_boolean('nace08_valid')} IS NOT NULL)
+      AND ({absent('confidence')} OR json_type(js, '$.confidence') IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN')
+           OR (json_type(js, '$.confidence') = 'VARCHAR'
+               AND try_cast(json_extract_string(js, '$.confidence') AS DOUBLE) IS NOT NULL))
+      ELSE false END AS typed
   FROM {name}_raw),
-{name}_v AS (
-  SELECT *, try_cast(c_raw AS boolean) AS c_b, try_cast(nv_raw AS boolean) AS nv_b FROM {name}_f),
 {name}_k AS (
-  SELECT *, is_obj AND c_b IS NOT NULL AND (nv_raw IS NULL OR nv_b IS NOT NULL)
+  SELECT *, is_obj AND typed AND c_b IS NOT NULL
             AND NOT (c_b AND coalesce(code_raw, '') = '') AND code_raw IS NOT NULL AS keep
-  FROM {name}_v),
+  FROM {name}_f),
 {name} AS (
   SELECT liasse_numero,
          CASE WHEN keep THEN c_b ELSE false END AS codable,
@@ -422,10 +447,10 @@ RETRIEVAL = [
     f"rd AS (SELECT code, content, {letter_vector('content')} AS v FROM ld)",
     "rtop AS (SELECT q.liasse_numero, d.code, d.content, "
     "list_cosine_similarity(cast(q.v AS DOUBLE[]), cast(d.v AS DOUBLE[])) AS cosine FROM rq q, rd d "
-    "QUALIFY row_number() OVER (PARTITION BY q.liasse_numero ORDER BY cosine DESC, d.code ASC) <= 5)",
+    "QUALIFY row_number() OVER (PARTITION BY q.liasse_numero ORDER BY round(cosine, 12) DESC, d.code ASC) <= 5)",
     f"ragg AS (SELECT liasse_numero, string_agg({lit(K.RETRIEVED_DOC_PREFIX)} || content, {NL} || {NL} "
-    f"ORDER BY cosine DESC, code ASC) AS block, string_agg({QUOTE} || {dot('code')} || {QUOTE}, ', ' "
-    f"ORDER BY cosine DESC, code ASC) AS listed FROM rtop GROUP BY liasse_numero)",
+    f"ORDER BY round(cosine, 12) DESC, code ASC) AS block, string_agg({QUOTE} || {dot('code')} || {QUOTE}, ', ' "
+    f"ORDER BY round(cosine, 12) DESC, code ASC) AS listed FROM rtop GROUP BY liasse_numero)",
 ]
 RETRIEVAL_SELECT = (
     "SELECT a.liasse_numero, g.listed AS proposed_codes, "
@@ -559,11 +584,11 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT n.conv_id, n.n_messages, s.user_role, s.user_text FROM n LEFT JOIN s ON n.conv_id = s.conv_id"),
     "similar_topk": (
         "WITH " + SIM + " SELECT query_id, doc_id, round(cosine, 6) AS score, cast(rank as integer) AS rank FROM ("
-        "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, doc_id ASC) AS rank FROM sim) "
+        "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 12) DESC, doc_id ASC) AS rank FROM sim) "
         "WHERE rank <= 5"),
     "similar_rerank": (
         "WITH " + SIM + ", top35 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
-        "ORDER BY cosine DESC, doc_id ASC) AS r1 FROM sim) WHERE r1 <= 35) "
+        "ORDER BY round(cosine, 12) DESC, doc_id ASC) AS r1 FROM sim) WHERE r1 <= 35) "
         "SELECT query_id, doc_id, round(dotp, 6) AS score, cast(rank as integer) AS rank FROM ("
         "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dotp DESC, doc_id ASC) AS rank FROM top35) "
         "WHERE rank <= 5"),
@@ -576,8 +601,9 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS n FROM parsed GROUP BY 1"),
     "confidence_scores": q(
         RESPONSES,
-        "rc AS (SELECT *, CASE WHEN json_valid(output_text) THEN json_extract_string(output_text, '$.nace2025') END AS code "
-        "FROM responses)",
+        "rj AS (SELECT *, CASE WHEN json_valid(output_text) THEN output_text ELSE 'null' END AS js FROM responses)",
+        "rc AS (SELECT *, CASE WHEN json_type(js, '$.nace2025') = 'VARCHAR' THEN json_extract_string(js, '$.nace2025') END "
+        "AS code FROM rj)",
         f"SELECT liasse_numero, round({confidence_sql('token_ids', 'logprobs', 'coalesce(code, ' + chr(39) * 2 + ')')}, 6) "
         f"AS confidence FROM rc"),
     "infer_batch": q(
@@ -603,9 +629,29 @@ ORACLE_SQL: dict[str, str] = {
         f"coded AS ({coded_long('res')})",
         "SELECT * FROM acc UNION ALL SELECT * FROM coded"),
     "embeddings_roundtrip": q(
-        "u AS (SELECT code25 AS code FROM corr GROUP BY code25)",
-        "SELECT code, 'hashed-trigram-64' AS model, cast(64 as integer) AS dims, "
-        "'hashed-trigram-64' AS collection_model FROM u"),
+        LABEL_DOCS,
+        f"lv AS (SELECT code, {letter_vector('content')} AS v FROM ld)",
+        "SELECT code, 'letter-count-26' AS model, cast(26 as integer) AS dims, 'letter-count-26' AS collection_model, "
+        "array_to_string(list_transform(v, lambda x: cast(cast(round(round(cast(x AS DOUBLE), 6) * 1000000) AS BIGINT) "
+        "AS VARCHAR)), ',') AS values FROM lv"),
+    "sheets_by_position": q(
+        "SELECT code08, arg_min(label08, pos) AS label08, cast(count(*) as integer) AS n_targets, "
+        "string_agg(code25, ',' ORDER BY pos) AS target_codes, count(*) > 1 AS is_ambiguous FROM corr GROUP BY code08"),
+    "sql_over_frames": q(
+        "SELECT apet_finale AS code08, count(*) AS n_rows FROM extraction e WHERE EXISTS "
+        "(SELECT 1 FROM ground_truth g WHERE g.liasse_numero = e.liasse_numero) GROUP BY apet_finale"),
+    "metrics_written": q(
+        f"coded AS ({coded_long('pred_a')})",
+        "SELECT metric, value, 'r1' AS run_id, 'org--model-1.5' AS model, cast(2 as integer) AS shard FROM coded"),
+    "ensemble_named_models": q(WIDE, f"SELECT liasse_numero, {VOTE} AS label FROM wide"),
+    "assemble_unique": q(
+        *_assemble_ctes(),
+        f"model_one AS (SELECT * FROM model_full QUALIFY row_number() OVER (PARTITION BY {attrs()} "
+        f"ORDER BY liasse_numero ASC NULLS FIRST, nace2025 ASC NULLS FIRST) = 1)",
+        f"model_reach AS (SELECT t.liasse_numero, m.nace2025, {attrs('m.')} FROM model_one m JOIN targets t ON "
+        + " AND ".join(f"m.{a} IS NOT DISTINCT FROM t.{a}" for a in ATTRS) + " WHERE t.liasse_numero IS NOT NULL)",
+        "SELECT * FROM univ_full UNION ALL SELECT * FROM human_prop UNION ALL "
+        "SELECT * FROM model_reach m WHERE NOT EXISTS (SELECT 1 FROM human_prop h WHERE h.liasse_numero = m.liasse_numero)"),
     "metrics_long": q(
         CAND, *EVAL_ANNOTATED,
         f"acc AS ({_accuracy_long('ev')})",

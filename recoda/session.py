@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # nomenclature: a few thousand rows.  Anything under this many rows may be
 # broadcast; above it the join falls back to a shuffle join.
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "recoda") -> SparkSession:
@@ -39,8 +40,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  Only when neither is set (a local test session) do we pick a private
-    temporary folder and register it, so later calls agree.
+    dir).  Only when neither is set and the master is local (tests) do we pick a
+    private temporary folder and register it, so later calls agree; on a cluster
+    each executor would write to its own disk, so that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="recoda-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -59,27 +63,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/recoda/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this library wrote below the checkpoint folder (call when no result needs it any more)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/recoda")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> tuple[bool, int]:
     """Whether ``df`` has at most ``limit`` rows, counting no further than limit+1."""
     n = df.limit(limit + 1).count()
     return n <= limit, n
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only after checking its size.
+def sized_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame:
+    """Hint ``df`` for broadcast only after checking its rows and bytes.
 
-    The check reads at most ``max_rows + 1`` rows of the (small) reference side.
-    Beyond the bound the frame is returned unhinted, so Catalyst/AQE plan a
-    shuffle join instead of shipping a growing table to every executor.  A
-    frame proven small stays cached, so the probe's work is reused by the join.
+    One probe reads at most ``max_rows + 1`` rows, uncached, and adds up their
+    size as JSON text (an upper estimate of the data).  Beyond either bound the
+    frame is returned unhinted, so Catalyst/AQE plan a shuffle join instead of
+    shipping a growing table to every executor.
     """
-    df = df.cache()
-    small, _ = row_count_at_most(df, max_rows)
-    if not small:
-        df.unpersist()
-        return df
-    # proven small: keep the materialised rows, so the join does not recompute them
-    return F.broadcast(df)
+    size = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0))
+    rows, n_bytes = df.limit(max_rows + 1).select(size.alias("s")).agg(F.count(F.lit(1)), F.sum("s")).first()
+    return F.broadcast(df) if rows <= max_rows and (n_bytes or 0) <= max_bytes else df
 
 
 def ship_package(spark: SparkSession | None = None) -> None:

@@ -11,6 +11,10 @@ every query grows with the tables.  The same derivations are written in SQL in
 Code rules (undotted, four digits then a letter):
   old code of n: ``lpad(floor(n/3) mod 10000, 4) || chr(65 + n mod 3)``
   new code of n: ``lpad(floor(n/2) mod 10000, 4) || chr(70 + n mod 4)``
+Codes repeat every 30,000 parts, as a nomenclature does not grow with its use:
+the sheet holds each (old code, new code, k) once, from the first part that has
+it.  For every third part the targets k = 0 and k = 1 are one new code, so a
+fixed share of pairs stays repeated and counts towards ambiguity.
 """
 
 from __future__ import annotations
@@ -19,10 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoda.functions.codes import dot
+from recoda.operators.dedup import first_per_key
 from recoda.sources.tables import read_table
 
 MODELS = ("a", "b", "c")
 MODEL_WEIGHTS = (2.0, 2.0, 1.0)
+# names as real models have them
+MODEL_NAMES = {"a": "org-a/model-2.5-32B.chat", "b": "model--b-1.0", "c": "c`s model.v3"}
 # (null when id mod this is 0, spread of the chosen target)
 MODEL_RULES = {"a": (11, 2), "b": (7, 3), "c": (5, 4)}
 
@@ -63,7 +70,7 @@ def correspondence(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("p_partkey") % 3)).alias("k"))
     old = dot(code08(F.col("p_partkey")))
     new = dot(code25(target_of(F.col("p_partkey"), F.col("k"))))
-    return rows.select(
+    sheet = rows.select(
         old.alias("naf08_niv5"),
         F.substring(old, 1, 5).alias("naf08_niv4"),
         F.concat(F.lit("old "), F.col("p_name")).alias("lib_naf08_niv5"),
@@ -71,7 +78,9 @@ def correspondence(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(new, 1, 5).alias("naf25_niv4"),
         F.concat(F.lit("new "), F.col("p_type"), F.lit(" "), F.col("p_brand")).alias("lib_naf25_niv5"),
         (F.col("p_partkey") * 3 + F.col("k")).alias("pos"),
+        "k",
     )
+    return first_per_key(sheet, ["naf08_niv5", "naf25_niv5", "k"], ["pos"]).drop("k")
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +91,8 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         dot(code25(n)).alias("code25"),
         F.concat(F.lit("title "), F.col("p_name")).alias("title"),
         F.when(n % 5 != 0, F.concat(F.lit("general "), F.col("p_type"))).alias("note_generale"),
-        F.when(n % 2 == 0, F.concat(F.lit("includes "), F.col("p_name"))).alias("comprend"),
+        # a ligature and a superscript, which the notes' NFKC turns into plain letters and digits
+        F.when(n % 2 == 0, F.concat(F.lit("includes "), F.col("p_name"), F.lit(" \ufb01n\u00b2"))).alias("comprend"),
         F.when(n % 3 == 0, F.concat(F.lit("also "), F.col("p_brand"))).alias("comprend_aussi"),
         F.when(n % 4 == 0, F.concat(F.lit("excludes "), F.col("p_type"))).alias("ne_comprend_pas"),
         n.alias("pos"),
@@ -152,12 +162,13 @@ def _json_code(code: Column) -> Column:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw model answers for model ``a`` in six shapes (valid, not JSON, no flag, ...),
-    with their (character) token ids and log-probs."""
+    """Raw model answers for model ``a`` in twelve shapes (valid, not JSON, no flag, text
+    after the object, wrong quotes, ill-typed fields, lenient booleans, ...), with their
+    (character) token ids and log-probs."""
     p = predictions(spark, sf_dir).filter(F.col("model") == "a")
     ident = F.col("liasse_numero").cast("long")
     cj = _json_code(F.col("nace2025"))
-    case = ident % 6
+    case = ident % 12
     text = (
         F.when(case == 0, F.concat(F.lit('{"codable": true, "nace2025": '), cj, F.lit(', "nace08_valid": '),
                                    F.when(ident % 4 == 0, F.lit("false")).otherwise(F.lit("true")), F.lit("}")))
@@ -165,7 +176,14 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 2, F.concat(F.lit('{"nace2025": '), cj, F.lit("}")))
         .when(case == 3, F.lit('{"codable": true}'))
         .when(case == 4, F.concat(F.lit('{"codable": false, "nace2025": '), cj, F.lit("}")))
-        .otherwise(F.concat(F.lit('{"codable": "true", "nace2025": '), cj, F.lit(', "confidence": 0.9}')))
+        .when(case == 5, F.concat(F.lit('{"codable": "true", "nace2025": '), cj, F.lit(', "confidence": 0.9}')))
+        .when(case == 6, F.concat(F.lit('{"codable": true, "nace2025": '), cj, F.lit("} as asked")))
+        .when(case == 7, F.concat(F.lit("{'codable': true, 'nace2025': "), cj, F.lit("}")))
+        .when(case == 8, F.lit('{"codable": true, "nace2025": 111}'))
+        .when(case == 9, F.concat(F.lit('{"codable": true, "nace2025": {"a": '), cj, F.lit("}}")))
+        .when(case == 10, F.concat(F.lit('{"codable": true, "nace2025": '), cj, F.lit(', "confidence": "high"}')))
+        .otherwise(F.concat(F.lit('{"codable": '), F.when(ident % 4 == 3, F.lit('"On"')).otherwise(F.lit("1.0")),
+                            F.lit(', "nace2025": '), cj, F.lit(', "nace08_valid": "no"}')))
     )
     texts = p.select("liasse_numero", text.alias("output_text"))
     tokens = texts.withColumn("token_ids", F.transform(F.split("output_text", ""), lambda ch: F.ascii(ch)))

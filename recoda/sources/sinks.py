@@ -47,15 +47,22 @@ def write_collection(vectors: DataFrame, path: str, model: str) -> str:
     return path
 
 
-def append_metrics(metrics: DataFrame, path: str, run_id: str) -> str:
-    """K4: append a long ``(metric, value)`` table under a run id."""
-    metrics.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
-    return path
+def _run_path(root: str, run_id: str, model: str, shard: int | str | None) -> str:
+    """Hive-style folder of one shard of one run of one model (a slash in a model's name becomes ``--``)."""
+    parts = {"run_id": run_id, "model": model.replace("/", "--"), "shard": "all" if shard is None else str(shard)}
+    for name, value in parts.items():
+        if "/" in value or ":" in value or "=" in value:
+            raise ValueError(f"{name} {value!r} cannot be a path segment")
+    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in parts.items()]])
 
 
-def append_params(spark, params: dict, path: str, run_id: str) -> str:
-    """K4: append the run's parameters ``(param, value)`` (a handful of driver-side settings)."""
+def write_metrics(metrics: DataFrame, root: str, run_id: str, model: str, shard: int | str | None = None) -> str:
+    """K4: a long ``(metric, value)`` table under its run, model and shard; writing it again replaces it."""
+    return write_table(metrics.select("metric", "value").coalesce(1), _run_path(root, run_id, model, shard))
+
+
+def write_params(spark, params: dict, root: str, run_id: str, model: str, shard: int | str | None = None) -> str:
+    """K4: the run's parameters ``(param, value)`` beside its metrics (a handful of driver-side settings)."""
     rows = [(str(k), str(v)) for k, v in params.items()]
     df = spark.createDataFrame(rows, "param string, value string")
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
-    return path
+    return write_table(df.coalesce(1), _run_path(root, run_id, model, shard))

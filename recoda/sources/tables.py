@@ -23,16 +23,23 @@ def sql_over(spark: SparkSession, query: str, tables: Mapping[str, DataFrame]) -
     return spark.sql(query, **tables)
 
 
-def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "csv") -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "csv",
+               row_col: str | None = None) -> DataFrame:
     """S3: a reference sheet exported as CSV/Parquet, every column read as text.
 
-    Malformed rows fail the read (``FAILFAST``) instead of being dropped.
+    Malformed rows, and header names other than ``columns`` in this order, fail
+    the read (``FAILFAST``, no ``enforceSchema``) instead of being dropped or
+    read into wrong columns.  ``row_col`` adds a row number that rises with the
+    place in the sheet (one file, read by one task), which "first row" rules need.
     """
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", "true").option("mode", "FAILFAST").option("multiLine", "true").csv(path)
-    return reader.format(fmt).load(path)
+        options = {"header": "true", "mode": "FAILFAST", "multiLine": "true", "enforceSchema": "false", "escape": '"'}
+        sheet = reader.options(**options).csv(path)
+    else:
+        sheet = reader.format(fmt).load(path)
+    return sheet.withColumn(row_col, F.monotonically_increasing_id()) if row_col else sheet
 
 
 RESULT_SCHEMA = (

@@ -23,7 +23,7 @@ def test_encode_ambiguous_by_shards_covers_the_work_set(spark):
     metrics_path = scratch_path(spark, "t-metrics")
     tpl = jobs.mapping_template(spark)
     ex, mp, gt = X.extraction(spark, SF_SMALL), jobs.mapping(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL)
-    for third in (1, 2, 3):  # three shard jobs of the same run share one directory tree
+    for third in (1, 2, 3, 3):  # three shard jobs of the same run share one directory tree; one is run again
         m = EP.encode_ambiguous(ex, mp, gt, first_candidate_predictor, tpl, "m1", "run-a", root,
                                 metrics_path=metrics_path, shard=third, order=["row_seq"])
         assert {r["metric"] for r in m.collect()} >= {"accuracy_overall_lvl_5", "eval_size", "num_coded"}
@@ -34,18 +34,20 @@ def test_encode_ambiguous_by_shards_covers_the_work_set(spark):
     assert sorted(r[0] for r in runs.select("shard").distinct().collect()) == ["1", "2", "3"]
     assert spark.read.parquet(metrics_path).filter("run_id = 'run-a'").select("metric").count() == 3 * 20
     params = spark.read.parquet(metrics_path + "_params").filter("run_id = 'run-a'").collect()
+    assert {(r["model"], r["shard"]) for r in params} == {("m1", 1), ("m1", 2), ("m1", 3)}
     by_name = {}
     for r in params:
         by_name.setdefault(r["param"], set()).add(r["value"])
-    assert by_name["shard"] == {"1", "2", "3"} and by_name["model"] == {"m1"}
     assert {float(v) for v in by_name["temperature"]} == {0.01}
 
 
 def test_choose_labels_and_build_final(spark):
-    labels, matrix, best = EP.choose_labels(X.predictions(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL),
+    labels, matrix, best, agreement = EP.choose_labels(X.predictions(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL),
                                             jobs.mapping(spark, SF_SMALL), X.MODELS, X.MODEL_WEIGHTS)
     assert best in ("a", "b", "c", "cascade", "vote", "weighted")
     assert matrix.count() == 75
+    evaluated = jobs.evaluation_frame(spark, SF_SMALL).count()
+    assert agreement.first()["total_samples"] == evaluated < X.predictions(spark, SF_SMALL).count() // 3
     expected = jobs.q_best_strategy(spark, SF_SMALL)
     assert sorted(labels.collect()) == sorted(expected.select("liasse_numero", "nace2025").collect())
     ex, mp = X.extraction(spark, SF_SMALL), jobs.mapping(spark, SF_SMALL)
@@ -58,9 +60,10 @@ def test_choose_labels_and_build_final(spark):
                            human_order=["g_seq"], fail_on_duplicates=False)
     assert parts["final"].count() > 0
     strict = EP.build_final(ex, recode_unambiguous(ex, mp), model_labels, human, order=["row_seq"],
-                            human_order=["g_seq"], fail_on_duplicates=False, prefer_human=True)
-    # human precedence removes the model/human overlaps; what remains is duplicates inside one source
-    assert strict["violations"].count() <= parts["violations"].count()
+                            human_order=["g_seq"], prefer_human=True)
+    # human labels come first and an activity has one model label: no id is left twice
+    assert strict["violations"].count() == 0 < parts["violations"].count()
+    assert strict["conflicts"].filter("n < 2").count() == 0
     human_ids = {r[0] for r in strict["human_propagated"].select("liasse_numero").collect()}
     model_ids = {r[0] for r in strict["model_propagated"].select("liasse_numero").collect()}
     assert not (human_ids & model_ids)
@@ -77,6 +80,37 @@ def test_build_label_collection(spark):
     assert model == "trigram-16" and coll.count() == jobs.q_label_documents(spark, SF_SMALL).count()
 
 
+def test_prompt_dataset_job(spark):
+    out = scratch_path(spark, "t-prompts")
+    rows, share = EP.write_prompts(
+        X.extraction(spark, SF_SMALL), jobs.mapping(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL),
+        jobs.mapping_template(spark), out, order=["row_seq"], gt_order=["g_seq", "apet_manual", "NAF2008_code"])
+    assert sorted(rows.collect()) == sorted(jobs.q_prompt_dataset_codes(spark, SF_SMALL).collect())
+    assert share.collect() == jobs.q_coverage_pct(spark, SF_SMALL).collect()
+
+
+def test_retrieval_from_a_stored_collection(spark):
+    import pytest
+
+    tpl = prompt_templates(spark)
+    mp = jobs.mapping(spark, SF_SMALL)
+    path = scratch_path(spark, "t-stored")
+    EP.build_label_collection(mp, hashed_char_embedder(32), "trigram-32", path)
+
+    def run(name, **extra):
+        root = scratch_path(spark, name)
+        EP.encode_ambiguous(
+            X.extraction(spark, SF_SMALL), mp, X.ground_truth(spark, SF_SMALL), first_candidate_predictor,
+            load_template(tpl, "retrieval-classifier"), "m2", "r1", root, strategy="retrieval", order=["row_seq"],
+            retrieval={"documents": jobs.q_label_documents(spark, SF_SMALL), "embedder": hashed_char_embedder(32),
+                       "retriever_template": load_template(tpl, "retriever"), **extra})
+        return sorted(read_runs(spark, root, {"m2": ["r1"]}).select("liasse_numero", "nace2025").collect())
+
+    assert run("t-c1", collection=path, model="trigram-32") == run("t-c2")
+    with pytest.raises(ValueError):
+        run("t-c3", collection=path, model="another")
+
+
 def test_retrieval_strategy_runs(spark):
     tpl = prompt_templates(spark)
     docs = jobs.q_label_documents(spark, SF_SMALL)

@@ -241,6 +241,84 @@ def test_sized_broadcast_only_below_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sized_broadcast_reads_no_further_than_its_bound_and_checks_bytes(spark):
+    from recoda.session import sized_broadcast
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    big = spark.range(0, 400_000, 1, 4).mapInPandas(count, "id long")
+    probed = sized_broadcast(big, max_rows=1_000)
+    assert not probed.is_cached and seen.value <= 4 * 10_000 + 10_000
+    wide = spark.range(50).select("id", F.lit("x" * 10_000).alias("t"))
+    for bound, hinted in ((100_000, False), (1_000_000, True)):
+        plan = sized_broadcast(wide, max_bytes=bound)._jdf.queryExecution().logical().toString()
+        assert ("ResolvedHint" in plan or "UnresolvedHint" in plan) == hinted
+
+
+def test_topk_ties_go_to_the_smaller_id_for_every_block_size(spark):
+    import numpy as np
+
+    from recoda.operators.retrieve import similar_topk
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 33))
+    vectors = [base[i % 60 if i % 7 else 3] for i in range(400)]  # many exact copies
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "doc_id long, doc_vec array<double>")
+    queries = spark.createDataFrame([(i, (v + 0.01).tolist()) for i, v in enumerate(vectors[:90])],
+                                    "query_id long, query_vec array<double>")
+    got = []
+    for rows in (50_000, 64, 37):
+        top = similar_topk(queries, docs, k=5, block_rows=rows).collect()
+        got.append(sorted((r["query_id"], r["rank"], r["doc_id"]) for r in top))
+    assert got[0] == got[1] == got[2]
+    unit = np.stack(vectors) / np.linalg.norm(np.stack(vectors), axis=1, keepdims=True)
+    for q in range(90):
+        own = (vectors[q] + 0.01) / np.linalg.norm(vectors[q] + 0.01)
+        scores = [round(float(np.dot(own, u)), 11) for u in unit]
+        want = sorted(range(400), key=lambda i: (-scores[i], i))[:5]
+        assert [d for i, r, d in got[0] if i == q] == want
+
+
+def test_wide_table_takes_any_model_name_and_prefers_an_answer(spark):
+    from recoda.operators.models import models_wide
+
+    rows = [("org/m-2.5", 1, None, True), ("org/m-2.5", 1, "B", False), ("a`b.c", 1, "C", True)]
+    long = spark.createDataFrame(rows, "model string, liasse_numero long, nace2025 string, codable boolean")
+    out = models_wide(long, ["org/m-2.5", "a`b.c"]).first().asDict()
+    assert out["nace2025_org/m-2.5"] == "B" and out["nace2025_a`b.c"] == "C"
+
+
+def test_predictor_sees_the_whole_chat_settings_and_is_set_up_per_task(spark):
+    from recoda.functions.response import post_process, python_tokenizer
+    from recoda.operators.infer import run_predictor
+
+    def factory():
+        def answer(chats, temperature):
+            assert temperature == 0.5
+            out = []
+            for system, user in chats:
+                assert (system["role"], user["role"]) == ("system", "user")
+                code = f"{user['content']}-{system['content']}"
+                text = '{"codable": true, "nace2025": "' + code + '"}'
+                out.append((text, [9000, 9001, 9002, 9003], [-0.1, -0.2, -0.4, -0.3]))
+            return out
+
+        return answer
+
+    df = spark.createDataFrame([(1, "keep", "S", "U"), (None, None, "T", "V")],
+                               "liasse_numero long, extra string, system_prompt string, user_prompt string")
+    answers = run_predictor(df, factory, settings={"temperature": 0.5}, per_worker=True)
+    tokenizer = python_tokenizer(lambda texts: [[9001, 9002] for _ in texts])
+    out = {r["extra"]: r for r in post_process(answers, keep=("liasse_numero", "extra"), tokenize=tokenizer).collect()}
+    assert out["keep"]["nace2025"] == "U-S" and out[None]["nace2025"] == "V-T" and out[None]["liasse_numero"] is None
+    assert abs(out["keep"]["confidence"] - (0.8187307530779818 + 0.6703200460356393) / 2) < 1e-12
+
+
 def test_shards_do_not_depend_on_partition_count(spark):
     df = spark.createDataFrame([(f"k{(i * 7919) % 1009:05d}",) for i in range(1009)], "liasse_numero string")
     a = sorted(tuple(r) for r in split_shards(df, partitions=3).collect())

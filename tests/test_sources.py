@@ -5,7 +5,7 @@ from recoda.functions import constants as K
 from recoda.operators.mapping import normalise_correspondence, normalise_notes
 from recoda.plans import jobs
 from recoda.session import checkpoint_root, scratch_path
-from recoda.sources.sinks import append_metrics, write_results
+from recoda.sources.sinks import write_metrics, write_results
 from recoda.sources.tables import read_runs, read_sheet
 from recoda.sources.templates import load_template, prompt_templates
 
@@ -71,19 +71,77 @@ def test_strict_mapping_and_empty_ambiguity(spark):
                                   "code25 string, title string, note_generale string, comprend string, "
                                   "comprend_aussi string, ne_comprend_pas string, pos long")
     with pytest.raises(AssertionError):
-        nested_mapping(corr, notes, strict=True)
-    m = nested_mapping(corr, notes)
+        nested_mapping(corr, notes)
+    m = nested_mapping(corr, notes, strict=False)
     ex = spark.createDataFrame([("1", "0111A")], "liasse_numero string, apet_finale string")
     with pytest.raises(ValueError):
         ambiguous_workset(ex, m, columns=["liasse_numero"], attributes=[])
 
 
-def test_metrics_append(spark):
+def test_metrics_of_shards_and_runs_stand_side_by_side_and_are_replaced(spark):
     path = scratch_path(spark, "test-metrics")
     m = spark.createDataFrame([("accuracy_overall_lvl_5", 12.5)], "metric string, value double")
-    append_metrics(m, path, "r1")
-    append_metrics(m, path, "r2")
-    assert spark.read.parquet(path).count() == 2
+    for run, shard in (("r1", 1), ("r1", 2), ("r2", None), ("r1", 1)):
+        write_metrics(m, path, run, "org/m.1", shard)
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r["run_id"], r["model"], str(r["shard"])) for r in rows) == [
+        ("r1", "org--m.1", "1"), ("r1", "org--m.1", "2"), ("r2", "org--m.1", "all")]
+
+
+def test_sheet_with_other_columns_fails(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "s.csv").write_text("b,a\n1,2\n3,4\n")
+    rows = read_sheet(spark, str(tmp_path / "s.csv"), ["b", "a"], row_col="row").orderBy("row").collect()
+    assert [(r["b"], r["a"]) for r in rows] == [("1", "2"), ("3", "4")]
+    with pytest.raises(Exception, match="header|column"):
+        read_sheet(spark, str(tmp_path / "s.csv"), ["a", "b"]).collect()
+
+
+def test_repeated_note_codes_need_a_row_number(spark):
+    import pytest
+
+    from recoda.operators.mapping import notes_by_code
+
+    rows = [("01.1A", "z", None, None, None, None, 0), ("01.1A", "a", None, None, None, None, 1)]
+    notes = spark.createDataFrame(rows, "code25 string, title string, note_generale string, comprend string, "
+                                        "comprend_aussi string, ne_comprend_pas string, pos long")
+    assert notes_by_code(notes).first()["title"] == "z"
+    with pytest.raises(AssertionError):
+        notes_by_code(notes.drop("pos"))
+
+
+def test_the_nomenclature_stays_bounded_and_unambiguous_codes_remain(spark, tmp_path):
+    from recoda.operators.mapping import nested_mapping
+    from recoda.sources import fixtures as X
+
+    part = spark.range(1, 70_001).selectExpr("id AS p_partkey", "'n' AS p_name", "'t' AS p_type", "'b' AS p_brand")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    m = nested_mapping(X.correspondence(spark, str(tmp_path)), X.notes(spark, str(tmp_path)), strict=False)
+    sizes = {r["n_targets"]: r["count"] for r in m.groupBy("n_targets").count().collect()}
+    assert sizes == {1: 10_000, 2: 10_000, 3: 10_000}
+
+
+def test_no_private_folder_off_a_local_master(spark):
+    import pytest
+
+    from recoda.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "local-cluster[2,1,512]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
 
 
 def test_templates(spark):
