@@ -51,7 +51,7 @@ def worker_state(key: tuple, make: Callable[[], object]) -> object:
     return store[key]
 
 
-def slices(texts: Iterable[str], max_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: Iterable[str], max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive runs of texts with about ``max_chars`` characters each."""
     start, size, i = 0, 0, -1
     for i, t in enumerate(texts):

@@ -52,7 +52,7 @@ def frequent_units(
         if len(merged) > 20 * table_units:
             merged = Counter(dict(merged.most_common(5 * table_units)))
     units = [u for u, _ in merged.most_common(table_units)]
-    return {u: len(b) // 4 for u, b in zip(units, UnitEncoder(tokenizer).encode(units), strict=True)} if units else {}
+    return {u: len(b) // 4 for u, b in zip(units, UnitEncoder(tokenizer).unit_ids(units), strict=True)}
 
 
 def count_tokens(
@@ -84,9 +84,7 @@ def count_tokens(
             for a, b in slices(texts):
                 split = [enc.units(t) for t in texts[a:b]]
                 fresh = list(set().union(*(u for u in split if u is not None)).difference(first, second))
-                for i in range(0, len(fresh), 50_000):
-                    block = fresh[i : i + 50_000]
-                    second.update(zip(block, map(len, enc._ids(block)), strict=True))
+                second.update((x, len(ids) // 4) for x, ids in zip(fresh, enc.unit_ids(fresh), strict=True))
                 for t, u in zip(texts[a:b], split, strict=True):
                     if u is None:
                         counts.append(len(enc._ids([t])[0]))

@@ -18,14 +18,15 @@ from recoda.llm.common import single_threaded
 # (Python's own \s and str.split() also take the four separators x1c-x1f).
 WS = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
 _WORDS = re.compile(f"[^{WS}]+")
 _BLANK_GLUED = re.compile(f" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
 
 
 class UnitEncoder:
-    """Encodes texts of one tokenizer file; keeps at most ``max_units`` cached units."""
+    """Encodes texts of one tokenizer file; keeps two generations of about ``max_units`` cached units."""
 
-    def __init__(self, path: str, max_units: int = 400_000):
+    def __init__(self, path: str, max_units: int = 250_000):
         single_threaded()
         from tokenizers import Tokenizer
 
@@ -36,9 +37,12 @@ class UnitEncoder:
             spec = json.load(f)
         special = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
         self.special = re.compile("|".join(special)) if special else None
+        plain = [t for t in spec.get("added_tokens", []) if not (t["lstrip"] or t["rstrip"] or t["single_word"])]
+        self.separator = plain[-1]["content"] if plain and not plain[-1]["normalized"] else None
         self.kind = self._kind(spec)
         self.max_units = max_units
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -65,26 +69,44 @@ class UnitEncoder:
             return None
         if self.kind == "blank_glued":
             return _BLANK_GLUED.findall(text)
+        if not _BEYOND_LATIN.search(text):
+            text = text.lower()  # as the tokenizer lowers it, character by character
         return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit, as bytes.
+
+        Units are joined by a special token (no unit holds one), which the library
+        cuts out before anything else, and encoded as one text: that costs far
+        less than a text for each.
+        """
+        import numpy as np
+
+        if self.separator is None:
+            return [np.asarray(ids, "<u4").tobytes() for ids in self._ids(units)]
+        out: list[bytes] = []
+        mark = self.tokenizer.token_to_id(self.separator)
+        for i in range(0, len(units), 1000):
+            ids = np.asarray(self._ids([self.separator.join(units[i : i + 1000])])[0], "<u4")
+            cuts, flat = (4 * np.flatnonzero(ids == mark)).tolist(), ids.tobytes()
+            out += [flat[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(flat)], strict=True)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text: its ids as little-endian unsigned 32-bit integers."""
         import numpy as np
 
         if len(self.cache) > self.max_units:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache  # units met again move back from the older generation
         cache, split = self.cache, [self.units(t) for t in texts]
-        fresh = list(set().union(*(u for u in split if u is not None)).difference(cache))
-        if fresh:
-            encoded = self._ids(fresh)
-            flat = np.fromiter((i for ids in encoded for i in ids), "<u4").tobytes()
-            at = 0
-            for unit, ids in zip(fresh, encoded, strict=True):
-                cache[unit] = flat[at : at + 4 * len(ids)]
-                at += 4 * len(ids)
+        fresh = set().union(*(u for u in split if u is not None)).difference(cache)
+        again = fresh.intersection(self.older)
+        cache.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        fresh = list(fresh.difference(again))
+        cache.update(zip(fresh, self.unit_ids(fresh), strict=True))
         out = []
         for text, u in zip(texts, split, strict=True):
             if u is None:
