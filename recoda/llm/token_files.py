@@ -197,6 +197,8 @@ def write_token_files(
         if writer is not None:
             writer.close()
             writer.out.close()
+            if fs.get_file_info(f"{folder}/{name}").is_file:
+                fs.delete_file(f"{folder}/{name}")  # of an earlier attempt, or of an older run into this folder
             fs.move(own, f"{folder}/{name}")
             yield batch(
                 part=("int32", [part]),
