@@ -24,7 +24,7 @@ def undot(code) -> Column:
 def dot(code) -> Column:
     """Insert a dot after the first two characters of an undotted code."""
     c = _c(code)
-    return F.concat(F.substring(c, 1, 2), F.lit("."), F.substring(c, 3, 1_000_000))
+    return F.concat(F.substring(c, 1, 2), F.lit("."), F.substr(c, F.lit(3)))
 
 
 def prefix(code, n: int) -> Column:

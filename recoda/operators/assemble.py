@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.operators.dedup import duplicate_keys, first_per_key
-from recoda.session import sized_broadcast
+from recoda.session import sized_broadcast, stored
 
 
 def anti_join_ids(df: DataFrame, ids: DataFrame, id_col: str = K.ID) -> DataFrame:
@@ -96,12 +96,14 @@ def assemble(
     human label wins, and a combination of attributes with several model labels
     gives the one of the smallest id; ``conflicts`` lists such combinations.
     ``salts``/``hot_rows`` switch on explicit salting of hot attribute keys in
-    the propagation joins (see ``propagate``).
+    the propagation joins (see ``propagate``).  The deduplicated declarations
+    are written to the shared checkpoint folder when this is called.
     """
     keep = [id_col, *attributes]
     d1_order = list(order) + [c for c in attributes if c not in order]
     declarations = first_per_key(extraction.select(*keep, *[c for c in order if c not in keep]), [id_col], d1_order)
-    declarations = declarations.select(*keep)
+    # four later steps read the declarations: deduplicate them once, into the shared folder
+    declarations = stored(declarations.select(*keep), "declarations")
 
     univ = first_per_key(univocal.select(id_col, "nace2025"), [id_col], ["nace2025"])
     human = first_per_key(human_labels, [id_col], list(human_order) + ["nace2025"]).select(id_col, "nace2025")

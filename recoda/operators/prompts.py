@@ -19,7 +19,7 @@ from recoda.operators.dedup import require_empty
 from recoda.operators.infer import Embedder, embed
 from recoda.operators.mapping import unique_targets
 from recoda.operators.retrieve import PairScorer, similar_topk
-from recoda.session import sized_broadcast
+from recoda.session import sized_broadcast, stored
 
 
 def candidates_by_code(mapping: DataFrame) -> DataFrame:
@@ -123,7 +123,8 @@ def retrieval_prompts(
         activity.alias("__activity"),
         render(retriever_template["user"], {"activity_description": activity}, ("activity_description",)).alias("__q"),
     )
-    queries = embed(queries, "__q", embedder, "__qvec")
+    # read twice below (scores, prompts): work set and vectors are computed once
+    queries = stored(embed(queries, "__q", embedder, "__qvec").drop("__q"), "queries")
     if doc_vectors is None:
         doc_vectors = embed(documents.select("code", "content"), "content", embedder, "vector").select("code", "vector")
     top = similar_topk(

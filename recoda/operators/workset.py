@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
@@ -90,3 +90,14 @@ def split_shards(df: DataFrame, key: str = K.ID, shards: int = K.SHARDS, partiti
         F.least(F.lit(shards), (F.floor(pos / q) + 1).cast("int"))
     )
     return placed.select(*df.columns, pos.alias("position"), shard.cast("int").alias("shard"))
+
+
+def write_shards(df: DataFrame, path: str, key: str = K.ID, shards: int = K.SHARDS) -> str:
+    """O2 for several jobs: the ordered work set written once, one folder per shard."""
+    split_shards(df, key, shards).write.mode("overwrite").partitionBy("shard").parquet(path)
+    return path
+
+
+def read_shard(spark: SparkSession, path: str, shard: int) -> DataFrame:
+    """The rows of one shard of ``write_shards`` (other folders are not read)."""
+    return spark.read.parquet(path).filter(F.col("shard") == shard).drop("position", "shard")

@@ -31,9 +31,9 @@ from recoda.operators.dedup import duplicate_keys, require_empty
 from recoda.operators.infer import Embedder, Predictor, embed, run_predictor
 from recoda.operators.mapping import with_mapping_ok
 from recoda.operators.models import models_wide
-from recoda.operators.prompts import label_documents, mapping_prompts, retrieval_prompts
+from recoda.operators.prompts import STRATEGIES, label_documents, mapping_prompts
 from recoda.operators.recode import recode_unambiguous
-from recoda.operators.workset import ambiguous_workset, split_shards
+from recoda.operators.workset import ambiguous_workset, read_shard, split_shards
 from recoda.session import scratch_path
 from recoda.sources.sinks import write_collection, write_metrics, write_params, write_results, write_table
 from recoda.sources.tables import attach_collection
@@ -63,6 +63,7 @@ def encode_ambiguous(
     gt_order: Sequence[str] = (),
     retrieval: Mapping | None = None,
     prompts_path: str | None = None,
+    shards_path: str | None = None,
     per_worker: bool = False,
     settings: Mapping | None = None,
     tokenizer: Callable[[Sequence[str]], Sequence[Sequence[int]]] | None = None,
@@ -70,7 +71,8 @@ def encode_ambiguous(
     """Entry A: encode the ambiguous work set with one model and evaluate it.
 
     ``shard`` (1..3) keeps one third of the ordered work set, as the original
-    one-job-per-third fan-out; ``None`` keeps all.  ``strategy`` is ``mapping``
+    one-job-per-third fan-out (with ``shards_path``, written once by
+    ``workset.write_shards``, a job reads its third only); ``None`` keeps all.  ``strategy`` is ``mapping``
     (candidates from the correspondence) or ``retrieval`` (``retrieval`` then
     holds ``documents, retriever_template, embedder`` and optional ``scorer``,
     ``k``, ``fetch_k`` and ``collection``, the path of a stored collection whose
@@ -83,27 +85,27 @@ def encode_ambiguous(
     The prompt dataset goes to ``prompts_path`` (default: the shared checkpoint
     folder).  Returns the long metrics table (accuracy, sizes, coded counts).
     """
-    data = ambiguous_workset(extraction, mapping, ground_truth if only_annotated else None, order=order)
-    if shard is not None:
-        data = split_shards(data).filter(F.col("shard") == shard).drop("position", "shard")
-    if strategy == "mapping":
-        prompts = mapping_prompts(data, mapping, template, carry=data.columns, check=False)
-    elif strategy == "retrieval":
-        r = dict(retrieval or {})
-        vectors = None
-        if r.get("collection"):
-            vectors, made_by = attach_collection(extraction.sparkSession, r["collection"])
-            if r.get("model") and r["model"] != made_by:
-                raise ValueError(f"the collection's vectors come from {made_by!r}, the queries from {r['model']!r}")
-            vectors = vectors.select("code", "vector")
-        prompts = retrieval_prompts(data, r["documents"], template, r["retriever_template"], r["embedder"],
-                                    scorer=r.get("scorer"), carry=data.columns, doc_vectors=vectors,
-                                    k=r.get("k", K.TOP_K), fetch_k=r.get("fetch_k", K.RERANK_FETCH_K))
+    spark = extraction.sparkSession
+    if shard is not None and shards_path:
+        data = read_shard(spark, shards_path, shard)
     else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+        data = ambiguous_workset(extraction, mapping, ground_truth if only_annotated else None, order=order)
+        if shard is not None:
+            data = split_shards(data).filter(F.col("shard") == shard).drop("position", "shard")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}; one of {sorted(STRATEGIES)}")
+    source, options = mapping, {"check": False}  # the work set's codes are the mapping's
+    if strategy == "retrieval":
+        options = {"k": K.TOP_K, "fetch_k": K.RERANK_FETCH_K, **(retrieval or {})}
+        source, path, queries_by = options.pop("documents"), options.pop("collection", None), options.pop("model", None)
+        if path:
+            vectors, made_by = attach_collection(spark, path)
+            if queries_by and queries_by != made_by:
+                raise ValueError(f"the collection's vectors come from {made_by!r}, the queries from {queries_by!r}")
+            options["doc_vectors"] = vectors.select("code", "vector")
+    prompts = STRATEGIES[strategy](data, source, template, carry=data.columns, **options)
     # Q11: the prompt dataset is written once; inference, results and evaluation
     # all read it, and the lineage before the (expensive) model call is cut.
-    spark = extraction.sparkSession
     ds_path = prompts_path or scratch_path(spark, f"prompts-{model}-{run_id}-{shard or 'all'}")
     write_table(prompts.drop("prompt"), ds_path)  # the chat is rebuilt from its two texts
     dataset = spark.read.parquet(ds_path)

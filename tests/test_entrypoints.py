@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from recoda.operators.infer import first_candidate_predictor, hashed_char_embedder
+from recoda.operators.workset import write_shards
 from recoda.plans import entrypoints as EP
 from recoda.plans import jobs
 from recoda.session import scratch_path
@@ -23,9 +24,11 @@ def test_encode_ambiguous_by_shards_covers_the_work_set(spark):
     metrics_path = scratch_path(spark, "t-metrics")
     tpl = jobs.mapping_template(spark)
     ex, mp, gt = X.extraction(spark, SF_SMALL), jobs.mapping(spark, SF_SMALL), X.ground_truth(spark, SF_SMALL)
+    layout = write_shards(jobs.workset(spark, SF_SMALL, annotated=True), scratch_path(spark, "t-shards"))
     for third in (1, 2, 3, 3):  # three shard jobs of the same run share one directory tree; one is run again
         m = EP.encode_ambiguous(ex, mp, gt, first_candidate_predictor, tpl, "m1", "run-a", root,
-                                metrics_path=metrics_path, shard=third, order=["row_seq"])
+                                metrics_path=metrics_path, shard=third, order=["row_seq"],
+                                shards_path=layout if third > 1 else None)
         assert {r["metric"] for r in m.collect()} >= {"accuracy_overall_lvl_5", "eval_size", "num_coded"}
     runs = read_runs(spark, root, {"m1": ["run-a"]})
     ws = jobs.workset(spark, SF_SMALL, annotated=True)
