@@ -118,8 +118,10 @@ def repeated_chunks(held: DataFrame, text: str) -> DataFrame:
     # equal bytes: grouped by the text itself, aggregated before it moves
     order = F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row"), F.col("place").alias("place"))
     classes = texts.groupBy(F.col("chunk").alias("of_chunk")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    # stored, so that the join deals both sides anew and a chunk of very many documents can be split
+    classes = stored(classes.filter("n > 1"), "chunk-classes")
     later = (F.col("__row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
-    joined = texts.join(classes.filter("n > 1"), F.col("chunk") == F.col("of_chunk"))
+    joined = texts.join(classes, F.col("chunk") == F.col("of_chunk"))
     return joined.filter(later).select("__row", "place")
 
 
