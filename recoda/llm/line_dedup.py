@@ -13,6 +13,10 @@ the texts of chunks with a repeated hash are grouped by their bytes.  Of equal
 chunks that hold at least two lines with words, or one long line, the first by
 (document, place) stays and every other one is removed, within a document too.
 
+Lines caught between long ones are in no such chunk.  ``strip_repeated_lines``
+therefore compares the whole text as well (by SHA-256): every later exact copy is
+removed whole.  ``dedup_lines`` removes chunks only, as its SQL says.
+
 Native DataFrame functions only.
 """
 
@@ -50,8 +54,13 @@ def lines_of(lines: str, at: Column) -> Column:
     return F.slice(lines, F.shiftright(at, 32).cast("int") + 1, size)
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFrame:
-    """``docs`` stored with __row, __id and __chunks (place, hash, eligible)."""
+def passages(marks: str, lines: str) -> Column:
+    """Places compared besides chunks: the whole text, if it has words (``marks``: its lines with words)."""
+    return F.when(F.size(marks) > 0, F.array(place(F.lit(0), F.size(lines)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: bool) -> DataFrame:
+    """``docs`` stored with __row, __id and __chunks (place, hash, eligible), ``whole``: with the passages too."""
     lines = docs.select(
         "*", F.col(doc_id).alias("__id"), F.monotonically_increasing_id().alias("__row"),
         F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("__lines"),
@@ -96,10 +105,25 @@ def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFra
 
     starts = F.slice("__cuts", 1, F.size("__cuts") - 1)
     out = bounded.select("*", F.transform(starts, chunk).alias("__chunks"))
+    if whole:
+        with_words = F.filter(
+            F.transform("__marks", lambda m, i: F.struct(i.alias("at"), m["w"].alias("w"))), lambda m: m["w"] > 0
+        )
+        out = out.select("*", with_words.alias("__worded"))
+        out = out.select("*", passages("__worded", "__lines").alias("__passages"))
+        eligible = F.transform(F.filter("__chunks", lambda c: c["eligible"]), lambda c: c["place"])
+        more = F.array_except("__passages", eligible)  # distinct, and no chunk twice
+
+        def passage(p: Column) -> Column:
+            body = F.array_join(lines_of("__lines", p), "\n")
+            return F.struct(p.alias("place"), F.xxhash64(body).alias("hash"), F.lit(True).alias("eligible"))
+
+        out = out.withColumn("__chunks", F.concat(F.filter("__chunks", lambda c: c["eligible"]), F.transform(more, passage)))
+        out = out.drop("__worded", "__passages")
     return stored(out.drop("__marks", "__roll", "__cuts", "__lines"), "chunked")
 
 
-def repeated_chunks(held: DataFrame, text: str) -> DataFrame:
+def repeated_chunks(held: DataFrame, text: str, whole: bool) -> DataFrame:
     """(__row, place): chunks to remove."""
     chunks = held.select("__row", F.explode("__chunks").alias("c")).filter("c.eligible")
     chunks = chunks.select("__row", F.col("c.place").alias("place"), F.col("c.hash").alias("hash"))
@@ -108,14 +132,19 @@ def repeated_chunks(held: DataFrame, text: str) -> DataFrame:
     candidates = chunks.join(twice, "hash").groupBy(F.col("__row").alias("__of")).agg(F.collect_list("place").alias("of"))
     body = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     found = held.select("__id", "__row", F.col(text)).join(candidates, F.col("__row") == F.col("__of"))
-    cut = F.transform("of", lambda p: F.struct(p.alias("place"), F.array_join(lines_of("lines", p), "\n").alias("chunk")))
+
+    def body_of(p: Column) -> Column:
+        chunk = F.array_join(lines_of("lines", p), "\n")
+        return F.unhex(F.sha2(chunk.cast("binary"), 256)) if whole else chunk  # passages overlap: their texts would be many
+
+    cut = F.transform("of", lambda p: F.struct(p.alias("place"), body_of(p).alias("chunk")))
     texts = (
         found.select("__id", "__row", "of", body.alias("lines"))
         .select("__id", "__row", F.explode(F.when(F.size("lines") > 0, cut)).alias("c"))
         .select("__id", "__row", F.col("c.place").alias("place"), F.col("c.chunk").alias("chunk"))
     )
     texts = stored(texts, "chunk-texts")
-    # equal bytes: grouped by the text itself, aggregated before it moves
+    # equal bytes: grouped by the text itself (or its SHA-256), aggregated before it moves
     order = F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row"), F.col("place").alias("place"))
     classes = texts.groupBy(F.col("chunk").alias("of_chunk")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
     # stored, so that the join deals both sides anew and a chunk of very many documents can be split
@@ -125,12 +154,17 @@ def repeated_chunks(held: DataFrame, text: str) -> DataFrame:
     return joined.filter(later).select("__row", "place")
 
 
+def _marked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: bool) -> DataFrame:
+    """``docs`` with __chunks, __gone (places removed; null: none) and __lines."""
+    held = chunked(docs, doc_id, text, long_words, whole)
+    gone = repeated_chunks(held, text, whole).groupBy(F.col("__row").alias("__of"))
+    joined = held.join(gone.agg(F.collect_list("place").alias("__gone")), F.col("__row") == F.col("__of"), "left").drop("__of")
+    return joined.select("*", F.split(F.col(text), "\n", -1).alias("__lines"))
+
+
 def _cleaned(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFrame:
-    """``docs`` with __clean (text without removed chunks), __chunks and __gone (places removed; null: none)."""
-    held = chunked(docs, doc_id, text, long_words)
-    gone = repeated_chunks(held, text).groupBy(F.col("__row").alias("__of")).agg(F.collect_list("place").alias("__gone"))
-    joined = held.join(gone, F.col("__row") == F.col("__of"), "left").drop("__of")
-    split = joined.select("*", F.split(F.col(text), "\n", -1).alias("__lines"))
+    """``docs`` with __clean (text without removed chunks), __chunks and __gone."""
+    split = _marked(docs, doc_id, text, long_words, whole=False)
     kept = F.array_except(F.transform("__chunks", lambda c: c["place"]), "__gone")
     clean = F.array_join(F.flatten(F.transform(kept, lambda p: lines_of("__lines", p))), "\n")
     untouched = F.col("__gone").isNull() | (F.size("__lines") < 1)
@@ -163,6 +197,23 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lon
 
 
 def strip_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
-    """The rows of ``docs``, all of them, with repeated chunks taken out of their texts."""
-    cleaned = _cleaned(docs, doc_id, text, long_words)
+    """The rows of ``docs``, all of them, with repeated chunks and passages taken out of their texts.
+
+    Every line removed stays at an earlier place.  A text equal to an earlier one,
+    or left without words, becomes empty.
+    """
+    split = _marked(docs, doc_id, text, long_words, whole=True)
+    mask = F.lit((1 << 32) - 1)
+
+    def numbers(p: Column) -> Column:
+        first = F.shiftright(p, 32)
+        return F.sequence(first, first + p.bitwiseAND(mask) - 1)
+
+    # line numbers, as the removed runs overlap (array_except is hashed)
+    removed = F.array_distinct(F.flatten(F.transform("__gone", numbers)))
+    every = F.sequence(F.lit(0).cast("long"), F.size("__lines").cast("long") - 1)
+    numbered = split.select("*", F.when(F.col("__gone").isNotNull(), F.array_except(every, removed)).alias("__kept"))
+    left = numbered.select("*", F.transform("__kept", lambda i: F.get("__lines", i.cast("int"))).alias("__left"))
+    clean = F.when(F.exists("__left", lambda x: word_count(x) > 0), F.array_join("__left", "\n")).otherwise("")
+    cleaned = left.withColumn("__clean", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(clean))
     return cleaned.select(*[F.col("__clean").alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -362,6 +362,19 @@ def test_line_dedup_cuts_repeated_passages(spark):
     assert out[7]["text"] is None and out[8]["text"] == ""
 
 
+def test_stripped_exact_copies_of_any_layout_end_empty(spark):
+    rng = random.Random(11)
+    line = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    layouts = [[60, 8, 70, 3, 90], [60, 5], [5, 60], [4], [9, 0, 12], [0, 60, 0, 7, 0, 0, 80, 0], [7] * 30]
+    layouts += [[rng.choice([0, 1, 5, 20, 49, 50, 51, 120]) for _ in range(rng.randint(1, 12))] for _ in range(25)]
+    texts = ["\n".join(line(n) for n in layout) for layout in layouts]
+    rows = [(k * len(texts) + i, t) for k in range(3) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r["text"] for r in line_dedup.strip_repeated_lines(df).collect()}
+    for i, t in rows:
+        assert out[i] == (t if i < len(texts) else "" if t.strip() else t)
+
+
 def test_line_dedup_awkward(awkward, nothing, docs):
     out = line_dedup.dedup_lines(awkward).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in awkward.collect())
