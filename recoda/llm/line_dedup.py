@@ -13,9 +13,15 @@ the texts of chunks with a repeated hash are grouped by their bytes.  Of equal
 chunks that hold at least two lines with words, or one long line, the first by
 (document, place) stays and every other one is removed, within a document too.
 
-Lines caught between long ones are in no such chunk.  ``strip_repeated_lines``
-therefore compares the whole text as well (by SHA-256): every later exact copy is
-removed whole.  ``dedup_lines`` removes chunks only, as its SQL says.
+Chunks miss a passage without two cuts of its own, and lines caught between long
+ones.  ``strip_repeated_lines`` therefore compares more runs of lines, in the same
+way: the whole text, and for every line with words the shortest run of over
+``long_words`` words that starts there and the one that ends there.  Such a run
+depends on its own lines only.  A passage of over ``long_words`` words on whole
+lines is covered by the runs inside it (where the rest of it is too short for a run
+that starts there, the run that ends at its last line reaches back over it), so
+every later occurrence of it is removed whole, whatever surrounds it.  These texts
+are compared by SHA-256.  ``dedup_lines`` removes chunks only, as its SQL says.
 
 Native DataFrame functions only.
 """
@@ -54,9 +60,38 @@ def lines_of(lines: str, at: Column) -> Column:
     return F.slice(lines, F.shiftright(at, 32).cast("int") + 1, size)
 
 
-def passages(marks: str, lines: str) -> Column:
-    """Places compared besides chunks: the whole text, if it has words (``marks``: its lines with words)."""
-    return F.when(F.size(marks) > 0, F.array(place(F.lit(0), F.size(lines)))).otherwise(F.array().cast("array<bigint>"))
+def passages(marks: str, lines: str, long_words: int) -> Column:
+    """Places of the whole text and of the shortest runs of over ``long_words`` words from and up to each line.
+
+    ``marks``: the lines with words (at, w).  A run holds at most ``long_words`` + 1 of them.
+    """
+    most = long_words + 1
+
+    def reach(run: Column) -> Column:
+        """(words, line) where the run has over ``long_words`` words, or its end."""
+        return F.aggregate(
+            run,
+            F.struct(F.lit(0).alias("words"), F.lit(0).alias("at")),
+            lambda a, y: F.when(a["words"] > long_words, a).otherwise(
+                F.struct((a["words"] + y["w"]).alias("words"), y["at"].alias("at"))
+            ),
+        )
+
+    def ahead(x: Column, i: Column) -> Column:
+        end = reach(F.slice(marks, i + 1, F.lit(most)))
+        return F.struct(x["at"].alias("start"), end["at"].alias("end"), end["words"].alias("words"))
+
+    def back(x: Column, i: Column) -> Column:
+        first = F.greatest(i + 1 - long_words, F.lit(1))
+        start = reach(F.reverse(F.slice(marks, first, i + 2 - first)))
+        return F.struct(start["at"].alias("start"), x["at"].alias("end"), start["words"].alias("words"))
+
+    def runs(of) -> Column:
+        found = F.filter(F.transform(marks, of), lambda r: r["words"] > long_words)
+        return F.transform(found, lambda r: place(r["start"], r["end"] - r["start"] + 1))
+
+    whole = F.when(F.size(marks) > 0, F.array(place(F.lit(0), F.size(lines)))).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(whole, runs(ahead), runs(back))
 
 
 def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: bool) -> DataFrame:
@@ -110,7 +145,7 @@ def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: boo
             F.transform("__marks", lambda m, i: F.struct(i.alias("at"), m["w"].alias("w"))), lambda m: m["w"] > 0
         )
         out = out.select("*", with_words.alias("__worded"))
-        out = out.select("*", passages("__worded", "__lines").alias("__passages"))
+        out = out.select("*", passages("__worded", "__lines", long_words).alias("__passages"))
         eligible = F.transform(F.filter("__chunks", lambda c: c["eligible"]), lambda c: c["place"])
         more = F.array_except("__passages", eligible)  # distinct, and no chunk twice
 

@@ -375,6 +375,28 @@ def test_stripped_exact_copies_of_any_layout_end_empty(spark):
         assert out[i] == (t if i < len(texts) else "" if t.strip() else t)
 
 
+def test_stripped_passages_of_few_lines_go_whole(spark):
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows, want = [], {}
+    shapes = [[26, 26], [50, 1], [1, 50], [40, 20, 5], [5, 20, 40], [17] * 3, [13] * 4, [11] * 5, [9] * 6, [30, 0, 30], [50, 50, 3]]
+    for n, shape in enumerate(shapes):
+        passage = [line(w) for w in shape]
+        for k in range(6):
+            size = lambda: rng.choice([3, 6, 30, 80])
+            before, after = [line(size()) for _ in range(rng.randint(0, 5))], [line(size()) for _ in range(rng.randint(1, 5))]
+            rows.append((n * 10 + k, "\n".join(before + passage + after)))
+            want[n * 10 + k] = rows[-1][1].split("\n") if k == 0 else before + after
+    rows.append((1000, "\n".join([line(8), *[line(25)] * 2, line(8)])))  # 50 words: no passage, and one of its own
+    want[1000] = rows[-1][1].split("\n")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.strip_repeated_lines(df).collect()}
+    blank = lambda lines: [x for x in lines if x]
+    assert {i: blank(x) for i, x in out.items()} == {i: blank(x) for i, x in want.items()}
+    plan = line_dedup.strip_repeated_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_line_dedup_awkward(awkward, nothing, docs):
     out = line_dedup.dedup_lines(awkward).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in awkward.collect())
