@@ -340,6 +340,16 @@ def test_filter_quality_keeps_repeated_rows_and_other_columns(spark):
     assert Counter(quality.filter_quality(df).collect()) == Counter(df.filter("doc_id = 1").collect())
 
 
+def test_filtered_lines_have_one_verdict_in_small_and_hot_hosts(spark):
+    docs = spark.range(100_500).selectExpr(
+        "id AS doc_id", "IF(id < 500, 'small', 'hot') AS source",
+        "concat(IF(id < 100 OR id >= 100400, 'Home and contact\n', ''), concat_ws(' ', transform(sequence(1, 52), x -> translate(concat(id, 'w', x), '0123456789', 'abcdefghij')))) AS text",
+    )
+    out = quality.filter_quality(docs)
+    assert out.count() == 100_500
+    assert out.filter("text LIKE 'Home%'").count() == 0
+
+
 # line dedup
 
 
