@@ -350,6 +350,27 @@ def test_filtered_lines_have_one_verdict_in_small_and_hot_hosts(spark):
     assert out.filter("text LIKE 'Home%'").count() == 0
 
 
+def test_filtered_long_lines_are_boilerplate_but_near_copies_stay(spark):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=8)) for _ in range(n))
+    notice, licence = prose(30), prose(120)
+    rows = [(i, f"{prose(80)}\n{notice}\n{prose(10)}") for i in range(30)]
+    rows += [(100 + i, f"{licence}\n{prose(60)}") for i in range(30)]  # most of their words: depleted
+    family = [prose(60), prose(70), prose(50)]
+    rows += [(200 + i, "\n".join([*family, prose(40)])) for i in range(30)]
+    rows += [(300 + i, f"{prose(90)}\n{family[0]}") for i in range(10)]  # with the family: 11 texts
+    df = spark.createDataFrame([(*r, "host") for r in rows], "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in quality.filter_quality(df).collect()}
+    texts = dict(rows)
+    for i in range(30):
+        assert kept[i] == texts[i].replace(notice + "\n", "")
+        assert 100 + i not in kept
+        assert kept[200 + i].split("\n") == texts[200 + i].split("\n")[1:]
+    assert all(kept[300 + i] == texts[300 + i].split("\n")[0] for i in range(10))
+    out = {r["doc_id"]: r for r in quality.judge_quality(df, quality.SAME_IN_ALL_HOSTS).collect()}
+    assert [out[i]["n_boilerplate_words"] for i in (0, 100, 200, 300)] == [30, 120, 60, 60]
+
+
 # line dedup
 
 
