@@ -10,6 +10,7 @@ from recoda.llm import (
     decontaminate,
     line_dedup,
     packing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -90,6 +91,10 @@ def q_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": q_line_dedup,
     "op2_token_counts": q_token_counts,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
     "op10_url_filter": q_url_filter,
+    "op12_prefix_trie": q_prefix_trie,
 }
