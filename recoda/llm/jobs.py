@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recoda.llm import (
     decontaminate,
+    language,
     line_dedup,
     packing,
     prefix_trie,
     quality,
+    ranked_search,
     sharding,
     simhash,
     token_counts,
@@ -25,6 +27,7 @@ SHARDS, SEED = 40, 20240501
 SEQUENCE, END_ID, TOKEN_LIMIT = 1024, 2, 2048
 WINDOW = 10
 SHINGLE, MAX_BITS = 4, 4
+BEST = 10
 # The URL rules (verdict, host, path).
 URL_RULES = [
     ("allow", "org", "/"),
@@ -91,10 +94,18 @@ def q_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def q_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), BEST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": q_line_dedup,
     "op2_token_counts": q_token_counts,
@@ -106,5 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
     "op10_url_filter": q_url_filter,
+    "op11_language": q_language,
     "op12_prefix_trie": q_prefix_trie,
+    "op13_ranked_search": q_ranked_search,
 }
