@@ -2,7 +2,7 @@
 
 Written from the operators' definitions, with their fixed values as literals.
 No SQL: token counts, packing and token files (a tokenizer's ids), sharding
-(CRC32), toxicity (a fitted model), SimHash and the pipeline that uses it (XXH64);
+(CRC32), toxicity and language (fitted models), SimHash and the pipeline that uses it (XXH64);
 tests hold these against brute-force versions.
 """
 
@@ -155,11 +155,96 @@ SELECT page_id, host, path, rule, CASE
 FROM j
 """
 
+OP12_SQL = """
+WITH t AS (
+  SELECT conv_id, bytes, dig, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, dig) AS i
+  FROM (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+           substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 30) AS dig
+    FROM conversations WHERE conv_id IS NOT NULL)
+),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+),
+r AS (
+  SELECT conv_id, dig, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth
+  FROM (
+    SELECT c.conv_id, t.dig, t.bytes, 0 AS part, t.i FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+    UNION ALL
+    SELECT c.conv_id, t.dig, t.bytes, 1, t.i FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h)
+),
+k AS (
+  SELECT conv_id, depth, bytes, string_agg(dig, '') OVER (PARTITION BY conv_id ORDER BY depth) AS node FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+),
+p AS (
+  SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS last FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+),
+n AS (
+  SELECT node, depth, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last) AS ends
+  FROM p GROUP BY node, depth
+),
+f AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN f USING (node)),
+s AS (
+  SELECT a.node, count(*) FILTER (m.n_children = 0) AS n_leaves, sum(m.saved) AS saved_tokens
+  FROM m JOIN p a ON a.conv_id = m.conv_id AND a.depth <= m.depth GROUP BY a.node
+)
+SELECT m.conv_id, m.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN s USING (node) LEFT JOIN n q ON q.node = m.parent
+"""
+
+OP13_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+  FROM documents
+),
+stats AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS l FROM d),
+term AS (
+  SELECT rid, doc_id, n, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d)
+),
+item AS (
+  SELECT DISTINCT iid, item_id, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM (
+    SELECT row_number() OVER () AS iid, item_id,
+           unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+    FROM benchmark)
+),
+tf AS (
+  SELECT rid, doc_id, n, t, count(*) AS tf FROM term WHERE t IN (SELECT t FROM item) GROUP BY ALL
+),
+w AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, stats GROUP BY t, n_docs
+),
+part AS (
+  SELECT rid, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // l))) AS gain
+  FROM tf JOIN w USING (t), stats
+),
+scored AS (
+  SELECT iid, item_id, rid, doc_id, sum(gain)::BIGINT AS score FROM item JOIN part USING (t) GROUP BY ALL HAVING sum(gain) > 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST, rid)::INTEGER AS rank FROM scored
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_line_dedup": OP1_SQL,
     "op6_quality": OP6_SQL,
     "op7_decontamination": OP7_SQL,
     "op10_url_filter": OP10_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
 
 PIPELINE_SQL = None

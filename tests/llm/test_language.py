@@ -103,7 +103,7 @@ def test_equals_the_plain_model_and_handles_awkward_rows(spark):
     kinds = {"aa": "abra kad o", "bb": "xyl qu zet", "ccc": "漢字語学 ä"}
     make = lambda k, n: " ".join("".join(rng.choices(kinds[k], k=4)) for _ in range(n))
     rows = [(i, make(k, rng.randint(1, 30)), k) for i, k in enumerate(list(kinds) * 40)]
-    rows += [(500 + i, make("aa", 40) + " " + make("bb", 30), "aa") for i in range(6)]
+    rows += [(500 + i, make("aa", 40) + " " + make("bb", 30), None) for i in range(6)]
     rows += [(600, None, "aa"), (601, "", None), (602, "12 !?", "bb"), (None, make("bb", 9), "bb"), rows[0], rows[0], (603, "q", None)]
     df = spark.createDataFrame([(*r, "s", "x", 1, 2) for r in rows], SCHEMA).repartition(3)
     out = language.identify_languages(df).collect()
