@@ -203,7 +203,7 @@ def rebuilt_turns(conversations: DataFrame, conv_id: str, turn: str, role: str,
 
 
 def trie_nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
-    """node, parent, conv, depth, parent_conv, n_convs, size (nodes of its subtree), leaf, saved; the root included."""
+    """node, parent, conv, depth, parent_conv, n_convs, size (nodes of its subtree), leaf, saved, comp (one, so far)."""
     owners = turns.groupBy("node").agg(F.min("conv").alias("conv"), F.max("depth").alias("depth"))
     chains = owners.groupBy("conv").agg(F.count(F.lit(1)).alias("own"), F.min("depth").alias("start"))
     chains = _segments(chains, F.col("start") + F.col("own") - 1)
@@ -229,7 +229,7 @@ def trie_nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     names = nodes.select(F.col("node").alias("parent"), F.col("conv").alias("parent_conv"))
     hung = nodes.filter(first & ~on_root).join(names, "parent")
     every = reduce(DataFrame.unionByName, [x.drop("start") for x in (inner, upper, hung)] + [root])
-    return stored(every.withColumn("leaf", (F.col("size") == 1).cast("long")), "trie")
+    return stored(every.select("*", (F.col("size") == 1).cast("long").alias("leaf"), F.lit(bytearray(ROOT)).alias("comp")), "trie")
 
 
 # -- 3 and 4: centroid decomposition
@@ -314,7 +314,7 @@ def _roll_up_small(state: DataFrame) -> DataFrame:
 def subtree_totals(nodes: DataFrame, turns: DataFrame, task_nodes: int) -> DataFrame:
     """node, n_leaves, saved_tokens: ``leaf`` and ``saved`` summed over every node's subtree."""
     names = ["node", "parent", "conv", "depth", "size", "leaf", "saved", "comp"]
-    active = nodes.withColumn("comp", F.lit(bytearray(ROOT))).select(names)
+    active = nodes.select(names)
     ready: list[DataFrame] = []
     rounds: list[tuple[DataFrame, DataFrame]] = []  # centroids, paths
     while True:
