@@ -81,36 +81,32 @@ def grams(text: str, buckets: int, fold):
         before = z[-(ORDERS - 1) :]
 
 
-def mixture(table, weights=None):
+def mixture(table, weights):
     """Proportions of the languages (columns) that explain the n-grams (rows), and their log-likelihood."""
     import numpy as np
 
-    n = len(table) if weights is None else weights.sum()
+    n = weights.sum()
     share = np.full(table.shape[1], 1 / table.shape[1])
     for _ in range(STEPS):
-        likelihood = table @ share
-        blame = (1 / likelihood if weights is None else weights / likelihood) @ table
-        after = share * blame / n
+        after = share * ((weights / (table @ share)) @ table) / n
         moved = np.abs(after - share).max()
         share = after / after.sum()
         if moved < SETTLED:
             break
-    logs = np.log(table @ share)
-    return share, float(logs.sum() if weights is None else weights @ logs)
+    return share, float(weights @ np.log(table @ share))
 
 
 def select_languages(found, weights, table, logs):
     """Numbers of the selected languages, the largest proportion first, and their proportions."""
     import numpy as np
 
-    single = logs[found].sum(axis=0) if weights is None else weights @ logs[found]
+    single = weights @ logs[found]
     best = int(np.argmax(single))
     chosen, shares, reached = [best], np.ones(1), float(single[best])
     if table.shape[1] == 1:
         return chosen, shares
     rows = table[found]
-    n = len(found) if weights is None else weights.sum()
-    penalty = ORDERS * 0.5 * np.log(max(n, 2))
+    penalty = ORDERS * 0.5 * np.log(max(weights.sum(), 2))
     every, most = mixture(rows, weights)
     if most - reached <= penalty:  # no set explains the text better than all languages do
         return chosen, shares
@@ -192,7 +188,7 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 if names and t:
                     found, weights = _gathered(t, buckets, fold)
                     if len(found):
-                        n = len(found) if weights is None else int(weights.sum())
+                        n = int(weights.sum())
                         chosen, shares = select_languages(found, weights, table, logs)
                 preds.append(names[chosen[0]] if chosen else "und")
                 scores.append((n * float(shares[0]) + 1) / (n + len(names)) if chosen else 0.0)
@@ -211,14 +207,11 @@ def identify_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def _gathered(text: str, buckets: int, fold):
-    """A text's n-grams: their buckets and no weights, or, of a long text, distinct buckets and their counts."""
+    """The distinct buckets of a text's n-grams and their counts."""
     import numpy as np
 
-    if len(text) * ORDERS <= 4 * buckets:
-        parts = list(grams(text, buckets, fold))
-        return (parts[0] if parts else np.empty(0, np.int64)), None
     counts = np.zeros(buckets, np.int64)
     for part in grams(text, buckets, fold):
         counts += np.bincount(part, minlength=buckets)
     found = np.flatnonzero(counts)
-    return found, counts[found]
+    return found, counts[found].astype(np.float64)
