@@ -73,6 +73,25 @@ TRI_STATE = ("True", "False", "undefined")
 MAX_NEW_TOKENS = 100
 TEMPERATURE = 0.01
 SEED = 2025
+LOGPROBS = 1
 TOP_K = 5
 RERANK_FETCH_K = 35
 SHARDS = 3
+
+# --- fixed values: the answers' JSON schema, by strategy (given to the predictor to constrain its output) ---
+_ANSWER_FIELDS = {
+    "codable": {"type": "boolean"},
+    "nace2025": {"anyOf": [{"type": "string"}, {"type": "null"}], "default": None},
+    "confidence": {"anyOf": [{"type": "number"}, {"type": "null"}], "default": 0.0},
+}
+ANSWER_SCHEMAS = {
+    "mapping": {
+        "type": "object",
+        "properties": {
+            **_ANSWER_FIELDS,
+            "nace08_valid": {"anyOf": [{"type": "boolean"}, {"type": "null"}], "default": None},
+        },
+        "required": ["codable"],
+    },
+    "retrieval": {"type": "object", "properties": _ANSWER_FIELDS, "required": ["codable"]},
+}

@@ -8,7 +8,8 @@ candidate position.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 
 from recoda.functions.codes import undot
 from recoda.functions.text import tri_state
+from recoda.session import process_object
 
 # fixed values: what a lenient JSON validator reads as a boolean
 TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
@@ -89,9 +91,12 @@ def parse_answers(df: DataFrame, text_col: str = "output_text", with_nace08: boo
     ``codable`` is a boolean, ``nace2025`` a string or absent, ``nace08_valid``
     (mapping answers only) a boolean or absent, ``confidence`` a number or
     absent, and a codable answer carries a non-empty code.  Null counts as
-    absent; booleans and numbers may also be written as strings.  Adds
-    ``__codable, __code, __nace08, __keep`` (keep = valid and a code is present).
+    absent; booleans and numbers may also be written as strings; of a repeated key
+    the last value counts (this sets ``spark.sql.variant.allowDuplicateKeys`` in the
+    session).  Adds ``__codable, __code, __nace08, __keep`` (keep = valid and a code
+    is present).
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # one pass for the syntax (from_json alone would take single quotes and text after the object)
     whole = F.when(F.col(text_col).rlike(r"^\s*\{(?s:.*)\}\s*$"), F.col(text_col))
     j = df.withColumn("__v", F.try_parse_json(whole))
@@ -123,14 +128,22 @@ def parse_answers(df: DataFrame, text_col: str = "output_text", with_nace08: boo
     return f.withColumn("__keep", keep).drop("__v", *[f"__{p}_{n}" for n in kinds for p in "kt"])
 
 
-def python_tokenizer(tokenizer: Callable[[Sequence[str]], Sequence[Sequence[int]]]) -> Callable[[Column], Column]:
-    """A ``tokenize`` for ``post_process`` from a user's tokenizer (a batch of texts -> their token ids)."""
+def python_tokenizer(
+    tokenizer: Callable, per_worker: bool = False, model_key: str | None = None
+) -> Callable[[Column], Column]:
+    """A ``tokenize`` for ``post_process`` from a user's tokenizer (a batch of texts -> their token ids).
+
+    With ``per_worker``, ``tokenizer`` is a factory that a worker process calls once
+    (for all jobs with the same ``model_key``), as for predictors.
+    """
+    name = model_key or uuid.uuid4().hex
 
     @pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
+        cut = process_object("tokenizer", name, tokenizer) if per_worker else tokenizer
         present = texts.notna()
         out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-        out[present] = pd.Series([list(t) for t in tokenizer(texts[present].tolist())], index=texts.index[present], dtype=object)
+        out[present] = pd.Series([list(t) for t in cut(texts[present].tolist())], index=texts.index[present], dtype=object)
         return out
 
     return ids

@@ -12,18 +12,20 @@ test doubles, not models.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from recoda.functions import constants as K
-from recoda.session import ship_package
+from recoda.session import process_object, ship_package
 
 # a predictor answers a batch of chats (lists of {"role", "content"}): text, token ids and one log-prob per token
 Chat = list[dict[str, str]]
@@ -34,43 +36,86 @@ Embedder = Callable[[Sequence[str]], np.ndarray]
 ANSWER_SCHEMA = "output_text string, token_ids array<int>, logprobs array<double>"
 
 
+def loader(kind: str, given: Callable, per_worker: bool, key: str | None = None) -> Callable[[], Callable]:
+    """What a task calls to get its model: ``given`` itself, or, of a factory, what this process holds.
+
+    A factory runs once per worker process and job, or once per process for all jobs
+    that give the same ``key`` (a name for the model and its settings).
+    """
+    if not per_worker:
+        return lambda: given
+    name = key or uuid.uuid4().hex
+    return lambda: process_object(kind, name, given)
+
+
+def accelerator_profile(task_cpus: int = 1, **resources: float) -> ResourceProfile:
+    """A resource profile for ``run_predictor`` / ``embed`` stages, e.g. ``accelerator_profile(4, gpu=1)``.
+
+    Amounts are per task; only the stage of the model asks for them, so the stages
+    around it keep all cores.  Needs a cluster manager that can give them out.
+    """
+    requests = TaskResourceRequests().cpus(task_cpus)
+    for name, amount in resources.items():
+        requests = requests.resource(name, amount)
+    return ResourceProfileBuilder().require(requests).build
+
+
+def chats_of(rows: pa.RecordBatch) -> list[Chat]:
+    texts = zip(rows.column("__system").to_pylist(), rows.column("__user").to_pylist(), strict=True)
+    return [[{"role": "system", "content": s}, {"role": "user", "content": u}] for s, u in texts]
+
+
+def answered(rows: pa.RecordBatch, kept: Sequence[str], model: Predictor, options: Mapping[str, object]) -> pa.RecordBatch:
+    """The kept columns of ``rows`` and the model's answers to them."""
+    chats = chats_of(rows)
+    outs = list(model(chats, **options)) if chats else []
+    if len(outs) != len(chats):
+        raise ValueError("the predictor must return one answer per prompt")
+    columns = [rows.column(c) for c in kept] + [
+        pa.array([o[0] for o in outs], pa.string()),
+        pa.array([list(o[1]) for o in outs], pa.list_(pa.int32())),
+        pa.array([list(o[2]) for o in outs], pa.list_(pa.float64())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[*kept, "output_text", "token_ids", "logprobs"])
+
+
+def carried(df: DataFrame, carry: Sequence[str] | None) -> list[str]:
+    return list(carry) if carry is not None else [c for c in df.columns if c not in ("system_prompt", "user_prompt", "prompt")]
+
+
+def with_prompts(df: DataFrame, kept: Sequence[str]) -> DataFrame:
+    return df.select(*kept, F.col("system_prompt").alias("__system"), F.col("user_prompt").alias("__user"))
+
+
 def run_predictor(
     df: DataFrame,
     predictor: Predictor | Callable[[], Predictor],
     carry: Sequence[str] | None = None,
     settings: Mapping[str, object] | None = None,
     per_worker: bool = False,
+    model_key: str | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """One answer per row, in Arrow batches; the carried columns travel with their prompt.
 
     ``df`` holds ``system_prompt`` and ``user_prompt``; the predictor is called
     with the chats (system, then user message) and the generation ``settings``
-    as keywords.  With ``per_worker``, ``predictor`` is a factory: each task
-    calls it once and loads its model there, instead of receiving it with the
-    task.  ``carry``: columns kept beside the answer (default: all but the prompts).
+    as keywords.  With ``per_worker``, ``predictor`` is a factory that loads the
+    model: a worker process calls it once and keeps the model for all its tasks
+    (and for later jobs with the same ``model_key``).  ``profile``: the resources
+    of this stage's tasks.  ``carry``: columns kept beside the answer (default:
+    all but the prompts).
     """
     ship_package(df.sparkSession)
-    kept = list(carry) if carry is not None else [c for c in df.columns if c not in ("system_prompt", "user_prompt", "prompt")]
-    options = dict(settings or {})
+    kept, options = carried(df, carry), dict(settings or {})
+    load = loader("predictor", predictor, per_worker, model_key)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = predictor() if per_worker else predictor
         for b in batches:
-            texts = zip(b.column("__system").to_pylist(), b.column("__user").to_pylist(), strict=True)
-            chats = [[{"role": "system", "content": s}, {"role": "user", "content": u}] for s, u in texts]
-            outs = list(model(chats, **options))
-            if len(outs) != len(chats):
-                raise ValueError("the predictor must return one answer per prompt")
-            columns = [b.column(c) for c in kept] + [
-                pa.array([o[0] for o in outs], pa.string()),
-                pa.array([list(o[1]) for o in outs], pa.list_(pa.int32())),
-                pa.array([list(o[2]) for o in outs], pa.list_(pa.float64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "output_text", "token_ids", "logprobs"])
-
-    rows = df.select(*kept, F.col("system_prompt").alias("__system"), F.col("user_prompt").alias("__user"))
+            yield answered(b, kept, load(), options)
+
     schema = StructType(df.select(*kept).schema.fields + StructType.fromDDL(ANSWER_SCHEMA).fields)
-    return rows.mapInArrow(answer, schema)
+    return with_prompts(df, kept).mapInArrow(answer, schema, profile=profile)
 
 
 def char_tokens(text: str) -> list[int]:
@@ -155,13 +200,25 @@ def letter_count_embedder() -> Embedder:
     return embed
 
 
-def embed(df: DataFrame, text_col: str, embedder: Embedder, out_col: str = "vector") -> DataFrame:
-    """Add an ``array<float>`` embedding column, computed batch by batch."""
+def embed(
+    df: DataFrame,
+    text_col: str,
+    embedder: Embedder | Callable[[], Embedder],
+    out_col: str = "vector",
+    per_worker: bool = False,
+    model_key: str | None = None,
+) -> DataFrame:
+    """Add an ``array<float>`` embedding column, computed batch by batch.
+
+    With ``per_worker``, ``embedder`` is a factory, called once per worker process
+    (see ``run_predictor``).
+    """
+    load = loader("embedder", embedder, per_worker, model_key)
 
     @pandas_udf(ArrayType(FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            m = np.asarray(embedder(s.fillna("").tolist()), dtype=np.float32)
+            m = np.asarray(load()(s.fillna("").tolist()), dtype=np.float32)
             yield pd.Series(list(m))
 
     ship_package(df.sparkSession)

@@ -7,7 +7,7 @@ code on the (small) mapping and joined to the work set, not rebuilt per row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,18 +102,20 @@ def retrieval_prompts(
     documents: DataFrame,
     template: Mapping[str, str],
     retriever_template: Mapping[str, str],
-    embedder: Embedder,
+    embedder: Embedder | Callable[[], Embedder],
     k: int = K.TOP_K,
     scorer: PairScorer | None = None,
     fetch_k: int = K.RERANK_FETCH_K,
     id_col: str = K.ID,
     doc_vectors: DataFrame | None = None,
     carry: Sequence[str] = (),
+    per_worker: bool = False,
 ) -> DataFrame:
     """Q6: retrieve the ``k`` closest label documents for each activity and prompt with them.
 
     ``documents``: ``(code, content)``; their vectors are computed with the
-    same embedder unless ``doc_vectors`` ``(code, vector)`` is given.
+    same embedder unless ``doc_vectors`` ``(code, vector)`` is given; with
+    ``per_worker`` the embedder comes from a factory.
     """
     activity = activity_description()
     carried = [c for c in carry if c != id_col]
@@ -124,9 +126,9 @@ def retrieval_prompts(
         render(retriever_template["user"], {"activity_description": activity}, ("activity_description",)).alias("__q"),
     )
     # read twice below (scores, prompts): work set and vectors are computed once
-    queries = stored(embed(queries, "__q", embedder, "__qvec").drop("__q"), "queries")
+    queries = stored(embed(queries, "__q", embedder, "__qvec", per_worker).drop("__q"), "queries")
     if doc_vectors is None:
-        doc_vectors = embed(documents.select("code", "content"), "content", embedder, "vector").select("code", "vector")
+        doc_vectors = embed(documents.select("code", "content"), "content", embedder, "vector", per_worker).select("code", "vector")
     top = similar_topk(
         queries, doc_vectors, k=k, query_id=id_col, query_vec="__qvec", doc_id="code", doc_vec="vector",
         fetch_k=fetch_k if scorer is not None else None, scorer=scorer,

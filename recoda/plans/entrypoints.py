@@ -15,9 +15,11 @@ caller chooses (the shared storage of the cluster).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,12 @@ from recoda.operators.dedup import duplicate_keys, require_empty
 from recoda.operators.infer import Embedder, Predictor, embed, run_predictor
 from recoda.operators.mapping import with_mapping_ok
 from recoda.operators.models import models_wide
-from recoda.operators.prompts import STRATEGIES, label_documents, mapping_prompts
+from recoda.operators.prompts import STRATEGIES, label_documents
 from recoda.operators.recode import recode_unambiguous
+from recoda.operators.resume import run_resumably
 from recoda.operators.workset import ambiguous_workset, read_shard, split_shards
 from recoda.session import scratch_path
-from recoda.sources.sinks import write_collection, write_metrics, write_params, write_results, write_table
+from recoda.sources.sinks import path_name, run_path, write_collection, write_metrics, write_params, write_results, write_table
 from recoda.sources.tables import attach_collection
 
 ID = K.ID
@@ -66,7 +69,9 @@ def encode_ambiguous(
     shards_path: str | None = None,
     per_worker: bool = False,
     settings: Mapping | None = None,
-    tokenizer: Callable[[Sequence[str]], Sequence[Sequence[int]]] | None = None,
+    tokenizer: Callable | None = None,
+    answers_log: str | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Entry A: encode the ambiguous work set with one model and evaluate it.
 
@@ -79,9 +84,15 @@ def encode_ambiguous(
     vectors are used instead of embedding the documents again, with ``model``,
     the name its vectors must come from).
     ``predictor`` gets whole chats and the generation ``settings`` (default: the
-    fixed temperature, length and seed); with ``per_worker`` it is a factory that
-    each task calls once.  ``tokenizer`` maps codes to the model's token ids, which
-    the confidence needs (default: the test tokenizer).
+    fixed temperature, length, seed, one log-prob per token and the JSON schema of
+    the strategy's answers, ``answer_schema``, which its output must follow).  With
+    ``per_worker``, ``predictor`` and ``tokenizer`` are factories that a worker
+    process calls once, and so is the embedder with ``per_worker`` in ``retrieval``;
+    ``profile`` states the resources of the model's tasks.  ``tokenizer`` maps codes
+    to the model's token ids, which the confidence needs (default: the test tokenizer).
+    ``answers_log``: a folder in which every batch of answers is kept as soon as it
+    is there; a run started again with the same model, run id and shard asks the
+    model for missing answers only.
     The prompt dataset goes to ``prompts_path`` (default: the shared checkpoint
     folder).  Returns the long metrics table (accuracy, sizes, coded counts).
     """
@@ -92,28 +103,23 @@ def encode_ambiguous(
         data = ambiguous_workset(extraction, mapping, ground_truth if only_annotated else None, order=order)
         if shard is not None:
             data = split_shards(data).filter(F.col("shard") == shard).drop("position", "shard")
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy!r}; one of {sorted(STRATEGIES)}")
-    source, options = mapping, {"check": False}  # the work set's codes are the mapping's
-    if strategy == "retrieval":
-        options = {"k": K.TOP_K, "fetch_k": K.RERANK_FETCH_K, **(retrieval or {})}
-        source, path, queries_by = options.pop("documents"), options.pop("collection", None), options.pop("model", None)
-        if path:
-            vectors, made_by = attach_collection(spark, path)
-            if queries_by and queries_by != made_by:
-                raise ValueError(f"the collection's vectors come from {made_by!r}, the queries from {queries_by!r}")
-            options["doc_vectors"] = vectors.select("code", "vector")
-    prompts = STRATEGIES[strategy](data, source, template, carry=data.columns, **options)
+    prompts = _prompts(data, mapping, template, strategy, retrieval)
     # Q11: the prompt dataset is written once; inference, results and evaluation
     # all read it, and the lineage before the (expensive) model call is cut.
-    ds_path = prompts_path or scratch_path(spark, f"prompts-{model}-{run_id}-{shard or 'all'}")
+    ds_path = prompts_path or scratch_path(spark, f"prompts-{path_name(model)}-{run_id}-{shard or 'all'}")
     write_table(prompts.drop("prompt"), ds_path)  # the chat is rebuilt from its two texts
     dataset = spark.read.parquet(ds_path)
-    settings = {"temperature": K.TEMPERATURE, "max_new_tokens": K.MAX_NEW_TOKENS, "seed": K.SEED, **(settings or {})}
+    fixed = {"temperature": K.TEMPERATURE, "max_new_tokens": K.MAX_NEW_TOKENS, "seed": K.SEED, "logprobs": K.LOGPROBS,
+             "answer_schema": K.ANSWER_SCHEMAS[strategy]}
+    settings = {**fixed, **(settings or {})}
     # the row's columns travel with its prompt: no join back
-    answers = run_predictor(dataset, predictor, data.columns, settings, per_worker)
+    if answers_log:
+        log = run_path(answers_log, shard, model=model, run_id=run_id)
+        answers = run_resumably(dataset, predictor, log, ID, data.columns, settings, per_worker, profile=profile)
+    else:
+        answers = run_predictor(dataset, predictor, data.columns, settings, per_worker, profile=profile)
     results = post_process(answers, keep=tuple(data.columns), with_nace08=strategy == "mapping",
-                           tokenize=python_tokenizer(tokenizer) if tokenizer else text_tokens)
+                           tokenize=python_tokenizer(tokenizer, per_worker) if tokenizer else text_tokens)
     path = write_results(results, results_root, model, run_id, shard)
     stored = spark.read.parquet(path)
     metrics = E.evaluate_results(stored, ground_truth, dataset, gt_order=gt_order).unionByName(
@@ -122,11 +128,30 @@ def encode_ambiguous(
     if not metrics_path:
         return metrics
     written = write_metrics(metrics, metrics_path, run_id, model, shard)
-    write_params(spark, {"strategy": strategy, **settings, "output_path": path, "prompts_path": ds_path},
+    stated = {**settings, "answer_schema": json.dumps(settings["answer_schema"], sort_keys=True)}
+    write_params(spark, {"strategy": strategy, **stated, "output_path": path, "prompts_path": ds_path},
                  metrics_path + "_params", run_id, model, shard)
     return spark.read.schema("metric string, value double").parquet(written)  # computed once
 
 
+def _prompts(
+    data: DataFrame, mapping: DataFrame, template: Mapping[str, str], strategy: str, retrieval: Mapping | None
+) -> DataFrame:
+    """The prompts of a work set by the named strategy, its columns carried along."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}; one of {sorted(STRATEGIES)}")
+    source, options = mapping, {"check": False}  # the work set's codes are the mapping's
+    if strategy == "retrieval":
+        options = {"k": K.TOP_K, "fetch_k": K.RERANK_FETCH_K, **(retrieval or {})}
+        source, path, queries_by = options.pop("documents"), options.pop("collection", None), options.pop("model", None)
+        if path:
+            vectors, made_by = attach_collection(data.sparkSession, path)
+            if queries_by and queries_by != made_by:
+                raise ValueError(f"the collection's vectors come from {made_by!r}, the queries from {queries_by!r}")
+            options["doc_vectors"] = vectors.select("code", "vector")
+    return STRATEGIES[strategy](data, source, template, carry=data.columns, **options)
+
+
 def write_prompts(
     extraction: DataFrame,
     mapping: DataFrame,
@@ -135,13 +160,18 @@ def write_prompts(
     output: str,
     order: Sequence[str] = (),
     gt_order: Sequence[str] = (),
+    strategy: str = "mapping",
+    retrieval: Mapping | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Q11: write the prompt dataset of the annotated work set; its rows' coverage and the covered share.
 
-    Returns ``(coverage per row, one-row percentage)``, both read from the written dataset.
+    ``strategy`` and ``retrieval`` as in ``encode_ambiguous``: prompts from the
+    correspondence, or from the closest label documents, re-ranked when a scorer is
+    given.  Returns ``(coverage per row, one-row percentage)``, both read from the
+    written dataset.
     """
     data = ambiguous_workset(extraction, mapping, ground_truth, order=order)
-    write_table(mapping_prompts(data, mapping, template, carry=data.columns, check=False).drop("prompt"), output)
+    write_table(_prompts(data, mapping, template, strategy, retrieval).drop("prompt"), output)
     dataset = extraction.sparkSession.read.parquet(output)
     coverage = E.prompt_coverage(dataset, E.ground_truth_first(ground_truth, gt_order))
     return coverage, E.coverage_pct(coverage)
@@ -220,8 +250,10 @@ def build_final(
     return parts
 
 
-def build_label_collection(mapping: DataFrame, embedder: Embedder, model: str, output: str) -> str:
-    """Entry E: one document per new code, embedded, written with its model name."""
+def build_label_collection(
+    mapping: DataFrame, embedder: Embedder | Callable[[], Embedder], model: str, output: str, per_worker: bool = False
+) -> str:
+    """Entry E: one document per new code, embedded, written with its model name (``per_worker``: by a factory's embedder)."""
     docs = label_documents(mapping)
-    vectors = embed(docs, "content", embedder, "vector")
+    vectors = embed(docs, "content", embedder, "vector", per_worker)
     return write_collection(vectors, output, model)

@@ -243,7 +243,7 @@ def _json_code(code: str) -> str:
 
 
 RESPONSES = f"""responses0 AS (
-  SELECT liasse_numero, CASE cast(liasse_numero as bigint) % 12
+  SELECT liasse_numero, CASE cast(liasse_numero as bigint) % 13
     WHEN 0 THEN '{{"codable": true, "nace2025": ' || {_json_code('nace2025')} || ', "nace08_valid": '
                 || CASE WHEN cast(liasse_numero as bigint) % 4 = 0 THEN 'false' ELSE 'true' END || '}}'
     WHEN 1 THEN 'codable: yes, code ' || coalesce({dot('nace2025')}, 'none')
@@ -256,6 +256,7 @@ RESPONSES = f"""responses0 AS (
     WHEN 8 THEN '{{"codable": true, "nace2025": 111}}'
     WHEN 9 THEN '{{"codable": true, "nace2025": {{"a": ' || {_json_code('nace2025')} || '}}}}'
     WHEN 10 THEN '{{"codable": true, "nace2025": ' || {_json_code('nace2025')} || ', "confidence": "high"}}'
+    WHEN 11 THEN '{{"codable": false, "nace2025": "00.00Z", "codable": true, "nace2025": ' || {_json_code('nace2025')} || '}}'
     ELSE '{{"codable": ' || CASE WHEN cast(liasse_numero as bigint) % 4 = 3 THEN '"On"' ELSE '1.0' END
          || ', "nace2025": ' || {_json_code('nace2025')} || ', "nace08_valid": "no"}}' END AS output_text
   FROM pred_a),
@@ -279,8 +280,12 @@ def _lax_boolean(field: str) -> str:
 def parsed_cte(src: str = "responses", name: str = "parsed") -> str:
     absent = lambda f: f"coalesce(json_type(js, '$.{f}'), 'NULL') = 'NULL'"
     return f"""{name}_raw AS (
-  SELECT *, json_type(js) = 'OBJECT' AS is_obj
-  FROM (SELECT *, CASE WHEN json_valid(output_text) THEN output_text ELSE 'null' END AS js FROM {src})),
+  SELECT * EXCLUDE (all_js), json_type(all_js) = 'OBJECT' AS is_obj, CASE WHEN json_type(all_js) = 'OBJECT' THEN
+    -- of a repeated key the last value counts
+    '{{' || array_to_string(list_transform(list_distinct(json_keys(all_js)), lambda k: to_json(k)::VARCHAR || ':' ||
+      json_extract(all_js, '$.*')[len(json_keys(all_js)) + 1 - list_position(list_reverse(json_keys(all_js)), k)]::VARCHAR),
+      ',') || '}}' ELSE all_js END AS js
+  FROM (SELECT *, CASE WHEN json_valid(output_text) THEN output_text ELSE 'null' END AS all_js FROM {src})),
 {name}_f AS (
   SELECT *,
     CASE WHEN is_obj THEN {_lax_boolean('codable')} END AS c_b,
@@ -601,11 +606,9 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS n FROM parsed GROUP BY 1"),
     "confidence_scores": q(
         RESPONSES,
-        "rj AS (SELECT *, CASE WHEN json_valid(output_text) THEN output_text ELSE 'null' END AS js FROM responses)",
-        "rc AS (SELECT *, CASE WHEN json_type(js, '$.nace2025') = 'VARCHAR' THEN json_extract_string(js, '$.nace2025') END "
-        "AS code FROM rj)",
-        f"SELECT liasse_numero, round({confidence_sql('token_ids', 'logprobs', 'coalesce(code, ' + chr(39) * 2 + ')')}, 6) "
-        f"AS confidence FROM rc"),
+        parsed_cte(),
+        f"SELECT liasse_numero, round({confidence_sql('token_ids', 'logprobs', 'coalesce(code_raw, ' + chr(39) * 2 + ')')}, 6) "
+        f"AS confidence FROM parsed_f"),
     "infer_batch": q(
         CAND, *workset_ctes(False),
         f"answers0 AS (SELECT ws.liasse_numero, {INFER_TEXT} AS output_text FROM ws JOIN cand ON ws.apet_finale = cand.code08)",
@@ -614,13 +617,17 @@ ORACLE_SQL: dict[str, str] = {
         "list_transform(range(0, length(output_text)), lambda i: -(i % 10) / cast(10 as double)) AS logprobs FROM answers0)",
         parsed_cte("answers", "pa2"),
         "SELECT liasse_numero, codable, nace2025, nace08_valid, confidence FROM pa2"),
+    "infer_resumed": q(
+        CAND, *workset_ctes(False),
+        f"answers AS (SELECT ws.liasse_numero, {INFER_TEXT} AS output_text FROM ws JOIN cand ON ws.apet_finale = cand.code08)",
+        "SELECT liasse_numero, output_text, cast(length(output_text) as integer) AS n_tokens FROM answers"),
     "results_roundtrip": q(
         RESPONSES, parsed_cte(),
-        "SELECT liasse_numero, codable, nace2025, nace08_valid, confidence, 'a' AS model, 'r1' AS run_id FROM parsed"),
+        "SELECT liasse_numero, codable, nace2025, nace08_valid, confidence, 'org/model-a.5' AS model, '2024-11-13--00-39' AS run_id FROM parsed"),
     "runs_by_path": q(
         RESPONSES, parsed_cte(),
-        "SELECT liasse_numero, codable, nace2025, 'a' AS model, r.run_id FROM parsed, "
-        "(SELECT unnest(['r1', 'r2']) AS run_id) r"),
+        "SELECT liasse_numero, codable, nace2025, 'org/model-a.5' AS model, r.run_id FROM parsed, "
+        "(SELECT unnest(['2024-11-13--00-39', '2024-11-15--01-13']) AS run_id) r"),
     "encode_ambiguous_metrics": q(
         CAND, *workset_ctes(True),
         *eval_ctes("SELECT ws.liasse_numero, cand.codes[1] AS nace2025, true AS codable "

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +84,22 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
+def process_object(kind: str, key: str, make: Callable[[], object]) -> object:
+    """The ``kind`` of object (a model, an embedder) this Python process holds, made by ``make`` if it has none under ``key``.
+
+    Task functions reach the workers by value, so their own globals end with the
+    task; this store is an entry of ``sys.modules`` and lives as long as the worker
+    process, over all tasks it runs.  A new key replaces the kind's older object,
+    so that models never pile up.
+    """
+    store = sys.modules.setdefault("_recoda_process_objects", types.ModuleType("_recoda_process_objects")).__dict__
+    held = store.get(kind)
+    if held is None or held[0] != key:
+        store.pop(kind, None)  # let go of the old model before the new one is loaded
+        held = store[kind] = (key, make())
+    return held[1]
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> tuple[bool, int]:
     """Whether ``df`` has at most ``limit`` rows, counting no further than limit+1."""
     n = df.limit(limit + 1).count()
@@ -111,8 +130,6 @@ def ship_package(spark: SparkSession | None = None) -> None:
     sends those functions by value with the task instead: nothing to install,
     no files to stage.  Idempotent.
     """
-    import sys
-
     from pyspark import cloudpickle
 
     pkg = sys.modules[__name__.split(".")[0]]

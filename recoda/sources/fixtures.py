@@ -162,13 +162,13 @@ def _json_code(code: Column) -> Column:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw model answers for model ``a`` in twelve shapes (valid, not JSON, no flag, text
-    after the object, wrong quotes, ill-typed fields, lenient booleans, ...), with their
+    """Raw model answers for model ``a`` in thirteen shapes (valid, not JSON, no flag, text
+    after the object, wrong quotes, ill-typed fields, lenient booleans, a repeated key, ...), with their
     (character) token ids and log-probs."""
     p = predictions(spark, sf_dir).filter(F.col("model") == "a")
     ident = F.col("liasse_numero").cast("long")
     cj = _json_code(F.col("nace2025"))
-    case = ident % 12
+    case = ident % 13
     text = (
         F.when(case == 0, F.concat(F.lit('{"codable": true, "nace2025": '), cj, F.lit(', "nace08_valid": '),
                                    F.when(ident % 4 == 0, F.lit("false")).otherwise(F.lit("true")), F.lit("}")))
@@ -182,6 +182,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 8, F.lit('{"codable": true, "nace2025": 111}'))
         .when(case == 9, F.concat(F.lit('{"codable": true, "nace2025": {"a": '), cj, F.lit("}}")))
         .when(case == 10, F.concat(F.lit('{"codable": true, "nace2025": '), cj, F.lit(', "confidence": "high"}')))
+        .when(case == 11, F.concat(F.lit('{"codable": false, "nace2025": "00.00Z", "codable": true, "nace2025": '), cj, F.lit("}")))
         .otherwise(F.concat(F.lit('{"codable": '), F.when(ident % 4 == 3, F.lit('"On"')).otherwise(F.lit("1.0")),
                             F.lit(', "nace2025": '), cj, F.lit(', "nace08_valid": "no"}')))
     )

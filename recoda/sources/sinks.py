@@ -22,6 +22,21 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def path_name(name: str) -> str:
+    """A model's name as a folder name: slashes become ``--`` (``read_runs`` gives the names back)."""
+    return name.replace("/", "--")
+
+
+def run_path(root: str, shard: int | str | None, **parts: str) -> str:
+    """Hive-style folder of one shard (``all``: not sharded) of one run of one model, in the order of ``parts``."""
+    values = {k: path_name(v) if k == "model" else v for k, v in parts.items()}
+    values["shard"] = "all" if shard is None else str(shard)
+    for name, value in values.items():
+        if "/" in value or ":" in value or "=" in value:
+            raise ValueError(f"{name} {value!r} cannot be a path segment")
+    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in values.items()]])
+
+
 def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int | str | None = None) -> str:
     """K2: results of one run under ``root/model=<m>/run_id=<r>/shard=<s>/codable=<bool>``.
 
@@ -30,13 +45,10 @@ def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int
     touching each other (``shard=all`` when the run is not sharded).  The
     layout is Hive-style, so reading ``root`` exposes ``model``, ``run_id``,
     ``shard`` and ``codable`` as partition columns for pruning.  Identifiers
-    must be usable as path segments (e.g. run ``2024-11-13--00-39``).
+    must be usable as path segments (e.g. run ``2024-11-13--00-39``); a slash in
+    a model's name is written as ``--``.
     """
-    shard_value = "all" if shard is None else str(shard)
-    for name, value in (("model", model), ("run_id", run_id), ("shard", shard_value)):
-        if "/" in value or ":" in value or "=" in value:
-            raise ValueError(f"{name} {value!r} cannot be a path segment")
-    path = f"{root.rstrip('/')}/model={model}/run_id={run_id}/shard={shard_value}"
+    path = run_path(root, shard, model=model, run_id=run_id)
     df.drop("model", "run_id", "shard").write.mode("overwrite").partitionBy("codable").parquet(path)
     return path
 
@@ -47,22 +59,13 @@ def write_collection(vectors: DataFrame, path: str, model: str) -> str:
     return path
 
 
-def _run_path(root: str, run_id: str, model: str, shard: int | str | None) -> str:
-    """Hive-style folder of one shard of one run of one model (a slash in a model's name becomes ``--``)."""
-    parts = {"run_id": run_id, "model": model.replace("/", "--"), "shard": "all" if shard is None else str(shard)}
-    for name, value in parts.items():
-        if "/" in value or ":" in value or "=" in value:
-            raise ValueError(f"{name} {value!r} cannot be a path segment")
-    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in parts.items()]])
-
-
 def write_metrics(metrics: DataFrame, root: str, run_id: str, model: str, shard: int | str | None = None) -> str:
     """K4: a long ``(metric, value)`` table under its run, model and shard; writing it again replaces it."""
-    return write_table(metrics.select("metric", "value").coalesce(1), _run_path(root, run_id, model, shard))
+    return write_table(metrics.select("metric", "value").coalesce(1), run_path(root, shard, run_id=run_id, model=model))
 
 
 def write_params(spark, params: dict, root: str, run_id: str, model: str, shard: int | str | None = None) -> str:
     """K4: the run's parameters ``(param, value)`` beside its metrics (a handful of driver-side settings)."""
     rows = [(str(k), str(v)) for k, v in params.items()]
     df = spark.createDataFrame(rows, "param string, value string")
-    return write_table(df.coalesce(1), _run_path(root, run_id, model, shard))
+    return write_table(df.coalesce(1), run_path(root, shard, run_id=run_id, model=model))

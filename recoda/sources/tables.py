@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from recoda.sources.sinks import path_name
+
 
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType | str | None = None) -> DataFrame:
     """A Parquet table (file or directory of files), optionally with an explicit schema."""
@@ -54,10 +56,18 @@ def read_runs(spark: SparkSession, root: str, runs: Mapping[str, Sequence[str]],
     Results are written partitioned by ``model/run_id/codable``; the filter on
     the partition columns prunes directories instead of listing and filtering
     file paths.  The schema is given so ``codable`` reads back as a boolean.
+    ``model`` holds the names asked for, with their slashes.
     """
     df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    conds = [(F.col("model") == m) & F.col("run_id").isin(list(ids)) for m, ids in runs.items()]
-    return df.filter(reduce(lambda a, b: a | b, conds)) if conds else df.limit(0)
+    if not runs:
+        return df.limit(0)
+    folders = {m: path_name(m) for m in runs}
+    if len(set(folders.values())) < len(folders):
+        raise ValueError(f"models of one folder name cannot be told apart: {sorted(folders)}")
+    conds = [(F.col("model") == folders[m]) & F.col("run_id").isin(list(ids)) for m, ids in runs.items()]
+    found = df.filter(reduce(lambda a, b: a | b, conds))
+    renamed = {folder: m for m, folder in folders.items() if folder != m}
+    return found.replace(renamed, subset="model") if renamed else found
 
 
 def read_files_matching(spark: SparkSession, root: str, stamps: Sequence[str], schema: str | None = None) -> DataFrame:
