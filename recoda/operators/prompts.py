@@ -19,6 +19,7 @@ from recoda.operators.dedup import require_empty
 from recoda.operators.infer import Embedder, embed
 from recoda.operators.mapping import unique_targets
 from recoda.operators.retrieve import PairScorer, similar_topk
+from recoda.operators.vector_index import VectorIndex, search_index
 from recoda.session import sized_broadcast, stored
 
 
@@ -110,12 +111,14 @@ def retrieval_prompts(
     doc_vectors: DataFrame | None = None,
     carry: Sequence[str] = (),
     per_worker: bool = False,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
     """Q6: retrieve the ``k`` closest label documents for each activity and prompt with them.
 
     ``documents``: ``(code, content)``; their vectors are computed with the
     same embedder unless ``doc_vectors`` ``(code, vector)`` is given; with
-    ``per_worker`` the embedder comes from a factory.
+    ``per_worker`` the embedder comes from a factory.  ``index``: search this index
+    of the documents (codes and vectors of the same embedder) instead of all of them.
     """
     activity = activity_description()
     carried = [c for c in carry if c != id_col]
@@ -127,12 +130,14 @@ def retrieval_prompts(
     )
     # read twice below (scores, prompts): work set and vectors are computed once
     queries = stored(embed(queries, "__q", embedder, "__qvec", per_worker).drop("__q"), "queries")
-    if doc_vectors is None:
+    if doc_vectors is None and index is None:
         doc_vectors = embed(documents.select("code", "content"), "content", embedder, "vector", per_worker).select("code", "vector")
-    top = similar_topk(
-        queries, doc_vectors, k=k, query_id=id_col, query_vec="__qvec", doc_id="code", doc_vec="vector",
-        fetch_k=fetch_k if scorer is not None else None, scorer=scorer,
-    )
+    names = {"query_id": id_col, "query_vec": "__qvec", "doc_id": "code"}
+    fetch = {"fetch_k": fetch_k, "scorer": scorer} if scorer is not None else {}
+    if index is not None:
+        top = search_index(queries, index, k, **names, **fetch)
+    else:
+        top = similar_topk(queries, doc_vectors, k, **names, doc_vec="vector", **fetch)
     top = top.join(sized_broadcast(documents.select("code", "content")), "code")
     # at most k rows per id: a bounded list
     per_id = top.groupBy(id_col).agg(

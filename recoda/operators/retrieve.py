@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recoda.session import row_count_at_most, ship_package
+from recoda.session import row_count_at_most, ship_package, stored
 
 PairScorer = Callable[[np.ndarray, np.ndarray], np.ndarray]
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -164,7 +164,10 @@ def similar_topk(
 
         ranked = q.mapInPandas(score_partition, cand_schema + ", rank int")
     else:
-        d.unpersist()  # past the bound the document side is large: do not hold it in memory
+        # past the bound the document side is large: kept in the shared folder, not in memory, and not computed again
+        kept = stored(d, "document-vectors")
+        d.unpersist()
+        d = kept
         blocks = max(1, math.ceil(n_docs / max_rows))
         n_queries = q.count()
         chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_queries / block_rows))

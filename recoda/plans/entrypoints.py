@@ -30,7 +30,7 @@ from recoda.functions.response import post_process, python_tokenizer, text_token
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import assemble
 from recoda.operators.dedup import duplicate_keys, require_empty
-from recoda.operators.infer import Embedder, Predictor, embed, run_predictor
+from recoda.operators.infer import Embedder, Predictor, run_predictor
 from recoda.operators.mapping import with_mapping_ok
 from recoda.operators.models import models_wide
 from recoda.operators.prompts import STRATEGIES, label_documents
@@ -38,7 +38,8 @@ from recoda.operators.recode import recode_unambiguous
 from recoda.operators.resume import run_resumably
 from recoda.operators.workset import ambiguous_workset, read_shard, split_shards
 from recoda.session import scratch_path
-from recoda.sources.sinks import path_name, run_path, write_collection, write_metrics, write_params, write_results, write_table
+from recoda.sources.collection import build_collection
+from recoda.sources.sinks import path_name, run_path, write_metrics, write_params, write_results, write_table
 from recoda.sources.tables import attach_collection
 
 ID = K.ID
@@ -253,7 +254,9 @@ def build_final(
 def build_label_collection(
     mapping: DataFrame, embedder: Embedder | Callable[[], Embedder], model: str, output: str, per_worker: bool = False
 ) -> str:
-    """Entry E: one document per new code, embedded, written with its model name (``per_worker``: by a factory's embedder)."""
-    docs = label_documents(mapping)
-    vectors = embed(docs, "content", embedder, "vector", per_worker)
-    return write_collection(vectors, output, model)
+    """Entry E: one document per new code, embedded, published below ``output`` with its model name.
+
+    A build over an earlier one embeds new and changed documents only.  ``per_worker``:
+    the embedder comes from a factory.  Returns the published version's folder.
+    """
+    return build_collection(label_documents(mapping), embedder, model, output, per_worker).path

@@ -44,9 +44,11 @@ from recoda.operators.prompts import label_documents, mapping_prompts, retrieval
 from recoda.operators.recode import recode_unambiguous
 from recoda.operators.resume import run_resumably
 from recoda.operators.retrieve import dot_product_scorer, similar_topk
+from recoda.operators.vector_index import build_index, search_index
 from recoda.operators.workset import ambiguous_workset, split_shards
 from recoda.session import scratch_path, ship_package, stored
 from recoda.sources import fixtures as X
+from recoda.sources.collection import build_collection
 from recoda.sources.sinks import run_stamp, write_collection, write_metrics, write_results, write_table
 from recoda.sources.tables import attach_collection, read_runs, read_sheet, read_table, sql_over
 from recoda.sources.templates import load_template
@@ -347,6 +349,27 @@ def q_similar_rerank(spark, sf):
     return top.select("query_id", "doc_id", F.round("pair_score", SCORE_DIGITS).alias("score"), "rank")
 
 
+def _embedding_index(spark, sf):
+    """The queries (every vector whose id is divisible by 20) and the stored index of all vectors."""
+    e = embeddings(spark, sf)
+    q = e.filter(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return q, build_index(e, scratch_path(spark, "index"), "vec_id", "embedding")
+
+
+def q_index_search(spark, sf):
+    """J11 by the clustered index: the lists a query needs for the recall measured when the index was built."""
+    q, index = _embedding_index(spark, sf)
+    top = search_index(q, index, k=K.TOP_K)
+    return top.select("query_id", "doc_id", F.round("cosine", SCORE_DIGITS).alias("score"), "rank")
+
+
+def q_index_search_exact(spark, sf):
+    """J11 by the clustered index in its exact mode."""
+    q, index = _embedding_index(spark, sf)
+    top = search_index(q, index, k=K.TOP_K, exact=True)
+    return top.select("query_id", "doc_id", F.round("cosine", SCORE_DIGITS).alias("score"), "rank")
+
+
 def q_responses_parsed(spark, sf):
     return parsed_responses(spark, sf)
 
@@ -410,6 +433,19 @@ def q_embeddings_roundtrip(spark, sf):
                        F.array_join(F.transform(first, lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",").alias("values"))
 
 
+def q_collection_updated(spark, sf):
+    """A collection of some label documents, built again over all of them: who was embedded when."""
+    docs = label_documents(mapping(spark, sf)).select("code", "content")
+    old = docs.withColumn("content", F.when(F.length("content") % 2 == 0, F.col("content")).otherwise(F.lit("an older text")))
+    root = scratch_path(spark, "collection")
+    build_collection(old, letter_count_embedder(), "letter-count-26", root)
+    build_collection(docs, letter_count_embedder(), "letter-count-26", root)
+    coll, model = attach_collection(spark, root)
+    return coll.select("code", "embedded", F.lit(model).alias("model"),
+                       F.array_join(F.transform("vector", lambda x: F.round(F.round(x.cast("double"), SCORE_DIGITS) * 1_000_000)
+                                                .cast("long").cast("string")), ",").alias("values"))
+
+
 def q_metrics_long(spark, sf):
     acc = q_accuracy_levels(spark, sf)
     coded = E.to_long(E.coded_stats(model_results(spark, sf)))

@@ -591,6 +591,10 @@ ORACLE_SQL: dict[str, str] = {
         "WITH " + SIM + " SELECT query_id, doc_id, round(cosine, 6) AS score, cast(rank as integer) AS rank FROM ("
         "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 12) DESC, doc_id ASC) AS rank FROM sim) "
         "WHERE rank <= 5"),
+    "index_search_exact": (
+        "WITH " + SIM + " SELECT query_id, doc_id, round(cosine, 6) AS score, cast(rank as integer) AS rank FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 12) DESC, doc_id ASC) AS rank FROM sim "
+        "WHERE query_id % 20 = 0) WHERE rank <= 5"),
     "similar_rerank": (
         "WITH " + SIM + ", top35 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
         "ORDER BY round(cosine, 12) DESC, doc_id ASC) AS r1 FROM sim) WHERE r1 <= 35) "
@@ -641,6 +645,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT code, 'letter-count-26' AS model, cast(26 as integer) AS dims, 'letter-count-26' AS collection_model, "
         "array_to_string(list_transform(v, lambda x: cast(cast(round(round(cast(x AS DOUBLE), 6) * 1000000) AS BIGINT) "
         "AS VARCHAR)), ',') AS values FROM lv"),
+    "collection_updated": q(
+        LABEL_DOCS,
+        f"lv AS (SELECT code, content, {letter_vector('content')} AS v FROM ld)",
+        "SELECT code, length(content) % 2 = 1 AS embedded, 'letter-count-26' AS model, "
+        "array_to_string(list_transform(v, lambda x: cast(cast(round(round(cast(x AS DOUBLE), 6) * 1000000) AS BIGINT) "
+        "AS VARCHAR)), ',') AS values FROM lv"),
     "sheets_by_position": q(
         "SELECT code08, arg_min(label08, pos) AS label08, cast(count(*) as integer) AS n_targets, "
         "string_agg(code25, ',' ORDER BY pos) AS target_codes, count(*) > 1 AS is_ambiguous FROM corr GROUP BY code08"),

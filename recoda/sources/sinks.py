@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recoda.sources.published import publish, replace_folder
+
 # fixed value: run stamp layout (minutes), with "-" instead of ":" so it can be a path segment
 RUN_STAMP_FORMAT = "%Y-%m-%d--%H-%M"
 
@@ -17,8 +19,8 @@ def run_stamp(at: datetime | None = None) -> str:
 
 
 def write_table(df: DataFrame, path: str) -> str:
-    """K1: replace a Parquet table."""
-    df.write.mode("overwrite").parquet(path)
+    """K1: replace a Parquet table once the new one is complete (a failing writer leaves the old one as it was)."""
+    replace_folder(df.sparkSession, path, lambda folder: df.write.parquet(folder))
     return path
 
 
@@ -38,25 +40,23 @@ def run_path(root: str, shard: int | str | None, **parts: str) -> str:
 
 
 def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int | str | None = None) -> str:
-    """K2: results of one run under ``root/model=<m>/run_id=<r>/shard=<s>/codable=<bool>``.
+    """K2: results of one run under ``root/model=<m>/run_id=<r>/shard=<s>/version=<v>/codable=<bool>``.
 
     Writing replaces that shard of that run only: re-running it is idempotent,
     and the three shard jobs of one run can write concurrently without
-    touching each other (``shard=all`` when the run is not sharded).  The
-    layout is Hive-style, so reading ``root`` exposes ``model``, ``run_id``,
-    ``shard`` and ``codable`` as partition columns for pruning.  Identifiers
-    must be usable as path segments (e.g. run ``2024-11-13--00-39``); a slash in
-    a model's name is written as ``--``.
+    touching each other (``shard=all`` when the run is not sharded).  The new
+    version of a shard is published when it is complete; ``read_runs`` reads
+    published versions only, so a run that fails or is retried never tears one.
+    Identifiers must be usable as path segments (e.g. run ``2024-11-13--00-39``);
+    a slash in a model's name is written as ``--``.  Returns the version's folder.
     """
-    path = run_path(root, shard, model=model, run_id=run_id)
-    df.drop("model", "run_id", "shard").write.mode("overwrite").partitionBy("codable").parquet(path)
-    return path
+    path, rows = run_path(root, shard, model=model, run_id=run_id), df.drop("model", "run_id", "shard")
+    return publish(df.sparkSession, path, lambda folder: rows.write.partitionBy("codable").parquet(folder))
 
 
 def write_collection(vectors: DataFrame, path: str, model: str) -> str:
     """K3: an embeddings collection ``(..., vector)`` tagged with the model that made it."""
-    vectors.withColumn("model", F.lit(model)).write.mode("overwrite").parquet(path)
-    return path
+    return write_table(vectors.withColumn("model", F.lit(model)), path)
 
 
 def write_metrics(metrics: DataFrame, root: str, run_id: str, model: str, shard: int | str | None = None) -> str:

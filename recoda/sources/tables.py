@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from recoda.sources.published import children, current
 from recoda.sources.sinks import path_name
 
 
@@ -53,21 +54,26 @@ RESULT_SCHEMA = (
 def read_runs(spark: SparkSession, root: str, runs: Mapping[str, Sequence[str]], schema: str = RESULT_SCHEMA) -> DataFrame:
     """Results of chosen runs of chosen models.
 
-    Results are written partitioned by ``model/run_id/codable``; the filter on
-    the partition columns prunes directories instead of listing and filtering
-    file paths.  The schema is given so ``codable`` reads back as a boolean.
-    ``model`` holds the names asked for, with their slashes.
+    Only the published version of every shard of the runs asked for is listed and
+    read, so other runs cost nothing and half-written ones are never seen.  The
+    schema is given so ``codable`` reads back as a boolean.  ``model`` holds the
+    names asked for, with their slashes.
     """
-    df = spark.read.schema(schema).option("basePath", root).parquet(root)
-    if not runs:
-        return df.limit(0)
     folders = {m: path_name(m) for m in runs}
     if len(set(folders.values())) < len(folders):
         raise ValueError(f"models of one folder name cannot be told apart: {sorted(folders)}")
-    conds = [(F.col("model") == folders[m]) & F.col("run_id").isin(list(ids)) for m, ids in runs.items()]
-    found = df.filter(reduce(lambda a, b: a | b, conds))
+    root = root.rstrip("/")
+    paths = []
+    for m, ids in runs.items():
+        for run in dict.fromkeys(f"{root}/model={folders[m]}/run_id={i}" for i in ids):
+            for shard in children(spark, run):
+                if shard.startswith("shard="):
+                    paths.append(current(spark, f"{run}/{shard}") or f"{run}/{shard}")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    read = spark.read.schema(schema + ", version string").option("basePath", root).parquet(*paths).drop("version")
     renamed = {folder: m for m, folder in folders.items() if folder != m}
-    return found.replace(renamed, subset="model") if renamed else found
+    return read.replace(renamed, subset="model") if renamed else read
 
 
 def read_files_matching(spark: SparkSession, root: str, stamps: Sequence[str], schema: str | None = None) -> DataFrame:
@@ -88,9 +94,11 @@ def read_files_matching(spark: SparkSession, root: str, stamps: Sequence[str], s
 def attach_collection(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
     """An embeddings collection ``(code, model, vector, ...)`` and its single model name.
 
+    ``path``: a folder of vectors, or the root of a collection built incrementally.
+
     Reads one aggregated row; raises unless exactly one model produced the vectors.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(current(spark, path) or path)
     row = df.agg(F.count_distinct("model").alias("n"), F.min("model").alias("m")).first()
     if row is None or row["n"] != 1:
         raise RuntimeError(f"collection {path} must hold vectors of exactly one model")
