@@ -641,21 +641,70 @@ def test_url_filter(spark):
 # the pipeline
 
 
+def brute_filter(rows):
+    """(id, text, host) of the documents the quality stage keeps, boilerplate lines cut out."""
+    normal = lambda line: re.sub("[0-9]+", "0", re.sub("[ \t-\r]+", " ", line).strip(" ").lower())
+    words = lambda line: len(re.findall("[^ \t-\r]+", line))
+    holders = defaultdict(set)
+    for host, text in {(host, text) for _, text, host in rows}:
+        lines = {normal(x): words(x) for x in (text or "").split("\n") if words(x)}
+        by_length = sorted(lines, key=lambda x: -len(x.encode()))
+        for line, n in lines.items():
+            others = [x for x in by_length if x != line]
+            holders[host, line].add(("line", others[0]) if n > 25 and others else ("text", text))
+    out = []
+    for i, text, host in rows:
+        n_words, _, _, _, n_repeat = brute_quality(text or "")
+        lines = (text or "").split("\n")
+        gone = [bool(words(x)) and len(holders[host, normal(x)]) > 10 for x in lines]
+        lost = sum(words(x) for x, g in zip(lines, gone, strict=True) if g)
+        if n_words >= 50 and 100 * n_repeat <= 50 * n_words and lost <= 0.5 * n_words:
+            out.append((i, "\n".join(x for x, g in zip(lines, gone, strict=True) if not g) if any(gone) else text, host))
+    return out
+
+
+def brute_strip(rows):
+    """(id, text) after the line dedup stage: chunks, whole texts and passages of over 50 words, later copies cut out."""
+    words = lambda line: len(re.findall("[^ \t-\r]+", line))
+    found, split = defaultdict(list), {}
+    for row, (i, text) in enumerate(rows):
+        lines = split[row] = text.split("\n")
+        w, n = [words(x) for x in lines], len(lines)
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+        roll = [((h[k - 1] if k else 0) * 1_000_003 + h[k]) % 2_147_483_647 for k in range(n)]
+        cuts = [0] + [
+            k for k in range(1, n)
+            if w[k - 1] > 50 or w[k] > 50 or (2 <= k < n - 1 and roll[k - 1] < roll[k - 2] and roll[k - 1] <= roll[k])
+        ] + [n]
+        places = {(a, b - a) for a, b in zip(cuts, cuts[1:]) if sum(x > 0 for x in w[a:b]) >= 2 or max(w[a:b]) > 50}
+        if any(w):
+            places.add((0, n))
+        for k in (k for k in range(n) if w[k]):
+            ahead = next((e for e in range(k, n) if sum(w[k : e + 1]) > 50), None)
+            back = next((e for e in range(k, -1, -1) if sum(w[e : k + 1]) > 50), None)
+            places |= {(k, ahead - k + 1)} if ahead is not None else set()
+            places |= {(back, k - back + 1)} if back is not None else set()
+        for a, size in places:
+            found["\n".join(lines[a : a + size])].append((i, row, a, size))
+    gone = defaultdict(set)
+    for copies in found.values():
+        for _, row, a, size in sorted(copies)[1:]:
+            gone[row].update(range(a, a + size))
+    out = []
+    for row, (i, text) in enumerate(rows):
+        left = [x for k, x in enumerate(split[row]) if k not in gone[row]]
+        out.append((i, text if not gone[row] else "\n".join(left) if any(map(words, left)) else ""))
+    return out
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark):
-    """run() against plain Python: quality and line dedup by their DuckDB SQL, the rest spelled out."""
+    """run() against plain Python versions of the stages it is made of."""
     import corpus_pipeline
-    import duckdb
-
-    from recoda.llm import oracle
-
-    documents = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
-    con = duckdb.connect()
-    con.register("documents", documents)
-    verdict = con.sql(oracle.OP6_SQL).df().set_index("doc_id")
-    kept = documents[documents["doc_id"].map(verdict["kept"])]
-    assert (verdict["n_boilerplate_words"] == 0).all()  # this table is too small for boilerplate: texts stay
-    con.register("documents", kept)
-    texts = con.sql(oracle.OP1_SQL).df().set_index("doc_id")["text"].to_dict()
+
+    documents = [(r["doc_id"], r["text"], r["source"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    filtered = brute_filter(sorted(documents))
+    assert 0 < len(filtered) < len(documents)
+    texts = dict(brute_strip([(i, t) for i, t, _ in filtered]))
     codes = [(i, brute_simhash(t)) for i, t in sorted(texts.items())]
     firsts = {c for c in brute_components(codes, 4)}
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -665,6 +714,30 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     assert n <= bound + max(2, bound // 50)
 
 
+def test_stages_equal_brute_force_with_boilerplate_and_copies(spark, docs):
+    """The quality and line dedup stages on many small documents with shared lines, passages, copies and blank lines."""
+    from recoda.llm import line_dedup, quality
+
+    rng = random.Random(9)
+    vocabulary = [w for r in docs.select("text").take(3) for w in r["text"].split()][:400]
+    line = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    shared, passages = [line(8), line(40), line(70)], [[line(20), "", line(25), line(15)], [line(60)], [line(9)] * 7]
+    rows = []
+    for i in range(80):
+        parts = [line(rng.choice([3, 12, 30, 55])) for _ in range(rng.randint(2, 7))]
+        parts[1:1] = rng.choice(passages) if i % 3 == 0 else []
+        parts += rng.sample(shared, rng.randint(0, 3)) if i % 2 else []
+        rows.append((i, "\n".join(parts), f"s{i % 2}"))
+    rows += [(100 + i, rows[i][1], "s0") for i in range(5)] + [(200, "", "s0"), (201, "\n \n", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want = brute_filter(rows)
+    kept = quality.filter_quality(df).collect()
+    assert sorted((r["doc_id"], r["text"], r["source"]) for r in kept) == sorted(want)
+    assert 0 < len(want) < len(rows) and any(t != dict((r[0], r[1]) for r in rows)[i] for i, t, _ in want)
+    stripped = line_dedup.strip_repeated_lines(df).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in stripped) == sorted(brute_strip([r[:2] for r in sorted(rows)]))
+
+
 def test_pipeline_stages_keep_the_columns(spark, awkward):
     import corpus_pipeline
 
