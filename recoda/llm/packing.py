@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recoda.llm.common import batch, map_batches, slices, stored, strings, worker_state
-from recoda.llm.tokens import UnitEncoder
+from recoda.llm.bpe import Encoder
 
 
 def sum_of_squares(lengths, capacity: int):
@@ -74,7 +74,7 @@ def document_pieces(
     """doc_id, piece, start, length, ids_crc32 per piece of every document (null text: empty)."""
 
     def cut(batches):
-        enc = worker_state(("ids", tokenizer), lambda: UnitEncoder(tokenizer))
+        enc = worker_state(("encoder", tokenizer), lambda: Encoder(tokenizer))
         end = end_id.to_bytes(4, "little")
         for rows in batches:
             texts = strings(rows.column("text"))
@@ -160,7 +160,7 @@ def sequence_ids(
     def ids_of(batches):
         import numpy as np
 
-        enc = worker_state(("ids", tokenizer), lambda: UnitEncoder(tokenizer))
+        enc = worker_state(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for rows in batches:
             flats = [b + end_id.to_bytes(4, "little") for b in enc.encode(strings(rows.column("text")))]
             spans = zip(flats, rows.column("start").to_pylist(), rows.column("length").to_pylist(), strict=True)

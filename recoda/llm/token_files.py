@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recoda.llm.common import batch, map_batches, slices, strings, worker_state
-from recoda.llm.tokens import UnitEncoder
+from recoda.llm.bpe import Encoder
 from recoda.session import scratch_path
 
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -180,7 +180,7 @@ def write_token_files(
 
         context = TaskContext.get()
         part, name = context.partitionId(), f"part-{context.partitionId():06d}.zst"
-        enc = worker_state(("ids", tokenizer), lambda: UnitEncoder(tokenizer))
+        enc = worker_state(("encoder", tokenizer), lambda: Encoder(tokenizer))
         width = 2 if max(enc.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 2**16 else 4
         end = end_id.to_bytes(4, "little")
         fs, folder = _open(root)

@@ -14,6 +14,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from recoda.llm import (
+    bpe,
     decontaminate,
     jobs,
     line_dedup,
@@ -92,6 +93,25 @@ def test_units_give_the_library_ids(path):
     assert enc.encode(texts) == want  # after the cache was cleared
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_encoder_gives_the_library_ids(path):
+    """Code points (all below U+3000) in several places, odd mixtures and the awkward texts, against the library itself."""
+    enc = bpe.Encoder(path)
+    assert enc.fast is not None
+    points = [chr(c) for c in [*range(0x3000), *range(0x3000, 0x110000, 37)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b 1{c}2 {c} {c}X" for c in points]
+    rng = random.Random(6)
+    odd = ["a", "B", "'s", "'LL", "'", " ", "  ", "\n", "\t", "\u00a0", "\u2028", "\u0301", "e\u0301", "é", "1", "²", "_", "\x1c"]
+    odd += ["漢", "İ", "ΑΣ", "\u200d", "don't", "\u2019", "\x00", "ſ", "\u212a", "\u212b", "<|endoftext|>", "👩"]
+    texts += ["".join(rng.choices(odd, k=rng.randint(0, 25))) for _ in range(5000)] + [t or "" for t in TEXTS]
+    tok = Tokenizer.from_file(path)
+    for i in range(0, len(texts), 20_000):
+        part = texts[i : i + 20_000]
+        want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(part, add_special_tokens=False)]
+        wrong = [t for t, a, b in zip(part, enc.encode(part), want, strict=True) if a != b]
+        assert not wrong, wrong[:3]
+
+
 def test_token_counts(awkward, nothing, docs, local):
     tok = Tokenizer.from_file(WORD)
     for df in (awkward, docs):
