@@ -8,15 +8,15 @@ declaration with the same nine attributes (J5).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoda.functions import constants as K
 from recoda.operators.dedup import duplicate_keys, first_per_key
-from recoda.session import sized_broadcast, stored
+from recoda.session import stored
 
 
 def anti_join_ids(df: DataFrame, ids: DataFrame, id_col: str = K.ID) -> DataFrame:
@@ -30,35 +30,55 @@ def enrich(df: DataFrame, declarations: DataFrame, id_col: str = K.ID) -> DataFr
     return df.join(declarations, id_col, "left")
 
 
+def attribute_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def hot_keys(targets: DataFrame, attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS, hot_rows: int = 1_000_000) -> dict[int, int]:
+    """Attribute combinations (their hash) with over ``hot_rows`` targets, and how many salts spread each.
+
+    One pass with a frequent-items sketch: bounded memory per task, and what reaches
+    the driver is at most ``HOT_KEYS`` items.  A combination of over ``hot_rows`` rows
+    is never missed while the table has fewer than ``hot_rows`` x ``TRACKED`` / 4 rows;
+    estimates may be too high, which only salts a colder key as well.
+    """
+    sketch = F.expr(f"approx_top_k(__h, {HOT_KEYS}, {TRACKED})")
+    found = targets.select(attribute_hash(attributes).alias("__h")).agg(sketch.alias("top")).first()["top"]
+    return {r["item"]: -(-r["count"] // hot_rows) for r in found or [] if r["count"] > hot_rows}
+
+
+HOT_KEYS, TRACKED = 1_000, 10_000
+
+
 def propagate(labels: DataFrame, targets: DataFrame, attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
-              id_col: str = K.ID, label_col: str = "nace2025", salts: int = 0,
-              hot_rows: int = 1_000_000) -> DataFrame:
+              id_col: str = K.ID, label_col: str = "nace2025", salts: int | None = None,
+              hot_rows: int = 1_000_000, hot: Mapping[int, int] | None = None) -> DataFrame:
     """J5 + F4: give each label to every target declaration with the same attributes.
 
     The target's id replaces the label row's id; label rows that reach no
     target would get a null id and are dropped (F4), so this is an inner join
     on the nine attributes with nulls matching.  A hot attribute combination
-    only grows the target side of one key.  By default AQE's skew-join
-    handling splits it; with ``salts > 1`` the split is explicit: attribute
-    keys with more than ``hot_rows`` targets (found by a partially aggregated
-    count, a bounded list broadcast behind a size check) spread their targets
-    over ``salts`` buckets by id, and only their label rows are replicated.
+    only grows the target side of one key.  Combinations with more than
+    ``hot_rows`` targets are found by a sketch (``hot_keys``; or given as ``hot``,
+    hash to salts); their targets spread over salt buckets by id, about ``hot_rows``
+    each, and only their label rows are replicated.  ``salts`` fixes the number
+    of buckets instead; 0 switches the split off.
     """
+    if salts == 0:
+        hot = {}
+    elif hot is None:
+        hot = hot_keys(targets, attributes, hot_rows)
     l = labels.select(F.col(label_col), *[F.col(c) for c in attributes])
     t = targets.select(F.col(id_col), *[F.col(c).alias(f"__t_{c}") for c in attributes])
     cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(t[f"__t_{c}"]) for c in attributes])
-    if salts > 1:
-        t = t.withColumn("__h", F.xxhash64(*[F.col(f"__t_{c}") for c in attributes]))
-        # hash collisions only salt a cold key as well: harmless
-        hot = (t.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-               .select("__h", F.lit(True).alias("__hot")))
-        hot = sized_broadcast(hot)
-        t = t.join(hot, "__h", "left").withColumn(
-            "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts))).otherwise(F.lit(0))
-        ).drop("__hot")
-        l = l.withColumn("__h", F.xxhash64(*[F.col(c) for c in attributes])).join(hot, "__h", "left")
-        l = l.withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                             .otherwise(F.array(F.lit(0))))).drop("__hot", "__h")
+    if hot:
+        spark = targets.sparkSession
+        spread = spark.createDataFrame([(h, salts or n) for h, n in hot.items()], "__h long, __n int")  # at most HOT_KEYS rows
+        spread, buckets = F.broadcast(spread), F.coalesce(F.col("__n"), F.lit(1))
+        t = t.withColumn("__h", attribute_hash([f"__t_{c}" for c in attributes])).join(spread, "__h", "left")
+        t = t.withColumn("__salt", F.pmod(F.xxhash64(F.col(id_col)), buckets).cast("int")).drop("__h", "__n")
+        l = l.withColumn("__h", attribute_hash(attributes)).join(spread, "__h", "left")
+        l = l.withColumn("__salt", F.explode(F.sequence(F.lit(0), buckets - 1))).drop("__h", "__n")
         cond = reduce(lambda a, b: a & b, [l[c].eqNullSafe(t[f"__t_{c}"]) for c in attributes]) & (
             l["__salt"] == t["__salt"])
     joined = l.join(t, cond, "inner")
@@ -82,7 +102,7 @@ def assemble(
     id_col: str = K.ID,
     attributes: Sequence[str] = K.ATTRIBUTE_COLUMNS,
     prefer_human: bool = False,
-    salts: int = 0,
+    salts: int | None = None,
     hot_rows: int = 1_000_000,
 ) -> dict[str, DataFrame]:
     """The final labelled table and its parts.
@@ -95,8 +115,8 @@ def assemble(
     ``violations``.  ``prefer_human`` makes the final ids unique: the propagated
     human label wins, and a combination of attributes with several model labels
     gives the one of the smallest id; ``conflicts`` lists such combinations.
-    ``salts``/``hot_rows`` switch on explicit salting of hot attribute keys in
-    the propagation joins (see ``propagate``).  The deduplicated declarations
+    Hot attribute combinations are split in both propagation joins; one sketch over
+    the declarations finds them (``salts``, ``hot_rows``: see ``propagate``).  The deduplicated declarations
     are written to the shared checkpoint folder when this is called.
     """
     keep = [id_col, *attributes]
@@ -118,8 +138,10 @@ def assemble(
     human_full = first_per_key(enrich(human, declarations, id_col), list(attributes), [id_col, "nace2025"])
 
     targets = anti_join_ids(declarations, univ, id_col)
-    model_spread = propagate(model_full, targets, attributes, id_col, salts=salts, hot_rows=hot_rows)
-    human_spread = propagate(human_full, targets, attributes, id_col, salts=salts, hot_rows=hot_rows)
+    # the targets are some of the declarations, so a hot key of the targets is hot there too
+    hot = {} if salts == 0 else hot_keys(declarations, attributes, hot_rows)
+    model_spread = propagate(model_full, targets, attributes, id_col, salts=salts, hot=hot)
+    human_spread = propagate(human_full, targets, attributes, id_col, salts=salts, hot=hot)
     if prefer_human:
         model_spread = anti_join_ids(model_spread, human_spread.select(id_col), id_col)
 

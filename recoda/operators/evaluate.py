@@ -66,12 +66,13 @@ def ground_truth_first(ground_truth: DataFrame, order: Sequence[str] = (), id_co
     return first_per_key(ground_truth, [id_col], list(order))
 
 
-def accuracy_metrics(ev: DataFrame, truth: str = "apet_manual", pred: str = "nace2025",
-                     filters: Sequence[str | None] = (None, "mapping_ok", "codable")) -> dict[str, Column]:
-    """A1 + A2 + F3: ``accuracy_{overall|filter}_lvl_{i}`` aggregate expressions."""
+def accuracy_metrics(ev: DataFrame | None = None, truth: str = "apet_manual", pred: str = "nace2025",
+                     filters: Sequence[str | None] = (None, "mapping_ok", "codable"),
+                     within: Column | None = None) -> dict[str, Column]:
+    """A1 + A2 + F3: ``accuracy_{overall|filter}_lvl_{i}`` aggregate expressions (of the rows ``within``)."""
     out = {}
     for f in filters:
-        where = None if f is None else F.col(f)
+        where = within if f is None else F.col(f) if within is None else within & F.col(f)
         for i in K.ACCURACY_LEVELS:
             out[f"accuracy_{f or 'overall'}_lvl_{i}"] = pct(level_match(truth, pred, i), where)
     return out
@@ -97,6 +98,33 @@ def evaluate_results(results: DataFrame, ground_truth: DataFrame, prompts: DataF
     return to_long(ev.agg(*[v.alias(k) for k, v in metrics.items()]))
 
 
+LABEL_COLUMNS = ("apet_manual", "mapping_ok", "__labelled")
+
+
+def with_labels(results: DataFrame, ground_truth: DataFrame, prompts: DataFrame,
+                gt_order: Sequence[str] = (), id_col: str = K.ID) -> DataFrame:
+    """All rows of ``results`` with their human label and its coverage by the prompt (``LABEL_COLUMNS``; null: no label).
+
+    With ``result_metrics`` it measures results while they are written, instead of
+    reading them back (``evaluate_results``).
+    """
+    gt = ground_truth_first(ground_truth, gt_order, id_col).select(id_col, "apet_manual")
+    codes = prompts.select(id_col, quoted_codes_in(F.col("user_prompt")).alias("__codes"))
+    covered = gt.join(codes, id_col).select(
+        id_col, "apet_manual", label_covered("__codes", "apet_manual").alias("mapping_ok"), F.lit(True).alias("__labelled")
+    )
+    return results.join(covered, id_col, "left")
+
+
+def result_metrics() -> dict[str, Column]:
+    """Q8 + A4 as aggregate expressions over ``with_labels`` rows: accuracies, sizes, coded counts."""
+    labelled = F.coalesce(F.col("__labelled"), F.lit(False))
+    metrics = accuracy_metrics(within=labelled)
+    metrics["eval_size"] = F.count_if(labelled)
+    metrics["mapping_ok"] = F.count_if(labelled & F.col("mapping_ok"))
+    return {**metrics, **coded_metrics()}
+
+
 def agreement_rows(wide: DataFrame, cols: Sequence[str], id_col: str = K.ID) -> DataFrame:
     """X20 per row."""
     flags = agreement_flags(cols)
@@ -170,13 +198,17 @@ def best_strategy(matrix: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def coded_stats(results: DataFrame) -> DataFrame:
     """A4: coded / not coded counts and the not-coded percentage (half-even, 2 digits)."""
+    return results.agg(*[v.alias(k) for k, v in coded_metrics().items()])
+
+
+def coded_metrics() -> dict[str, Column]:
     n = F.count(F.lit(1))
     coded = F.count_if(F.col("codable"))
-    return results.agg(
-        coded.alias("num_coded"),
-        (n - coded).alias("num_not_coded"),
-        F.bround(F.try_divide((n - coded) * F.lit(100.0), n), 2).alias("pct_not_coded"),
-    )
+    return {
+        "num_coded": coded,
+        "num_not_coded": n - coded,
+        "pct_not_coded": F.bround(F.try_divide((n - coded) * F.lit(100.0), n), 2),
+    }
 
 
 def coverage_pct(coverage: DataFrame) -> DataFrame:

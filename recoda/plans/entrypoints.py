@@ -29,7 +29,7 @@ from recoda.functions.names import column
 from recoda.functions.response import post_process, python_tokenizer, text_tokens
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import assemble
-from recoda.operators.dedup import duplicate_keys, require_empty
+from recoda.operators.dedup import duplicate_keys
 from recoda.operators.infer import Embedder, Predictor, run_predictor
 from recoda.operators.mapping import with_mapping_ok
 from recoda.operators.models import models_wide
@@ -39,7 +39,7 @@ from recoda.operators.resume import run_resumably
 from recoda.operators.workset import ambiguous_workset, read_shard, split_shards
 from recoda.session import scratch_path
 from recoda.sources.collection import build_collection
-from recoda.sources.sinks import path_name, run_path, write_metrics, write_params, write_results, write_table
+from recoda.sources.sinks import path_name, run_path, write_metrics, write_params, write_results, write_table, write_unique
 from recoda.sources.tables import attach_collection
 
 ID = K.ID
@@ -121,11 +121,11 @@ def encode_ambiguous(
         answers = run_predictor(dataset, predictor, data.columns, settings, per_worker, profile=profile)
     results = post_process(answers, keep=tuple(data.columns), with_nace08=strategy == "mapping",
                            tokenize=python_tokenizer(tokenizer, per_worker) if tokenizer else text_tokens)
-    path = write_results(results, results_root, model, run_id, shard)
-    stored = spark.read.parquet(path)
-    metrics = E.evaluate_results(stored, ground_truth, dataset, gt_order=gt_order).unionByName(
-        E.to_long(E.coded_stats(stored))
-    )
+    # labels and coverage join the results on their way into the file; the metrics come with that one write
+    labelled = E.with_labels(results, ground_truth, dataset, gt_order)
+    path, seen = write_results(labelled, results_root, model, run_id, shard, E.result_metrics(), E.LABEL_COLUMNS)
+    rows = [(name, None if seen[name] is None else float(seen[name])) for name in E.result_metrics()]
+    metrics = spark.createDataFrame(rows, "metric string, value double")
     if not metrics_path:
         return metrics
     written = write_metrics(metrics, metrics_path, run_id, model, shard)
@@ -230,24 +230,24 @@ def build_final(
     human_order: Sequence[str] = (),
     fail_on_duplicates: bool = True,
     prefer_human: bool = False,
-    salts: int = 0,
+    salts: int | None = None,
     hot_rows: int = 1_000_000,
 ) -> dict[str, DataFrame]:
-    """Entry D: the final table; duplicate ids fail the job before the output is written.
+    """Entry D: the final table; duplicate ids fail the job before the output is replaced.
 
-    The table is computed once, into the shared scratch folder; the check and
-    the output read it there.  ``prefer_human`` makes ids unique by rule (see
-    ``assemble``) instead of failing.
+    The table is written once, to ``output`` (default: the shared scratch folder);
+    its rows and repeated ids are counted during that write (``counts``), and it
+    takes the old table's place only when the check has passed.  ``prefer_human``
+    makes ids unique by rule (see ``assemble``) instead of failing.
     """
     parts = assemble(extraction, univocal, model_labels, human_labels, order=order, human_order=human_order,
                      prefer_human=prefer_human, salts=salts, hot_rows=hot_rows)
-    spark = extraction.sparkSession
-    parts["final"] = spark.read.parquet(write_table(parts["final"], scratch_path(spark, "final")))
+    spark, path = extraction.sparkSession, output or scratch_path(extraction.sparkSession, "final")
+    message = "the final table would hold duplicate ids" if fail_on_duplicates else None
+    counts = write_unique(parts["final"], path, [ID], message)
+    parts["final"] = spark.read.parquet(path)
     parts["violations"] = duplicate_keys(parts["final"], [ID])
-    if fail_on_duplicates:
-        require_empty(parts["violations"], "the final table would hold duplicate ids")
-    if output:
-        write_table(parts["final"], output)
+    parts["counts"] = spark.createDataFrame([(counts["rows"], counts["repeated"])], "rows long, repeated long")
     return parts
 
 

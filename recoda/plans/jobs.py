@@ -24,7 +24,7 @@ from recoda.functions.response import (
 from recoda.functions.text import activity_description, lower_if_all_upper, nfkc
 from recoda.operators import evaluate as E
 from recoda.operators.assemble import anti_join_ids, assemble, enrich
-from recoda.operators.dedup import duplicate_keys, first_per_key, require_empty
+from recoda.operators.dedup import first_per_key
 from recoda.operators.infer import (
     embed,
     first_candidate_predictor,
@@ -49,7 +49,7 @@ from recoda.operators.workset import ambiguous_workset, split_shards
 from recoda.session import scratch_path, ship_package, stored
 from recoda.sources import fixtures as X
 from recoda.sources.collection import build_collection
-from recoda.sources.sinks import run_stamp, write_collection, write_metrics, write_results, write_table
+from recoda.sources.sinks import run_stamp, write_collection, write_metrics, write_results, write_unique
 from recoda.sources.tables import attach_collection, read_runs, read_sheet, read_table, sql_over
 from recoda.sources.templates import load_template
 
@@ -200,9 +200,9 @@ def q_assemble_final(spark, sf):
 def q_assemble_unique(spark, sf):
     """The final table by rule: human labels first, one model label per activity; repeated ids are an error."""
     final = assembled(spark, sf, prefer_human=True)["final"]
-    final = spark.read.parquet(write_table(final, scratch_path(spark, "final")))
-    require_empty(duplicate_keys(final, [ID]), "the final table holds repeated ids")
-    return final
+    path = scratch_path(spark, "final")
+    write_unique(final, path, [ID], "the final table holds repeated ids")
+    return spark.read.parquet(path)
 
 
 def q_assemble_violations(spark, sf):

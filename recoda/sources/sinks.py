@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from recoda.sources.published import publish, replace_folder
@@ -39,7 +40,34 @@ def run_path(root: str, shard: int | str | None, **parts: str) -> str:
     return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in values.items()]])
 
 
-def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int | str | None = None) -> str:
+def write_unique(df: DataFrame, path: str, keys: Sequence[str], message: str | None) -> dict[str, int]:
+    """K1 + C1 in one write: the table's rows and how many of them repeat a key (null keys count as equal).
+
+    Both are observed while the table is written.  With a ``message``, repeated keys
+    are an error and the table at ``path`` stays as it was.
+    """
+    seen = Observation()
+    counted = df.withColumn("__same", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    counted = counted.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__same") > 1).alias("repeated"))
+
+    def write(folder: str) -> None:
+        counted.drop("__same").write.parquet(folder)
+        if message and seen.get["repeated"]:
+            raise AssertionError(message)
+
+    replace_folder(df.sparkSession, path, write)
+    return dict(seen.get)
+
+
+def write_results(
+    df: DataFrame,
+    root: str,
+    model: str,
+    run_id: str,
+    shard: int | str | None = None,
+    metrics: Mapping[str, Column] | None = None,
+    without: Sequence[str] = (),
+) -> tuple[str, dict[str, object]] | str:
     """K2: results of one run under ``root/model=<m>/run_id=<r>/shard=<s>/version=<v>/codable=<bool>``.
 
     Writing replaces that shard of that run only: re-running it is idempotent,
@@ -48,10 +76,15 @@ def write_results(df: DataFrame, root: str, model: str, run_id: str, shard: int
     version of a shard is published when it is complete; ``read_runs`` reads
     published versions only, so a run that fails or is retried never tears one.
     Identifiers must be usable as path segments (e.g. run ``2024-11-13--00-39``);
-    a slash in a model's name is written as ``--``.  Returns the version's folder.
+    a slash in a model's name is written as ``--``.  Returns the version's folder;
+    with ``metrics`` (aggregate expressions over ``df``) also their values, observed
+    during the write; the columns ``without`` are measured but not written.
     """
-    path, rows = run_path(root, shard, model=model, run_id=run_id), df.drop("model", "run_id", "shard")
-    return publish(df.sparkSession, path, lambda folder: rows.write.partitionBy("codable").parquet(folder))
+    path, seen = run_path(root, shard, model=model, run_id=run_id), Observation()
+    rows = df.observe(seen, *[v.alias(k) for k, v in metrics.items()]) if metrics else df
+    rows = rows.drop("model", "run_id", "shard", *without)
+    at = publish(df.sparkSession, path, lambda folder: rows.write.partitionBy("codable").parquet(folder))
+    return (at, dict(seen.get)) if metrics else at
 
 
 def write_collection(vectors: DataFrame, path: str, model: str) -> str:
