@@ -270,12 +270,12 @@ def q_accuracy_matrix(spark, sf):
 
 
 def q_best_strategy(spark, sf):
-    ev = evaluation_frame(spark, sf)
+    w = stored(with_ensembles(wide(spark, sf)), "wide")  # the matrix and the labels both read it
+    gt = with_mapping_ok(human_labels(spark, sf), mapping(spark, sf), "NAF2008_code", "apet_manual")
+    ev = w.join(gt.select(ID, "apet_manual", "mapping_ok"), ID, "inner")
     best = E.best_strategy(E.accuracy_matrix(ev, X.MODELS, ENSEMBLES), STRATEGY_ORDER).first()
     # Keep only the winning strategy's column (one scalar reached the driver)
-    return with_ensembles(wide(spark, sf)).select(
-        ID, F.col(f"nace2025_{best['strategy']}").alias("nace2025"), F.lit(best["strategy"]).alias("strategy")
-    )
+    return w.select(ID, F.col(f"nace2025_{best['strategy']}").alias("nace2025"), F.lit(best["strategy"]).alias("strategy"))
 
 
 def q_coded_stats(spark, sf):
@@ -455,11 +455,11 @@ def q_metrics_long(spark, sf):
 def q_sheets_by_position(spark, sf):
     """Both sheets written as CSV, read back as text with row numbers, normalised, nested."""
     root = scratch_path(spark, "sheets")
-    corr = X.correspondence(spark, sf).orderBy("pos").drop("pos").coalesce(1)
+    corr = X.correspondence(spark, sf).orderBy("pos").drop("pos")  # files in the order of the rows
     names = [f"col {i}" for i in range(max(K.CORRESPONDENCE_POSITIONS.values()) + 1)]
     at = {i: name for name, i in K.CORRESPONDENCE_POSITIONS.items()}
     corr = corr.select(*[(F.col(at[i]) if i in at else F.lit("-")).alias(n) for i, n in enumerate(names)])
-    notes = X.notes(spark, sf).orderBy("pos").coalesce(1)
+    notes = X.notes(spark, sf).orderBy("pos")
     notes = notes.select(*[F.col(short).alias(long) for long, short in K.NOTES_SHEET_COLUMNS.items()])
     for name, sheet in (("corr", corr), ("notes", notes)):
         sheet.write.option("header", "true").option("escape", '"').csv(f"{root}/{name}")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -33,7 +34,9 @@ def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], fmt: str
     Malformed rows, and header names other than ``columns`` in this order, fail
     the read (``FAILFAST``, no ``enforceSchema``) instead of being dropped or
     read into wrong columns.  ``row_col`` adds a row number that rises with the
-    place in the sheet (one file, read by one task), which "first row" rules need.
+    place in the sheet, which "first row" rules need: the sheet's files follow each
+    other by name (numbers in names by value), rows by their place in the file, so
+    a sheet may be many files, read by many tasks.
     """
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     reader = spark.read.schema(schema)
@@ -42,7 +45,26 @@ def read_sheet(spark: SparkSession, path: str, columns: Sequence[str], fmt: str
         sheet = reader.options(**options).csv(path)
     else:
         sheet = reader.format(fmt).load(path)
-    return sheet.withColumn(row_col, F.monotonically_increasing_id()) if row_col else sheet
+    return _numbered(sheet, row_col, fmt) if row_col else sheet
+
+
+def _numbered(sheet: DataFrame, row_col: str, fmt: str) -> DataFrame:
+    """``sheet`` with gapless row numbers from 0: rows of the files before, then the place in the file."""
+    placed = sheet.withColumn("__file", F.col("_metadata.file_path"))
+    if fmt == "parquet":
+        placed = placed.withColumn("__at", F.col("_metadata.row_index"))
+    else:  # a file is read in order by one task
+        in_file = Window.partitionBy("__file").orderBy("__seen")
+        placed = placed.withColumn("__seen", F.monotonically_increasing_id())
+        placed = placed.withColumn("__at", F.row_number().over(in_file).cast("long") - 1).drop("__seen")
+    sizes = sheet.groupBy(F.col("_metadata.file_path").alias("file")).count().collect()  # one row per file of the sheet
+    start, starts = 0, []
+    for name, n in sorted(map(tuple, sizes), key=lambda s: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", s[0])]):
+        starts.append((name, start))
+        start += n
+    offsets = sheet.sparkSession.createDataFrame(starts, "__file string, __start long")
+    joined = placed.join(F.broadcast(offsets), "__file")
+    return joined.withColumn(row_col, F.col("__start") + F.col("__at")).drop("__file", "__start", "__at")
 
 
 RESULT_SCHEMA = (

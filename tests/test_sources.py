@@ -233,3 +233,24 @@ def test_sheet_read_fails_fast_on_malformed_rows(spark, tmp_path):
     path.write_text("a,b\n1,2\n3,4,5,6\n")
     with pytest.raises(Exception):
         read_sheet(spark, str(path), ["a", "b"]).collect()
+
+
+def test_a_sheet_of_several_files_keeps_its_order(spark, tmp_path):
+    """Files of unequal length, names with numbers, cells over several lines; as CSV and as Parquet."""
+    rows = [(f"c{i:03d}", f'line "{i}"\nnext, line') for i in range(60)]
+    cuts = {"part-2": rows[:7], "part-9": rows[7:8], "part-10": rows[8:51], "part-11": rows[51:]}
+    (tmp_path / "csv").mkdir()
+    for name, part in cuts.items():
+        body = "".join('%s,"%s"\n' % (a, b.replace('"', '""')) for a, b in part)
+        (tmp_path / "csv" / f"{name}.csv").write_text("code,text\n" + body)
+    spark.createDataFrame(rows, "code string, text string").repartitionByRange(5, "code").sortWithinPartitions("code").write.parquet(
+        str(tmp_path / "parquet"))
+    for fmt in ("csv", "parquet"):
+        sheet = read_sheet(spark, str(tmp_path / fmt), ["code", "text"], fmt, row_col="row")
+        assert sheet.columns == ["code", "text", "row"]
+        got = sorted((r["row"], r["code"], r["text"]) for r in sheet.repartition(3).collect())
+        assert got == [(i, *row) for i, row in enumerate(rows)]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "a.csv").write_text("code,text\n")
+    assert read_sheet(spark, str(empty), ["code", "text"], row_col="row").count() == 0
