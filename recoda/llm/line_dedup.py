@@ -8,20 +8,22 @@ copied into another document is cut alike there, whatever precedes it.  A local
 minimum is never next to another, nor beside a text's first or last line, so other
 chunks have two lines or more (but for lines caught between long ones).
 
-Chunks are compared by hash first (thin rows, aggregated before they move), then
-the texts of chunks with a repeated hash are grouped by their bytes.  Of equal
-chunks that hold at least two lines with words, or one long line, the first by
-(document, place) stays and every other one is removed, within a document too.
-
 Chunks miss a passage without two cuts of its own, and lines caught between long
-ones.  ``strip_repeated_lines`` therefore compares more runs of lines, in the same
-way: the whole text, and for every line with words the shortest run of over
-``long_words`` words that starts there and the one that ends there.  Such a run
-depends on its own lines only.  A passage of over ``long_words`` words on whole
-lines is covered by the runs inside it (where the rest of it is too short for a run
-that starts there, the run that ends at its last line reaches back over it), so
-every later occurrence of it is removed whole, whatever surrounds it.  These texts
-are compared by SHA-256.  ``dedup_lines`` removes chunks only, as its SQL says.
+ones.  So more runs of lines are compared, in the same way: the whole text, and for
+every line with words the shortest run of over ``long_words`` words that starts
+there and the one that ends there.  Such a run depends on its own lines only.  A
+passage of over ``long_words`` words on whole lines is covered by the runs inside
+it (where the rest of it is too short for a run that starts there, the run that
+ends at its last line reaches back over it), so every later occurrence of it is
+removed whole, whatever surrounds it.
+
+Chunks and runs are compared by a 64-bit hash first (thin rows, aggregated before
+they move).  Those with a repeated hash are grouped by SHA-256 and, for chunks, by
+their bytes as well: chunks of one SHA-256 are removed only if all their bytes
+agree.  Runs overlap, so that their bytes would be many times the text: they count
+as equal by SHA-256.  Of equal runs of lines, where a chunk holds at least two lines
+with words or one long line, the first by (document, place) stays and the lines of
+every other one go, within a document too.
 
 Native DataFrame functions only.
 """
@@ -94,8 +96,8 @@ def passages(marks: str, lines: str, long_words: int) -> Column:
     return F.concat(whole, runs(ahead), runs(back))
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: bool) -> DataFrame:
-    """``docs`` stored with __row, __id and __chunks (place, hash, eligible), ``whole``: with the passages too."""
+def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFrame:
+    """``docs`` stored with __row, __id, __n_lines, __n_chunks and __runs (place, hash, chunk): chunks and passages."""
     lines = docs.select(
         "*", F.col(doc_id).alias("__id"), F.monotonically_increasing_id().alias("__row"),
         F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("__lines"),
@@ -133,122 +135,114 @@ def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: boo
         part = F.slice("__lines", start + 1, size)
         marks = F.slice("__marks", start + 1, size)
         eligible = (F.size(F.filter(marks, lambda m: m["w"] > 0)) >= 2) | F.exists(marks, lambda m: m["w"] > long_words)
-        return F.struct(
-            place(start, size).alias("place"), F.xxhash64(F.array_join(part, "\n")).alias("hash"),
-            eligible.alias("eligible"),
-        )
+        return F.struct(place(start, size).alias("place"), hash_of(part).alias("hash"), eligible.alias("chunk"))
+
+    def hash_of(part: Column) -> Column:
+        return F.xxhash64(F.array_join(part, "\n"))
 
     starts = F.slice("__cuts", 1, F.size("__cuts") - 1)
-    out = bounded.select("*", F.transform(starts, chunk).alias("__chunks"))
-    if whole:
-        with_words = F.filter(
-            F.transform("__marks", lambda m, i: F.struct(i.alias("at"), m["w"].alias("w"))), lambda m: m["w"] > 0
-        )
-        out = out.select("*", with_words.alias("__worded"))
-        out = out.select("*", passages("__worded", "__lines", long_words).alias("__passages"))
-        eligible = F.transform(F.filter("__chunks", lambda c: c["eligible"]), lambda c: c["place"])
-        more = F.array_except("__passages", eligible)  # distinct, and no chunk twice
+    with_words = F.filter(
+        F.transform("__marks", lambda m, i: F.struct(i.alias("at"), m["w"].alias("w"))), lambda m: m["w"] > 0
+    )
+    out = bounded.select(
+        "*", F.size("__lines").cast("long").alias("__n_lines"), F.size(starts).cast("long").alias("__n_chunks"),
+        F.transform(starts, chunk).alias("__chunks"), with_words.alias("__worded"),
+    )
+    out = out.select("*", passages("__worded", "__lines", long_words).alias("__passages"))
+    eligible = F.filter("__chunks", lambda c: c["chunk"])
+    more = F.array_except("__passages", F.transform(eligible, lambda c: c["place"]))  # distinct, and no chunk twice
 
-        def passage(p: Column) -> Column:
-            body = F.array_join(lines_of("__lines", p), "\n")
-            return F.struct(p.alias("place"), F.xxhash64(body).alias("hash"), F.lit(True).alias("eligible"))
+    def passage(p: Column) -> Column:
+        return F.struct(p.alias("place"), hash_of(lines_of("__lines", p)).alias("hash"), F.lit(False).alias("chunk"))
 
-        out = out.withColumn("__chunks", F.concat(F.filter("__chunks", lambda c: c["eligible"]), F.transform(more, passage)))
-        out = out.drop("__worded", "__passages")
-    return stored(out.drop("__marks", "__roll", "__cuts", "__lines"), "chunked")
+    out = out.select("*", F.concat(eligible, F.transform(more, passage)).alias("__runs"))
+    return stored(out.drop("__marks", "__roll", "__cuts", "__lines", "__chunks", "__worded", "__passages"), "chunked")
 
 
-def repeated_chunks(held: DataFrame, text: str, whole: bool) -> DataFrame:
-    """(__row, place): chunks to remove."""
-    chunks = held.select("__row", F.explode("__chunks").alias("c")).filter("c.eligible")
-    chunks = chunks.select("__row", F.col("c.place").alias("place"), F.col("c.hash").alias("hash"))
-    twice = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
+def repeated_runs(held: DataFrame, text: str) -> DataFrame:
+    """(__row, place, chunk): runs of lines to remove."""
+    runs = held.select("__row", F.explode("__runs").alias("c")).select("__row", "c.*")
+    # stored, so that the join deals both sides anew and a hash of very many documents can be split
+    twice = stored(runs.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "twice")
     # the candidates of a document side by side, to fetch their texts with one join
-    candidates = chunks.join(twice, "hash").groupBy(F.col("__row").alias("__of")).agg(F.collect_list("place").alias("of"))
+    candidates = runs.join(twice, "hash").groupBy(F.col("__row").alias("__of"))
+    candidates = candidates.agg(F.collect_list(F.struct("place", "chunk")).alias("of"))
     body = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     found = held.select("__id", "__row", F.col(text)).join(candidates, F.col("__row") == F.col("__of"))
 
-    def body_of(p: Column) -> Column:
-        chunk = F.array_join(lines_of("lines", p), "\n")
-        return F.unhex(F.sha2(chunk.cast("binary"), 256)) if whole else chunk  # passages overlap: their texts would be many
+    def cut(r: Column) -> Column:
+        return F.struct(r["place"].alias("place"), r["chunk"].alias("chunk"), joined_lines(r["place"]).alias("body"))
+
+    def joined_lines(p: Column) -> Column:
+        return F.array_join(lines_of("lines", p), "\n")
 
-    cut = F.transform("of", lambda p: F.struct(p.alias("place"), body_of(p).alias("chunk")))
+    cuts = F.transform("of", cut)
     texts = (
         found.select("__id", "__row", "of", body.alias("lines"))
-        .select("__id", "__row", F.explode(F.when(F.size("lines") > 0, cut)).alias("c"))
-        .select("__id", "__row", F.col("c.place").alias("place"), F.col("c.chunk").alias("chunk"))
-    )
-    texts = stored(texts, "chunk-texts")
-    # equal bytes: grouped by the text itself (or its SHA-256), aggregated before it moves
+        .select("__id", "__row", F.explode(F.when(F.size("lines") > 0, cuts)).alias("c"))
+        .select(
+            "__id", "__row", "c.place", "c.chunk", F.unhex(F.sha2(F.col("c.body").cast("binary"), 256)).alias("sha"),
+            F.when(F.col("c.chunk"), F.col("c.body")).alias("body"),
+        )
+    )
+    texts = stored(texts, "run-texts")
+    # aggregated before it moves; a chunk's bytes move once, and only their number goes on
     order = F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row"), F.col("place").alias("place"))
-    classes = texts.groupBy(F.col("chunk").alias("of_chunk")).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-    # stored, so that the join deals both sides anew and a chunk of very many documents can be split
-    classes = stored(classes.filter("n > 1"), "chunk-classes")
+    same = texts.groupBy("sha", "body").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    classes = same.groupBy(F.col("sha").alias("of_sha")).agg(
+        F.min("first").alias("first"), F.sum("n").alias("n"), F.count("body").alias("bodies")
+    )
+    classes = stored(classes.filter("n > 1 AND bodies <= 1").select("of_sha", "first"), "run-classes")
     later = (F.col("__row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
-    joined = texts.join(classes, F.col("chunk") == F.col("of_chunk"))
-    return joined.filter(later).select("__row", "place")
+    joined = texts.drop("body").join(classes, F.col("sha") == F.col("of_sha"))
+    return joined.filter(later).select("__row", "place", "chunk")
 
 
-def _marked(docs: DataFrame, doc_id: str, text: str, long_words: int, whole: bool) -> DataFrame:
-    """``docs`` with __chunks, __gone (places removed; null: none) and __lines."""
-    held = chunked(docs, doc_id, text, long_words, whole)
-    gone = repeated_chunks(held, text, whole).groupBy(F.col("__row").alias("__of"))
-    joined = held.join(gone.agg(F.collect_list("place").alias("__gone")), F.col("__row") == F.col("__of"), "left").drop("__of")
-    return joined.select("*", F.split(F.col(text), "\n", -1).alias("__lines"))
+def _cleaned(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFrame:
+    """``docs`` with __n_lines, __n_chunks, __gone (chunks removed), __removed (their and the passages' lines) and __clean."""
+    held = chunked(docs, doc_id, text, long_words)
+    gone = repeated_runs(held, text).groupBy(F.col("__row").alias("__of"))
+    gone = gone.agg(F.collect_list("place").alias("__places"), F.count_if("chunk").alias("__gone"))
+    joined = held.drop("__runs").join(gone, F.col("__row") == F.col("__of"), "left").drop("__of")
+    split = joined.select("*", F.split(F.col(text), "\n", -1).alias("__lines"))
+    mask = F.lit((1 << 32) - 1)
 
+    def numbers(p: Column) -> Column:
+        first = F.shiftright(p, 32)
+        return F.sequence(first, first + p.bitwiseAND(mask) - 1)
 
-def _cleaned(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFrame:
-    """``docs`` with __clean (text without removed chunks), __chunks and __gone."""
-    split = _marked(docs, doc_id, text, long_words, whole=False)
-    kept = F.array_except(F.transform("__chunks", lambda c: c["place"]), "__gone")
-    clean = F.array_join(F.flatten(F.transform(kept, lambda p: lines_of("__lines", p))), "\n")
-    untouched = F.col("__gone").isNull() | (F.size("__lines") < 1)
-    return split.select("*", F.when(untouched, F.col(text)).otherwise(clean).alias("__clean"))
+    # line numbers, as the removed runs overlap (array_except is hashed)
+    removed = F.array_distinct(F.flatten(F.transform("__places", numbers)))
+    every = F.sequence(F.lit(0).cast("long"), F.col("__n_lines") - 1)
+    numbered = split.select("*", removed.alias("__removed"))
+    numbered = numbered.select("*", F.when(F.col("__places").isNotNull(), F.array_except(every, "__removed")).alias("__kept"))
+    left = numbered.select("*", F.transform("__kept", lambda i: F.get("__lines", i.cast("int"))).alias("__left"))
+    clean = F.when(F.exists("__left", lambda x: word_count(x) > 0), F.array_join("__left", "\n")).otherwise("")
+    return left.withColumn("__clean", F.when(F.col("__places").isNull(), F.col(text)).otherwise(clean))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
-    """doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, text (without the removed chunks).
+    """doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, text (without repeated chunks and passages).
 
     One row per input row.  A null text stays null and counts one empty line.
-    Repeated rows are documents of their own: the first keeps its chunks (null ids
-    come last; rows of one id by their place in the input).  A text whose chunks
-    are all repeats elsewhere becomes empty.  An empty table gives no rows.
+    Repeated rows are documents of their own: the first keeps its lines (null ids
+    come last; rows of one id by their place in the input).  Every line removed
+    stays at an earlier place.  A text equal to an earlier one, or left without
+    words, becomes empty.  An empty table gives no rows.
     """
     thin = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     cleaned = _cleaned(thin, "doc_id", "text", long_words)
-
-    def lines(places) -> Column:
-        mask = F.lit((1 << 32) - 1)
-        return F.aggregate(places, F.lit(0).cast("long"), lambda a, p: a + p.bitwiseAND(mask))
-
     return cleaned.select(
         "doc_id",
-        lines(F.transform("__chunks", lambda c: c["place"])).alias("n_lines"),
-        F.size("__chunks").cast("long").alias("n_chunks"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_removed_chunks"),
-        F.coalesce(lines(F.col("__gone")), F.lit(0)).cast("long").alias("n_removed_lines"),
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_chunks").alias("n_chunks"),
+        F.coalesce(F.col("__gone"), F.lit(0)).cast("long").alias("n_removed_chunks"),
+        F.when(F.col("__removed").isNull(), 0).otherwise(F.size("__removed")).cast("long").alias("n_removed_lines"),
         F.col("__clean").alias("text"),
     )
 
 
 def strip_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
-    """The rows of ``docs``, all of them, with repeated chunks and passages taken out of their texts.
-
-    Every line removed stays at an earlier place.  A text equal to an earlier one,
-    or left without words, becomes empty.
-    """
-    split = _marked(docs, doc_id, text, long_words, whole=True)
-    mask = F.lit((1 << 32) - 1)
-
-    def numbers(p: Column) -> Column:
-        first = F.shiftright(p, 32)
-        return F.sequence(first, first + p.bitwiseAND(mask) - 1)
-
-    # line numbers, as the removed runs overlap (array_except is hashed)
-    removed = F.array_distinct(F.flatten(F.transform("__gone", numbers)))
-    every = F.sequence(F.lit(0).cast("long"), F.size("__lines").cast("long") - 1)
-    numbered = split.select("*", F.when(F.col("__gone").isNotNull(), F.array_except(every, removed)).alias("__kept"))
-    left = numbered.select("*", F.transform("__kept", lambda i: F.get("__lines", i.cast("int"))).alias("__left"))
-    clean = F.when(F.exists("__left", lambda x: word_count(x) > 0), F.array_join("__left", "\n")).otherwise("")
-    cleaned = left.withColumn("__clean", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(clean))
+    """The rows of ``docs``, all of them, with their texts as in ``dedup_lines`` and every other column unchanged."""
+    cleaned = _cleaned(docs, doc_id, text, long_words)
     return cleaned.select(*[F.col("__clean").alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -26,23 +26,40 @@ s AS (
 ),
 c AS (SELECT *, sum(starts) OVER (PARTITION BY rid ORDER BY i) AS chunk FROM s),
 t AS (
-  SELECT rid, doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body,
-         count(*) FILTER (w > 0) >= 2 OR max(w) > 50 AS eligible
-  FROM c GROUP BY ALL
+  SELECT rid, min(i) AS first, max(i) AS last, count(*) FILTER (w > 0) >= 2 OR max(w) > 50 AS eligible
+  FROM c GROUP BY rid, chunk
+),
+f AS (
+  SELECT rid, i, n, sum(w) OVER p AS upto, sum(w) OVER p - w AS before, sum(w) OVER p - w + 50 AS ahead, sum(w) OVER p - 50 AS back
+  FROM m WHERE w > 0 WINDOW p AS (PARTITION BY rid ORDER BY i)
+),
+runs AS (
+  SELECT a.rid, a.i AS first, b.i AS last FROM f a ASOF JOIN f b ON a.rid = b.rid AND a.ahead < b.upto
+  UNION SELECT a.rid, b.i, a.i FROM f a ASOF JOIN f b ON a.rid = b.rid AND a.back > b.before
+  UNION SELECT rid, 1, n FROM f
+),
+places AS (
+  SELECT rid, first, last, bool_or(chunk) AS chunk
+  FROM (SELECT *, FALSE AS chunk FROM runs UNION ALL SELECT rid, first, last, TRUE FROM t WHERE eligible)
+  GROUP BY rid, first, last
 ),
 g AS (
-  SELECT *, eligible AND row_number() OVER (PARTITION BY eligible, body ORDER BY doc_id NULLS LAST, rid, chunk) > 1 AS gone
-  FROM t
+  SELECT rid, first, last, chunk,
+         row_number() OVER (PARTITION BY array_to_string(ls[first : last], chr(10)) ORDER BY doc_id NULLS LAST, rid, first, last) > 1 AS gone
+  FROM places JOIN d USING (rid)
 ),
+x AS (SELECT DISTINCT rid, unnest(range(first, last + 1)) AS i FROM g WHERE gone),
 o AS (
-  SELECT rid, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, (count(*) FILTER (gone))::BIGINT AS n_removed_chunks,
-         coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS clean
-  FROM g GROUP BY rid
-)
-SELECT d.doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines,
-       CASE WHEN d.text IS NOT NULL THEN clean END AS text
-FROM d JOIN o USING (rid)
+  SELECT m.rid, count(*)::BIGINT AS n_lines, count(x.i)::BIGINT AS n_removed_lines,
+         CASE WHEN coalesce(max(m.w) FILTER (x.i IS NULL), 0) > 0
+              THEN string_agg(line, chr(10) ORDER BY m.i) FILTER (x.i IS NULL) ELSE '' END AS clean
+  FROM m LEFT JOIN x ON m.rid = x.rid AND m.i = x.i GROUP BY m.rid
+),
+k AS (SELECT rid, count(*)::BIGINT AS n_chunks FROM t GROUP BY rid),
+e AS (SELECT rid, (count(*) FILTER (gone AND chunk))::BIGINT AS n FROM g GROUP BY rid)
+SELECT d.doc_id, n_lines, n_chunks, coalesce(e.n, 0) AS n_removed_chunks, n_removed_lines,
+       CASE WHEN n_removed_lines = 0 THEN d.text ELSE clean END AS text
+FROM d JOIN o USING (rid) JOIN k USING (rid) LEFT JOIN e USING (rid)
 """
 
 OP6_SQL = """
@@ -64,14 +81,17 @@ l AS (
          len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n
   FROM (SELECT rid, source, t, unnest(ls) AS x FROM w)
 ),
-short AS (SELECT * FROM l WHERE n <= 25),
-hosts AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
-boiler AS (
-  SELECT s.source, x FROM short s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
-  GROUP BY s.source, x, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > 0.005 * docs
+u AS (SELECT DISTINCT source, t, x, n > 25 AS long FROM l),
+ranked AS (
+  SELECT *, nth_value(x, 1) OVER p AS first, nth_value(x, 2) OVER p AS second
+  FROM u WINDOW p AS (PARTITION BY source, t ORDER BY strlen(x) DESC, x ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+),
+counted AS (
+  SELECT source, x, CASE WHEN long THEN 'line ' || CASE WHEN x = first THEN second ELSE first END END AS other, t FROM ranked
 ),
+boiler AS (SELECT source, x FROM counted GROUP BY source, x HAVING count(DISTINCT coalesce(other, 'text ' || t)) > 10),
 lost AS (
-  SELECT rid, sum(n) AS n FROM short s JOIN boiler b ON s.source IS NOT DISTINCT FROM b.source AND s.x = b.x GROUP BY rid
+  SELECT rid, sum(n) AS n FROM l JOIN boiler b ON l.source IS NOT DISTINCT FROM b.source AND l.x = b.x GROUP BY rid
 ),
 o AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,

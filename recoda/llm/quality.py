@@ -2,16 +2,17 @@
 
 Lines are normalised and hashed; for every host (the ``source`` column) the
 documents that hold a line are counted, equal texts once, as a copy says nothing
-new about the site's layout.  A line in more documents than the host's limits is
-boilerplate and is removed; a document that loses more than half its words that
-way is depleted and rejected.  Lines of over ``max_line_words`` words are prose, which
-near copies share: with ``long_lines`` they count too, but texts with the same
-longest line, the counted one left out, count once, so that a family of near
-copies is left to the dedup operators.  Without, they cannot be boilerplate.
+new about the site's layout.  A line in more than ``min_docs`` documents of a host
+is boilerplate, in small and hot hosts alike, and is removed; a document that loses
+more than half its words that way is depleted and rejected.  Lines of over
+``long_words`` words are prose, which near copies share: for them, texts with the
+same longest line, the counted one left out, count once, so that a family of near
+copies is left to the dedup operators.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass
 
@@ -27,18 +28,11 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is removed above both limits: documents of its host, and share of the host's documents."""
+    """A line of more than ``min_docs`` documents of its host goes; so does a document that loses over ``max_lost_share``."""
 
     min_docs: int = 10
-    min_share: float = 0.005
-    max_line_words: int = 25
+    long_words: int = 25
     max_lost_share: float = 0.5
-    long_lines: bool = False
-
-
-# The pipeline's limits: documents alone count, so that a line has the same verdict in small and large hosts,
-# and lines of any length.  (judge_quality keeps the share and short lines, as its SQL does.)
-SAME_IN_ALL_HOSTS = LineLimits(min_share=0.0, long_lines=True)
 
 
 def normal_line(line: str) -> str:
@@ -85,20 +79,20 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def counted_lines(text: str, limits: LineLimits) -> tuple[list[dict], list[bytes]]:
-    """Each normalised line that can be boilerplate (key, words in this text, long), and the two longest lines' keys."""
+    """Each normalised line (key, words in this text, long), and the keys of the two longest, equal lengths by their bytes."""
     import xxhash
 
     found: dict[bytes, dict] = {}
-    length: dict[bytes, int] = {}
     for line in text.split("\n"):
         n = len(line.encode().split())
-        if n and (limits.long_lines or n <= limits.max_line_words):
+        if n:
             normal = normal_line(line).encode()
-            key = xxhash.xxh3_128_digest(normal)
-            entry = found.setdefault(key, {"key": key, "words": 0, "long": n > limits.max_line_words})
+            entry = found.setdefault(normal, {"key": None, "words": 0, "long": n > limits.long_words})
             entry["words"] += n
-            length[key] = len(normal)
-    return list(found.values()), sorted(length, key=lambda k: (-length[k], k))[:2]
+    for normal, entry in found.items():
+        entry["key"] = xxhash.xxh3_128_digest(normal)
+    longest = heapq.nsmallest(2, found, key=lambda x: (-len(x), x))
+    return list(found.values()), [found[x]["key"] for x in longest]
 
 
 def strip_lines(text: str, keys: set[bytes]) -> str:
@@ -166,13 +160,9 @@ def _removed(measured: DataFrame, limits: LineLimits) -> DataFrame:
         "host", "key", "other", *[F.when(F.col("other").isNull(), F.col(c)).alias(c) for c in ("th1", "th2")]
     )
     held = counted.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n_docs"))
-    held = held.filter(F.col("n_docs") > limits.min_docs)
-    size = measured.select(*text_key).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    size = size.select(F.col("host").alias("of_host"), "host_docs")
-    frequent = held.join(size, F.col("host").eqNullSafe(F.col("of_host"))).filter(
-        F.col("n_docs") > F.lit(limits.min_share) * F.col("host_docs")
-    )
-    frequent = frequent.select("of_host", F.col("key").alias("of_key"))
+    # stored, so that the join deals both sides anew and a line of very many documents can be split
+    frequent = held.filter(F.col("n_docs") > limits.min_docs)
+    frequent = stored(frequent.select(F.col("host").alias("of_host"), F.col("key").alias("of_key")), "boilerplate")
     hits = lines.join(frequent, F.col("host").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key")))
     return hits.groupBy(*text_key).agg(F.sum("words").alias("removed_words"), F.collect_list("key").alias("keys"))
 
@@ -214,7 +204,7 @@ def judge_quality(
 
 def filter_quality(
     docs: DataFrame,
-    limits: LineLimits = SAME_IN_ALL_HOSTS,
+    limits: LineLimits = LineLimits(),  # noqa: B008
     doc_id: str = "doc_id",
     text: str = "text",
     host: str = "source",
