@@ -7,21 +7,23 @@ span of a window's length or more has a fingerprint on both sides.  Documents
 look up the fingerprints of their windows, and each hit is extended to the whole
 window by comparing words, so hashes only save work.
 
-The benchmark is a stated query set: its items are read in blocks of at most
-``block_bytes`` of text, each a broadcast of that bound, and all blocks pass
-over a batch of documents in one stage, without a shuffle.  A larger benchmark
-means more blocks, not larger ones.
+A benchmark of at most ``block_bytes`` of text (added up by Spark first) is broadcast
+whole, and documents are read once without a shuffle.  A larger one never reaches the
+driver: its windows and fingerprints are made in tasks and stored, the documents'
+fingerprints are joined with them, and only documents that met one are cut into the
+windows around it, which are joined by their bytes.  The benchmark's side of each join
+is distinct and stored, so that a frequent fingerprint or window can be split.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from recoda.llm.common import batch, map_batches, strings
+from recoda.llm.common import batch, map_batches, stored, strings
 
 # Separators become blanks and A-Z lower case; bytes of longer UTF-8 characters stay.
 _WORD_BYTES = bytes(
@@ -125,17 +127,164 @@ def search_block(block: tuple[dict, dict], words: list[bytes]):
     return hit, items
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_bytes: int):
-    """Blocks of at most ``block_bytes`` of item text (or one item), streamed partition by partition."""
-    thin = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
-    items, size = [], 0
-    for row in thin.filter("t IS NOT NULL").toLocalIterator():
-        if items and size + len(row["t"]) > block_bytes:
-            yield make_block(items, window)
-            items, size = [], 0
-        items.append((row["i"], words_of(row["t"])))
-        size += len(row["t"])
-    yield make_block(items, window)
+def whole_block(items: DataFrame, window: int) -> tuple[dict, dict]:
+    """All items (__item, __text) as one block; the caller has checked their size."""
+    return make_block([(r["__item"], words_of(r["__text"])) for r in items.collect()], window)
+
+
+def word_hashes(words: list[bytes]):
+    import numpy as np
+    import xxhash
+
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    return np.fromiter((known[w] for w in words), np.uint64, len(words))
+
+
+def _all_starts(ids, length: int):
+    import numpy as np
+
+    return np.arange(len(ids) - length + 1)
+
+
+def _cut_windows(texts, wanted, rows_at_once: int = 20_000):
+    """Batches of (position of the text, first word, length, fingerprint, window's words); ``wanted``: see callers."""
+    import numpy as np
+
+    made: list[tuple] = []
+    for at, t in enumerate(texts):
+        words = words_of(t)
+        ids = word_hashes(words)
+        for length, prints in wanted(at, len(words)):
+            if not 0 < length <= len(words):
+                continue
+            found = fingerprints(ids, _all_starts(ids, length), length).view(np.int64)
+            starts = np.arange(len(found)) if prints is None else np.flatnonzero(np.isin(found, prints))
+            for k in starts.tolist():
+                made.append((at, k, length, int(found[k]), b" ".join(words[k : k + length])))
+                if len(made) >= rows_at_once:
+                    yield made
+                    made = []
+    yield made
+
+
+def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
+    """(item, length, print, window), stored: the windows of the items (__item, __text)."""
+
+    def cut(batches):
+        for rows in batches:
+            names, texts = rows.column("__item").to_pylist(), strings(rows.column("__text"))
+            for made in _cut_windows(texts, lambda _, n: [(min(n, window), None)]):
+                yield batch(
+                    item=("string", [names[w[0]] for w in made]),
+                    length=("int32", [w[2] for w in made]),
+                    print=("int64", [w[3] for w in made]),
+                    window=("binary", [w[4] for w in made]),
+                )
+
+    return stored(map_batches(items, cut, "item string, length int, print long, window binary"), "benchmark-windows")
+
+
+def document_prints(held: DataFrame, lengths: list[int]) -> DataFrame:
+    """(__row, n_words, prints (length, print)), stored: the distinct fingerprints of each document's windows."""
+
+    def find(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for rows in batches:
+            counts, sizes, kinds, prints = [], [0], [], []
+            for t in strings(rows.column("__text")):
+                words = words_of(t)
+                ids = word_hashes(words)
+                counts.append(len(words))
+                own = [(n, np.unique(fingerprints(ids, _all_starts(ids, n), n))) for n in lengths if n <= len(words)]
+                kinds += [np.full(len(found), n, np.int32) for n, found in own]
+                prints += [found.view(np.int64) for _, found in own]
+                sizes.append(sizes[-1] + sum(len(found) for _, found in own))
+            flat = [np.concatenate([np.empty(0, kind), *parts]) for kind, parts in ((np.int32, kinds), (np.int64, prints))]
+            pairs = pa.StructArray.from_arrays([pa.array(f) for f in flat], ["length", "print"])
+            yield batch(
+                __row=rows.column("__row"),
+                n_words=("int64", counts),
+                prints=pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs),
+            )
+
+    schema = "__row long, n_words long, prints array<struct<length: int, print: long>>"
+    return stored(map_batches(held.select("__row", "__text"), find, schema), "document-prints")
+
+
+def joined_hits(held: DataFrame, prints: DataFrame, windows: DataFrame) -> DataFrame:
+    """(__row, first, end, window), stored: every occurrence of a benchmark window in the documents (__row, __text)."""
+    known = stored(windows.select("length", "print").distinct(), "benchmark-prints")
+    met = prints.select("__row", F.explode("prints").alias("p")).select("__row", "p.*").join(known, ["length", "print"])
+    met = met.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("length", "print")).alias("met"))
+    found = held.select("__row", "__text").join(met, F.col("__row") == F.col("__of")).drop("__of")
+
+    def cut(batches):
+        for rows in batches:
+            ids, met = rows.column("__row").to_pylist(), rows.column("met").to_pylist()
+
+            def of_document(at, _):
+                by_length: dict[int, list[int]] = {}
+                for m in met[at]:
+                    by_length.setdefault(m["length"], []).append(m["print"])
+                return by_length.items()
+
+            for made in _cut_windows(strings(rows.column("__text")), of_document):
+                yield batch(
+                    __row=("int64", [ids[w[0]] for w in made]),
+                    first=("int64", [w[1] for w in made]),
+                    end=("int64", [w[1] + w[2] for w in made]),
+                    window=("binary", [w[4] for w in made]),
+                )
+
+    cuts = map_batches(found, cut, "__row long, first long, end long, window binary")
+    whole = stored(windows.select("window").distinct(), "benchmark-distinct")
+    return stored(cuts.join(whole, "window").select("__row", "first", "end", "window"), "hits")
+
+
+def _joined(docs: DataFrame, items: DataFrame, window: int, doc_id: str, text: str, keep: bool) -> DataFrame:
+    """``find_contamination`` by joins alone, for a benchmark of any size."""
+    windows = benchmark_windows(items, window)
+    # at most ``window`` numbers
+    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())
+    names = docs.columns if keep else ["doc_id"]
+    own = [F.col(c) for c in names] if keep else [F.col(doc_id).alias("doc_id")]
+    # the documents' own columns in one struct, so that none clashes
+    held = docs.select(
+        F.monotonically_increasing_id().alias("__row"), F.col(text).alias("__text"), F.struct(*own).alias("__own")
+    )
+    held = stored(held, "documents")
+    prints = document_prints(held, lengths)
+    hits = joined_hits(held, prints, windows)
+    own = held.select("__row", *[F.col("__own").getField(c).alias(c) for c in names])
+    if keep:
+        bad = hits.select(F.col("__row").alias("__of")).distinct().withColumn("__contaminated", F.lit(True))
+        judged = own.join(bad, F.col("__row") == F.col("__of"), "left")
+        return judged.select(*names, F.coalesce("__contaminated", F.lit(False)).alias("__contaminated"))
+    # a document's windows in order: a span ends where the next window begins after all ends so far
+    order = Window.partitionBy("__row").orderBy("first", "end").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.coalesce(F.col("first") > F.max("end").over(order), F.lit(True))
+    spans = hits.select("__row", "first", "end").distinct().select("*", starts.cast("long").alias("starts"))
+    upto = Window.partitionBy("__row").orderBy("first", "end").rowsBetween(Window.unboundedPreceding, 0)
+    spans = spans.select("*", F.sum("starts").over(upto).alias("span")).groupBy("__row", "span")
+    spans = spans.agg(F.min("first").alias("first"), F.max("end").alias("end")).groupBy(F.col("__row").alias("__of"))
+    spans = spans.agg(
+        F.array_sort(F.collect_list(F.struct("first", "end"))).alias("spans"), F.sum(F.col("end") - F.col("first")).alias("n_hit")
+    )
+    owners = stored(windows.select("window", "item").distinct(), "benchmark-owners")
+    found = hits.select("__row", "window").distinct().join(owners, "window").select("__row", "item").distinct()
+    found = found.groupBy(F.col("__row").alias("__by")).agg(F.array_sort(F.collect_list("item")).alias("items"))
+    counts = prints.select(F.col("__row").alias("__at"), "n_words")
+    every = own.join(counts, F.col("__row") == F.col("__at"))
+    every = every.join(spans, F.col("__row") == F.col("__of"), "left").join(found, F.col("__row") == F.col("__by"), "left")
+    no_spans, no_items = F.array().cast("array<struct<first: bigint, end: bigint>>"), F.array().cast("array<string>")
+    n_hit, items_found = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", no_items)
+    return every.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_found).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items_found, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.coalesce("spans", no_spans).alias("spans"), items_found.alias("items"),
+    )
 
 
 def find_contamination(
@@ -159,7 +308,12 @@ def find_contamination(
     the rows of ``docs`` follow unchanged, with the column ``__contaminated``.
     """
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in item_blocks(benchmark, item_id, item_text, window, block_bytes)]
+    item = F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("__item")
+    bench = benchmark.select(item, F.col(item_text).alias("__text")).filter("__text IS NOT NULL")
+    size = bench.agg(F.sum(F.octet_length("__text") + F.octet_length("__item"))).first()[0] or 0
+    if size > block_bytes:
+        return _joined(docs, bench, window, doc_id, text, keep)
+    block = spark.sparkContext.broadcast(whole_block(bench, window))
     columns = docs.columns if keep else ["doc_id"]
 
     def find(batches):
@@ -171,11 +325,7 @@ def find_contamination(
             n_words, n_hit, spans, items = [], [], [], []
             for t in strings(rows.column("__text")):
                 words = words_of(t)
-                hit, found = np.zeros(len(words), bool), set()
-                for b in blocks:
-                    own, names = search_block(b.value, words)
-                    hit |= own
-                    found |= names
+                hit, found = search_block(block.value, words)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
                 n_words.append(len(words))
                 n_hit.append(int(hit.sum()))

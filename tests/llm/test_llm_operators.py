@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from recoda.llm import (
@@ -504,10 +505,33 @@ def test_decontamination(spark, awkward, nothing):
             assert (r["n_items"], r["contaminated"]) == (len(found), bool(hit))
     kept = decontaminate.drop_contaminated(df, bench)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, w in want.items() if not w[1]}
+    joined = decontaminate.drop_contaminated(df, bench, block_bytes=60)
+    assert Counter(joined.collect()) == Counter(kept.collect())
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(awkward, none).filter("contaminated").count() == 0
     assert decontaminate.drop_contaminated(awkward, none).exceptAll(awkward).count() == 0
     assert decontaminate.find_contamination(nothing, bench).collect() == []
+    assert decontaminate.find_contamination(nothing, bench, block_bytes=60).collect() == []
+    by_size = [Counter(map(str, decontaminate.find_contamination(awkward, bench, block_bytes=b).collect())) for b in (10**6, 60)]
+    assert by_size[0] == by_size[1]
+    rows = [Counter(decontaminate.drop_contaminated(awkward, bench, block_bytes=b).collect()) for b in (10**6, 60)]
+    assert rows[0] == rows[1]
+
+
+def test_a_benchmark_over_the_bound_never_reaches_the_driver(spark, docs, monkeypatch):
+    """A third of the documents hold one window; items outnumber the bound many times; nothing of them is collected."""
+    sf = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    items = sf.selectExpr("CAST(item_id AS STRING) AS item_id", "text").unionByName(docs.selectExpr("concat('d', doc_id) AS item_id", "text"))
+    monkeypatch.setattr(decontaminate, "whole_block", None)
+    hot = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" one two three four five six seven eight nine ten"))).otherwise(F.col("text")))
+    items = items.unionByName(spark.createDataFrame([("hot", "one two three four five six seven eight nine ten")], items.schema))
+    out = decontaminate.find_contamination(hot, items, 10, block_bytes=1000)
+    own = out.filter("doc_id % 3 = 0 AND NOT array_contains(items, 'hot')")
+    assert own.count() == 0
+    rows = {r["doc_id"]: r for r in out.collect()}
+    for r in docs.collect():
+        if rows[r["doc_id"]]["n_words"]:
+            assert f"d{r['doc_id']}" in rows[r["doc_id"]]["items"]  # every document holds itself
 
 
 # toxicity
