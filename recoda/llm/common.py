@@ -14,21 +14,32 @@ from recoda.session import scratch_path, ship_package
 
 # ASCII white space, as the word definitions of the quality and near-copy operators take it.
 ASCII_SPACE = " \t-\r"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, lean: bool = False) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files instead of recomputing,
-    and every later use sees the same rows in the same files.
+    and every later use sees the same rows in the same files.  ``lean`` is for
+    whole texts: Zstandard files, and the write's own shuffles, which nothing
+    reads after it, are dropped when it ends instead of at some later time.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    if not lean:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

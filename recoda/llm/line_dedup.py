@@ -156,14 +156,14 @@ def chunked(docs: DataFrame, doc_id: str, text: str, long_words: int) -> DataFra
         return F.struct(p.alias("place"), hash_of(lines_of("__lines", p)).alias("hash"), F.lit(False).alias("chunk"))
 
     out = out.select("*", F.concat(eligible, F.transform(more, passage)).alias("__runs"))
-    return stored(out.drop("__marks", "__roll", "__cuts", "__lines", "__chunks", "__worded", "__passages"), "chunked")
+    return stored(out.drop("__marks", "__roll", "__cuts", "__lines", "__chunks", "__worded", "__passages"), "chunked", lean=True)
 
 
 def repeated_runs(held: DataFrame, text: str) -> DataFrame:
     """(__row, place, chunk): runs of lines to remove."""
     runs = held.select("__row", F.explode("__runs").alias("c")).select("__row", "c.*")
     # stored, so that the join deals both sides anew and a hash of very many documents can be split
-    twice = stored(runs.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "twice")
+    twice = stored(runs.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "twice", lean=True)
     # the candidates of a document side by side, to fetch their texts with one join
     candidates = runs.join(twice, "hash").groupBy(F.col("__row").alias("__of"))
     candidates = candidates.agg(F.collect_list(F.struct("place", "chunk")).alias("of"))
@@ -185,14 +185,14 @@ def repeated_runs(held: DataFrame, text: str) -> DataFrame:
             F.when(F.col("c.chunk"), F.col("c.body")).alias("body"),
         )
     )
-    texts = stored(texts, "run-texts")
+    texts = stored(texts, "run-texts", lean=True)
     # aggregated before it moves; a chunk's bytes move once, and only their number goes on
     order = F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row"), F.col("place").alias("place"))
     same = texts.groupBy("sha", "body").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
     classes = same.groupBy(F.col("sha").alias("of_sha")).agg(
         F.min("first").alias("first"), F.sum("n").alias("n"), F.count("body").alias("bodies")
     )
-    classes = stored(classes.filter("n > 1 AND bodies <= 1").select("of_sha", "first"), "run-classes")
+    classes = stored(classes.filter("n > 1 AND bodies <= 1").select("of_sha", "first"), "run-classes", lean=True)
     later = (F.col("__row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
     joined = texts.drop("body").join(classes, F.col("sha") == F.col("of_sha"))
     return joined.filter(later).select("__row", "place", "chunk")
