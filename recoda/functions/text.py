@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import sys
-import unicodedata
 from collections.abc import Mapping
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -45,27 +42,8 @@ def activity_description(text=K.TEXT, agri=K.AGRI_COLUMN, nature=K.NATURE_COLUMN
     )
 
 
-@lru_cache
-def changeable() -> str:
-    """A character class (Java syntax) of all characters that NFKC may change, alone or with the one before."""
-    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
-    # second characters of canonical compositions, the Hangul ones by rule
-    seconds = {0x1161 + i for i in range(21)} | {0x11A8 + i for i in range(27)}
-    changed = []
-    for c in points:
-        char = chr(c)
-        parts = unicodedata.decomposition(char).split()
-        if len(parts) == 2 and not parts[0].startswith("<"):
-            seconds.add(int(parts[1], 16))
-        if unicodedata.combining(char) or unicodedata.normalize("NFKC", char) != char:
-            changed.append(c)
-    ranges: list[list[int]] = []
-    for c in sorted({*changed, *seconds}):
-        if ranges and ranges[-1][1] == c - 1:
-            ranges[-1][1] = c
-        else:
-            ranges.append([c, c])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+# fixed value: NFKC changes no text without a character from U+00A0 on, alone or with the one before
+BEYOND_CONTROLS = r"[^\x00-\x{9f}]"
 
 
 @pandas_udf(StringType())
@@ -76,11 +54,13 @@ def _normalised(s: pd.Series) -> pd.Series:
 def nfkc(text) -> Column:
     """Unicode NFKC normalisation.
 
-    No JVM built-in exists, so it takes Python; but a text none of whose characters
-    NFKC can change stays as it is, and only the others are sent there (Arrow-batched).
+    No JVM built-in exists, so it takes Python; but a text of ASCII characters only
+    (as many bytes as characters) stays as it is, and only the others are sent there
+    (Arrow-batched).  A normalised text is only scanned there, which is cheaper than a
+    character class of all that NFKC may change in the JVM.
     """
     text = _c(text)
-    affected = F.when(text.rlike(changeable()), text)
+    affected = F.when((F.octet_length(text) != F.char_length(text)) & text.rlike(BEYOND_CONTROLS), text)
     return F.coalesce(_normalised(affected), text)
 
 

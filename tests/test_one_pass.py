@@ -116,3 +116,12 @@ def test_nfkc_sends_only_texts_that_can_change(spark):
     assert [r["t"] for r in rows if r["o"] != (None if r["t"] is None else unicodedata.normalize("NFKC", r["t"]))] == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "RLIKE" in plan and "ArrowEvalPython" in plan
+
+
+def test_nfkc_looks_for_one_small_character_class(spark):
+    """A class of all ranges that NFKC may change costs more a character than the normalisation itself."""
+    texts = ["plain", "caf\u00e9", "cafe\u0301", "\ufb01n\u00b2", "a\u00a0b", "\x7f\x80\x9f", "\U0001f130", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", nfkc("t").alias("o"))
+    assert [r["o"] for r in df.collect()] == [t and unicodedata.normalize("NFKC", t) for t in texts]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and max(len(p) for p in plan.split("RLIKE")[1:]) < 500
