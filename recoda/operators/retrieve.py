@@ -7,8 +7,11 @@ matrix product inside Arrow-batched Python tasks and only the best ``k`` (or
 * Document side within a checked size bound (a nomenclature: a few thousand
   codes): it is shipped once to every executor as a broadcast matrix and the
   queries are scored where they lie -- no shuffle at all.
-* Beyond the bound: documents are cut into blocks of bounded size, queries
-  into hash chunks, and each (chunk, block) pair meets in one cogroup task;
+* Beyond it, with at most ``FEW_QUERIES`` queries: these are shipped to every executor
+  and the documents scored where they lie; only candidates are shuffled.
+* Else documents are cut into blocks of bounded size, queries
+  into as few hash chunks as keep every core busy (each side is
+  shuffled once per block of the other), and each (chunk, block) pair meets in one cogroup task;
   a per-query window with ``row_number() <= k`` (planned as a
   ``WindowGroupLimit``) merges the per-block winners.
 
@@ -31,6 +34,7 @@ from recoda.session import row_count_at_most, ship_package, stored
 PairScorer = Callable[[np.ndarray, np.ndarray], np.ndarray]
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 SCORE_DIGITS = 12  # a matrix product adds in an order that depends on the block; ranks must not
+FEW_QUERIES = 1_000  # so many queries go to the documents, not the documents to them
 SCORE_CELLS = 4_000_000  # query rows x documents scored at once inside a task
 
 
@@ -148,7 +152,7 @@ def similar_topk(
     first = d.take(1)
     dim = len(first[0]["dvec"]) if first else 0
     max_rows = max(1, min(block_rows, broadcast_max_bytes // max(8 * dim, 1)))
-    small, n_docs = row_count_at_most(d, max_rows)
+    small, _ = row_count_at_most(d, max_rows)
 
     if small:
         # proven bound: at most max_rows documents of dim doubles each
@@ -163,14 +167,26 @@ def similar_topk(
                                   k, fetch_k, scorer, final=True)
 
         ranked = q.mapInPandas(score_partition, cand_schema + ", rank int")
+    elif row_count_at_most(q, FEW_QUERIES)[0]:
+        d.unpersist()
+        pdf = q.toPandas()
+        asked = spark.sparkContext.broadcast((pdf["qid"].to_numpy(), _matrix(pdf["qvec"].to_numpy())))
+
+        def score_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            qids, qmat = asked.value
+            for b in batches:
+                b = b.sort_values("did", kind="stable")
+                yield _block_topk(qids, qmat, b["did"].to_numpy(), _matrix(b["dvec"].to_numpy()), k, fetch_k, scorer, final=False)
+
+        ranked = _final_rank(d.mapInPandas(score_docs, cand_schema), k, fetch_k, reranked)
     else:
         # past the bound the document side is large: kept in the shared folder, not in memory, and not computed again
         kept = stored(d, "document-vectors")
         d.unpersist()
         d = kept
-        blocks = max(1, math.ceil(n_docs / max_rows))
-        n_queries = q.count()
-        chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_queries / block_rows))
+        blocks = max(1, math.ceil(d.count() / max_rows))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        chunks = max(1, math.ceil(q.count() / max_rows), math.ceil(parts / blocks))
         qx = q.withColumn("__q", F.pmod(F.xxhash64("qid"), F.lit(chunks))).withColumn(
             "__b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
         )

@@ -10,8 +10,8 @@ only, exactly (cosine in double, rounded as ``similar_topk`` rounds it).
 * How many lists a query probes is measured, not guessed: ``tune_queries`` documents
   are searched by brute force while the index is built, and ``probes`` is the least
   number of lists that holds the wanted share of their true neighbours.
-* Lists and the queries that probe them are cut into blocks of at most about
-  ``BLOCK_ROWS`` rows, so a list that holds a third of all documents, or is probed by
+* Neighbouring lists are put together up to ``BLOCK_ROWS`` rows, larger ones and the
+  queries that probe them are cut into blocks of at most about that, so a list that holds a third of all documents, or is probed by
   a third of all queries, is many tasks; a task keeps k rows a query.
 * ``exact=True`` goes on after the first lists: a list is skipped only if the angle to
   its centroid, less the list's largest angle, shows that none of its documents can
@@ -163,25 +163,54 @@ def open_index(spark: SparkSession, path: str) -> VectorIndex:
     )
 
 
+def _groups(rows: np.ndarray) -> np.ndarray:
+    """The first list of every group: neighbouring lists of at most ``BLOCK_ROWS`` rows together, or one larger list."""
+    starts, held = [0], 0
+    for i, n in enumerate(rows.tolist()):
+        if i > starts[-1] and held + n > BLOCK_ROWS:
+            starts.append(i)
+            held = 0
+        held += n
+    return np.array(starts)
+
+
 def _candidates(probing: DataFrame, index: VectorIndex, k: int, schema: str) -> DataFrame:
-    """The k best documents per query within the lists it probes (qid, qvec, list), block by block."""
+    """The k best documents per query within the lists it probes (qid, qvec, group, lists), block by block.
+
+    A query goes once to every group of lists that it probes, and one task of a group
+    returns k documents a query, however many lists the group has.
+    """
     spark = probing.sparkSession
-    asked = {r["list"]: r["count"] for r in probing.groupBy("list").count().collect()}  # one row per list
+    starts = _groups(index.rows)
+    asked = {r["group"]: r["count"] for r in probing.groupBy("group").count().collect()}  # one row per group
+    sizes = np.add.reduceat(index.rows, starts).tolist()
     cut = [(i, max(1, -(-int(n) // BLOCK_ROWS)), max(1, -(-asked.get(i, 0) // BLOCK_ROWS)))
-           for i, n in enumerate(index.rows.tolist()) if i in asked and n]
-    blocks = F.broadcast(spark.createDataFrame(cut, "list int, __docs int, __queries int"))  # at most MAX_LISTS + 1 rows
+           for i, n in enumerate(sizes) if i in asked and n]
+    blocks = F.broadcast(spark.createDataFrame(cut, "group int, __docs int, __queries int"))  # at most MAX_LISTS + 1 rows
+    of = [(i, g) for g, (a, b) in enumerate(zip(starts, [*starts[1:], len(index.rows)], strict=True)) for i in range(int(a), int(b))]
+    group_of = F.broadcast(spark.createDataFrame(of, "list int, group int"))  # at most MAX_LISTS + 1 rows
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    q = probing.join(blocks, "list").withColumn("__q", F.pmod(F.xxhash64("qid"), F.col("__queries")).cast("int"))
-    d = index.vectors.join(blocks, "list").withColumn("__d", F.pmod(F.xxhash64("did"), F.col("__docs")).cast("int"))
+    q = probing.join(blocks, "group").withColumn("__q", F.pmod(F.xxhash64("qid"), F.col("__queries")).cast("int"))
+    d = index.vectors.join(group_of, "list").join(blocks, "group")
+    d = d.withColumn("__d", F.pmod(F.xxhash64("did"), F.col("__docs")).cast("int"))
     q, d = q.withColumn("__d", every("__docs")), d.withColumn("__q", every("__queries"))
-    key = ["list", "__d", "__q"]
+    key = ["group", "__d", "__q"]
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("did", kind="stable")
-        return _block_topk(left["qid"].to_numpy(), _matrix(left["qvec"].to_numpy()), right["did"].to_numpy(),
-                           _matrix(right["dvec"].to_numpy()), k, None, None, final=False)
-
-    q, d = q.select("qid", "qvec", *key), d.select("did", "dvec", *key)
+        found = [pd.DataFrame({"qid": [], "did": [], "cosine": []})]
+        if len(left) and len(right):
+            right = right.sort_values(["list", "did"], kind="stable")
+            qids, dids, held = left["qid"].to_numpy(), right["did"].to_numpy(), right["list"].to_numpy()
+            qmat, dmat = _matrix(left["qvec"].to_numpy()), _matrix(right["dvec"].to_numpy())
+            asker = np.repeat(np.arange(len(left)), [len(x) for x in left["lists"]])
+            probed = np.concatenate(left["lists"].to_list())
+            parts = [(asker[probed == i], slice(*np.searchsorted(held, [i, i + 1]))) for i in np.unique(held)]
+            tops = [_block_topk(qids[who], qmat[who], dids[at], dmat[at], k, None, None, final=False) for who, at in parts if len(who)]
+            found = tops or found
+        best = pd.concat(found, ignore_index=True).sort_values(["cosine", "did"], ascending=[False, True], kind="stable")
+        return best.groupby("qid", sort=False).head(k)
+
+    q, d = q.select("qid", "qvec", "lists", *key), d.select("did", "dvec", "list", *key)
     return q.groupBy(*key).cogroup(d.groupBy(*key)).applyInPandas(score, schema)
 
 
@@ -213,11 +242,18 @@ def search_index(
     centroids, rows, angles = index.centroids, index.rows, index.angles
     first, wanted = min(probes or index.probes, max(1, len(centroids))), fetch_k if scorer is not None else k
     shipped = spark.sparkContext.broadcast((centroids, rows, angles))
-    probe_schema = f"qid {types['qid']}, qvec {types['qvec']}, list int"
-
-    def listed(batch: pa.RecordBatch, at: np.ndarray, lists: np.ndarray) -> pa.RecordBatch:
+    starts = _groups(rows)
+    probe_schema = f"qid {types['qid']}, qvec {types['qvec']}, group int, lists array<int>"
+
+    def listed(batch: pa.RecordBatch, mask: np.ndarray) -> pa.RecordBatch:
+        """Per query and group of lists one row: the lists of ``mask`` in that group."""
+        counts = np.add.reduceat(mask.astype(np.int32), starts, axis=1)
+        at, group = np.nonzero(counts)
+        ends = np.concatenate([[0], np.cumsum(counts[at, group])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(mask)[1].astype(np.int32)))
         picked = batch.select(["qid", "qvec"]).take(pa.array(at))
-        return pa.RecordBatch.from_arrays([*picked.columns, pa.array(lists.astype(np.int32))], names=["qid", "qvec", "list"])
+        return pa.RecordBatch.from_arrays([*picked.columns, pa.array(group.astype(np.int32)), lists],
+                                          names=["qid", "qvec", "group", "lists"])
 
     def nearest(near: np.ndarray) -> np.ndarray:
         """Mask of the first lists of every query, ties to the smaller number; the zero vectors' list is one of them."""
@@ -235,8 +271,7 @@ def search_index(
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                at, lists = np.nonzero(nearest(near_of(part)) & (shipped.value[1] > 0))
-                yield listed(part, at, lists)
+                yield listed(part, nearest(near_of(part)) & (shipped.value[1] > 0))
 
     def probe_more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,8 +284,7 @@ def search_index(
                 bound[np.linalg.norm(matrix, axis=1) == 0] = 0  # a zero query ties with all documents
                 kth = part.column("kth").fill_null(-2.0).to_numpy(zero_copy_only=False)
                 more = np.column_stack([bound >= kth[:, None] - SLACK, np.zeros(len(near), bool)])
-                at, lists = np.nonzero(more & ~nearest(near) & (sizes > 0))
-                yield listed(part, at, lists)
+                yield listed(part, more & ~nearest(near) & (sizes > 0))
 
     found = _candidates(q.mapInArrow(probe, probe_schema), index, wanted, schema)
     if exact:
